@@ -248,3 +248,205 @@ UNION ALL SELECT 'rain_alerts' AS table_name, COUNT(*) AS row_count FROM alerts_
 def q_table_counts(spark, d):
     readings = ev(spark, d)
     return A.table_counts(readings, S.alerts_ev(spark, d, readings))
+
+
+# ---- alerts ----------------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from telemetry.functions import codec as C  # noqa: E402
+from telemetry.functions import exprs as X  # noqa: E402
+from telemetry.operators import alerts as AL  # noqa: E402
+from telemetry.operators.dedupe import first_write_wins  # noqa: E402
+from telemetry.operators.keyed import time_bucket  # noqa: E402
+from telemetry.plans import quality as Q  # noqa: E402
+from telemetry.sources import wire as W  # noqa: E402
+from telemetry.sources.tables import table  # noqa: E402
+
+
+@register("rain_alerts", O.with_ctes(["ev_alert_msgs"],
+          "SELECT station_id, s_no, status_timestamp, humidity, alert_count, message FROM ev_alert_msgs"))
+def q_rain_alerts(spark, d):
+    return AL.rain_alerts(ev(spark, d))
+
+
+@register("rain_alerts_stateless", O.with_ctes(["ev"], """SELECT station_id, sequence_number AS s_no,
+       "timestamp" AS status_timestamp, humidity, CAST(0 AS BIGINT) AS alert_count, 'It is raining' AS message
+FROM ev WHERE humidity > 70"""))
+def q_rain_alerts_stateless(spark, d):
+    return AL.stateless_alerts(ev(spark, d))
+
+
+@register("encode_alerts", O.with_ctes(["ev_alert_msgs"],
+          f"SELECT CAST(station_id AS VARCHAR) AS key, {O.json_alert()} AS value FROM ev_alert_msgs"))
+def q_encode_alerts(spark, d):
+    return C.encode_alerts(AL.rain_alerts(ev(spark, d)))
+
+
+@register("archive_alerts", O.with_ctes(["li_alert_msgs"], """SELECT station_id, s_no AS sequence_number,
+       status_timestamp AS "timestamp", humidity, alert_count, ingested_at AS detected_at
+FROM (SELECT *, row_number() OVER (PARTITION BY station_id, s_no ORDER BY l_shipdate, l_partkey, l_suppkey,
+             l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) AS arrival_rank
+      FROM li_alert_msgs) m
+WHERE arrival_rank = 1"""))
+def q_archive_alerts(spark, d):
+    """Alerts counted over the raw ``li`` stream (every arriving copy counts), then
+    archived first-write-wins by arrival: the kept copy keeps its count."""
+    raw = S.readings_li_raw(spark, d)
+    alerts = AL.rain_alerts(raw, threshold=S.LI_RAIN_THRESHOLD, order=S.LI_ARRIVAL_COLS,
+                            bucket=time_bucket("arr_l_shipdate"),
+                            carry=["ingested_at", *S.LI_ARRIVAL_COLS])
+    first = first_write_wins(alerts, ["station_id", "s_no"], S.LI_ARRIVAL_COLS)
+    return AL.alerts_to_table(first, F.col("ingested_at"))
+
+
+# ---- codec -----------------------------------------------------------------------------------
+
+@register("encode_readings", O.with_ctes(["ev"],
+          f"SELECT CAST(station_id AS VARCHAR) AS key, {O.json_reading()} AS value FROM ev"))
+def q_encode_readings(spark, d):
+    return C.encode_readings(ev(spark, d))
+
+
+def _decoded(spark, d):
+    return C.decode_readings(W.wire_ev(spark, d), keep=("value",))
+
+
+def _zero11(col: str) -> str:
+    return f"CASE WHEN f = {W.FAULT_EMPTY_OBJECT} THEN 0 ELSE {col} END"
+
+
+def _null_if(col: str, faults) -> str:
+    return f"CASE WHEN f IN ({', '.join(map(str, faults))}) THEN NULL ELSE {col} END"
+
+
+_DEAD_DECODE = [W.FAULT_TRUNCATED, W.FAULT_HUMIDITY_TEXT, W.FAULT_OUT_OF_RANGE, W.FAULT_JSON_NULL,
+                W.FAULT_WEATHER_TEXT]
+_DROPPED = [W.FAULT_NULL_VALUE]
+_CONTRACT = [W.FAULT_BATTERY_NULL, W.FAULT_EMPTY_OBJECT]
+_NO_WEATHER = [W.FAULT_NO_WEATHER, W.FAULT_EMPTY_OBJECT]
+
+
+def _in(xs) -> str:
+    return ", ".join(map(str, xs))
+
+
+@register("decode_readings", O.with_ctes(["wire_ev"], f"""SELECT {_zero11('station_id')} AS station_id,
+       {_zero11('sequence_number')} AS s_no,
+       {_null_if('battery_status', _CONTRACT)} AS battery_status,
+       {_zero11('"timestamp"')} AS status_timestamp,
+       {_null_if('humidity', _NO_WEATHER)} AS humidity,
+       {_null_if('temperature', _NO_WEATHER)} AS temperature,
+       {_null_if('wind_speed', _NO_WEATHER)} AS wind_speed,
+       "partition", "offset"
+FROM wire_ev WHERE f NOT IN ({_in(_DEAD_DECODE + _DROPPED)})"""))
+def q_decode_readings(spark, d):
+    good, _ = _decoded(spark, d)
+    return good.select("station_id", "s_no", "battery_status", "status_timestamp",
+                       F.col("weather.humidity").alias("humidity"),
+                       F.col("weather.temperature").alias("temperature"),
+                       F.col("weather.wind_speed").alias("wind_speed"), "partition", "offset")
+
+
+@register("dead_letters", O.with_ctes(["wire_ev"], f"""SELECT 'weather-readings' AS source, "partition", "offset", value,
+       CASE WHEN f IN ({W.FAULT_TRUNCATED}, {W.FAULT_JSON_NULL}, {W.FAULT_WEATHER_TEXT}) THEN '{C.MALFORMED}'
+            WHEN f IN ({W.FAULT_HUMIDITY_TEXT}, {W.FAULT_OUT_OF_RANGE}) THEN '{C.BAD_NUMBER}humidity'
+            ELSE '{C.CONTRACT}battery_status is null' END AS reason
+FROM wire_ev WHERE f IN ({_in(_DEAD_DECODE + _CONTRACT)})"""))
+def q_dead_letters(spark, d):
+    good, dead = _decoded(spark, d)
+    _, rejected = C.enforce_contract(C.flatten_readings(good, keep=("value", "partition", "offset")))
+    return dead.unionByName(rejected)
+
+
+@register("flatten_readings", O.with_ctes(["wire_ev"], f"""SELECT station_id, sequence_number, battery_status,
+       "timestamp", {_null_if('humidity', _NO_WEATHER)} AS humidity,
+       {_null_if('temperature', _NO_WEATHER)} AS temperature,
+       {_null_if('wind_speed', _NO_WEATHER)} AS wind_speed
+FROM wire_ev WHERE f NOT IN ({_in(_DEAD_DECODE + _DROPPED + _CONTRACT)})"""))
+def q_flatten_readings(spark, d):
+    good, _ = _decoded(spark, d)
+    ok, _ = C.enforce_contract(C.flatten_readings(good))
+    return ok
+
+
+@register("contract_violations", O.with_ctes(["wire_ev"], f"""SELECT {_zero11('station_id')} AS station_id,
+       {_zero11('sequence_number')} AS sequence_number, '{C.CONTRACT}battery_status is null' AS reason
+FROM wire_ev WHERE f IN ({_in(_CONTRACT)})"""))
+def q_contract_violations(spark, d):
+    good, _ = _decoded(spark, d)
+    return Q.contract_violations(C.flatten_readings(good))
+
+
+@register("decode_props", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS humidity
+FROM events""")
+def q_decode_props(spark, d):
+    ev_ = table(spark, d, "events", "event_id", "props")
+    k = F.from_json("props", "k STRING").getField("k")
+    return ev_.select("event_id", C.coerce_number(k, "int").alias("humidity"))
+
+
+# ---- scalar functions re-aimed at columns ------------------------------------------------------
+
+_HOST = """CASE event_id % 4 WHEN 0 THEN 'weather-station-' || CAST(user_id AS {t})
+                            WHEN 1 THEN 'station-' || CAST(user_id AS {t}) || 'a'
+                            WHEN 2 THEN 'host' || CAST(user_id AS {t})
+                            ELSE 'weather-station-' END"""
+_EXPLICIT = "CASE WHEN event_id % 5 = 0 THEN event_id END"
+
+
+@register("station_from_host", f"""SELECT event_id, host, {O.station_from_host('explicit_id', 'host')} AS station_id
+FROM (SELECT event_id, {_HOST.format(t='VARCHAR')} AS host, {_EXPLICIT} AS explicit_id FROM events) h""")
+def q_station_from_host(spark, d):
+    hosts = table(spark, d, "events", "event_id", "user_id").select(
+        "event_id", F.expr(_HOST.format(t="STRING")).alias("host"), F.expr(_EXPLICIT).alias("explicit_id"))
+    return hosts.select("event_id", "host", X.station_from_host("explicit_id", "host").alias("station_id"))
+
+
+_FRACTION = "CAST((event_id * 7919) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE)"
+
+
+@register("bucket_battery", f"""SELECT event_id, {_FRACTION} AS p, {O.battery_from_fraction(_FRACTION)} AS battery_status
+FROM events""")
+def q_bucket_battery(spark, d):
+    e = table(spark, d, "events", "event_id").select("event_id", F.expr(_FRACTION).alias("p"))
+    return e.select("event_id", "p", F.expr(X.battery_from_fraction_sql("p")).alias("battery_status"))
+
+
+# ---- quality -----------------------------------------------------------------------------------
+
+def _dev(obs: str, exp: str) -> str:
+    return f"{obs} - {exp} AS deviation, abs({obs} - {exp}) <= {Q.TOLERANCE_PCT} AS within_tolerance"
+
+
+@register("battery_deviation", O.with_ctes(["ev"], f"""SELECT g.battery_status, g.percentage, e.expected_pct,
+       {_dev('g.percentage', 'e.expected_pct')}
+FROM (SELECT battery_status, {O.pct("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage
+      FROM ev GROUP BY battery_status) g
+LEFT JOIN (VALUES ('low', CAST(30.0 AS DOUBLE)), ('medium', CAST(40.0 AS DOUBLE)), ('high', CAST(30.0 AS DOUBLE)))
+     AS e(battery_status, expected_pct) ON e.battery_status = g.battery_status"""))
+def q_battery_deviation(spark, d):
+    return Q.battery_deviation(ev(spark, d))
+
+
+@register("drop_deviation", O.with_ctes(["ev"], f"""SELECT drop_rate_pct, CAST(10.0 AS DOUBLE) AS expected_pct,
+       {_dev('drop_rate_pct', 'CAST(10.0 AS DOUBLE)')}
+FROM (SELECT {O.pct("SUM(expected - received)", "SUM(expected)")} AS drop_rate_pct
+      FROM (SELECT MAX(sequence_number) AS expected, COUNT(*) AS received FROM ev GROUP BY station_id) s) c"""))
+def q_drop_deviation(spark, d):
+    return Q.drop_deviation(ev(spark, d))
+
+
+@register("rain_share", O.with_ctes(["ev"], f"""SELECT readings, raining, rain_pct, CAST(29.7 AS DOUBLE) AS expected_pct,
+       {_dev('rain_pct', 'CAST(29.7 AS DOUBLE)')}
+FROM (SELECT COUNT(*) AS readings, COUNT(*) FILTER (WHERE humidity > 70) AS raining,
+             {O.pct("COUNT(*) FILTER (WHERE humidity > 70)", "COUNT(*)")} AS rain_pct FROM ev) s"""))
+def q_rain_share(spark, d):
+    return Q.rain_share(ev(spark, d))
+
+
+@register("key_conflicts_li", O.with_ctes(["li_raw"], """SELECT station_id, sequence_number, COUNT(*) AS copies
+FROM li_raw GROUP BY station_id, sequence_number
+HAVING COUNT(DISTINCT (battery_status, "timestamp", humidity, temperature, wind_speed)) > 1"""))
+def q_key_conflicts_li(spark, d):
+    return Q.key_conflicts_report(S.readings_li_raw(spark, d, keep_arrival=False))

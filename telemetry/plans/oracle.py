@@ -107,3 +107,43 @@ def station_from_host(explicit: str, host: str) -> str:
 
 def battery_from_fraction(p: str) -> str:
     return battery_from_fraction_sql(p)
+
+
+def json_reading(alias: str = "") -> str:
+    """DuckDB text of a reading message (no NULLs in the adapters' readings)."""
+    p = f"{alias}." if alias else ""
+    v = lambda c: f'CAST({p}{c} AS VARCHAR)'
+    return ("'{\"station_id\":' || " + v("station_id") + " || ',\"s_no\":' || " + v("sequence_number")
+            + " || ',\"battery_status\":\"' || " + f"{p}battery_status" + " || '\",\"status_timestamp\":' || "
+            + v('"timestamp"') + " || ',\"weather\":{\"humidity\":' || " + v("humidity")
+            + " || ',\"temperature\":' || " + v("temperature") + " || ',\"wind_speed\":' || " + v("wind_speed")
+            + " || '}}'")
+
+
+def json_alert() -> str:
+    v = lambda c: f"CAST({c} AS VARCHAR)"
+    return ("'{\"station_id\":' || " + v("station_id") + " || ',\"s_no\":' || " + v("s_no")
+            + " || ',\"status_timestamp\":' || " + v("status_timestamp") + " || ',\"humidity\":' || "
+            + v("humidity") + " || ',\"alert_count\":' || " + v("alert_count")
+            + " || ',\"message\":\"' || message || '\"}'")
+
+
+def _wire_cte() -> str:
+    from telemetry.sources.wire import fault_number_sql, fault_sql, offset_sql
+    return f"""SELECT CAST(station_id AS VARCHAR) AS key,
+              {fault_sql('json', 'humidity', 'battery_status', 'f', 'VARCHAR')} AS value,
+              CAST(station_id % 10 AS INTEGER) AS "partition",
+              CAST({offset_sql('"timestamp"')} AS BIGINT) AS "offset",
+              f, station_id, sequence_number, battery_status, "timestamp", humidity, temperature, wind_speed
+       FROM (SELECT *, {json_reading()} AS json, {fault_number_sql()} AS f FROM ev) e"""
+
+
+CTES["wire_ev"] = _wire_cte()
+DEPS["wire_ev"] = ["ev"]
+CTES["li_alert_msgs"] = """SELECT station_id, sequence_number AS s_no, "timestamp" AS status_timestamp, humidity,
+              CAST(row_number() OVER (PARTITION BY station_id ORDER BY l_shipdate, l_partkey, l_suppkey,
+                   l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) AS BIGINT) AS alert_count,
+              ingested_at, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+              l_linestatus
+       FROM li_raw WHERE humidity > 35"""
+DEPS["li_alert_msgs"] = ["li_raw"]
