@@ -166,9 +166,13 @@ def encode_readings(readings: DataFrame) -> DataFrame:
                            encode_reading_value().alias("value"))
 
 
-def encode_alerts(alerts: DataFrame) -> DataFrame:
-    """Alert messages -> topic records, re-keyed by the payload's station id."""
+def encode_alert_value() -> Column:
+    """JSON text of an alert message."""
     msg = F.struct(*[F.col(c) for c in ["station_id", "s_no", "status_timestamp", "humidity",
                                         "alert_count", "message"]])
-    return alerts.select(F.col("station_id").cast("string").alias("key"),
-                         F.to_json(msg, {"ignoreNullFields": "false"}).alias("value"))
+    return F.to_json(msg, {"ignoreNullFields": "false"})
+
+
+def encode_alerts(alerts: DataFrame) -> DataFrame:
+    """Alert messages -> topic records, re-keyed by the payload's station id."""
+    return alerts.select(F.col("station_id").cast("string").alias("key"), encode_alert_value().alias("value"))

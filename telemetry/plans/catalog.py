@@ -450,3 +450,68 @@ FROM li_raw GROUP BY station_id, sequence_number
 HAVING COUNT(DISTINCT (battery_status, "timestamp", humidity, temperature, wind_speed)) > 1"""))
 def q_key_conflicts_li(spark, d):
     return Q.key_conflicts_report(S.readings_li_raw(spark, d, keep_arrival=False))
+
+
+# ---- streaming ---------------------------------------------------------------------------------
+# Each stream query writes its topic (derived from the tables) in time-ordered slices to a fresh
+# folder under the shared checkpoint root, runs the stream to the end of the input
+# (availableNow, one file per trigger = one slice per micro-batch) and returns the sink.
+
+from telemetry.session import scratch_path  # noqa: E402
+from telemetry.streaming import jobs as J  # noqa: E402
+from telemetry.streaming.topics import read_topic, write_topic_in_slices  # noqa: E402
+
+STREAM_SLICES = 4
+
+
+def _run(spark, records, start, name: str, order: str = "offset"):
+    paths = J.StreamPaths(scratch_path(spark, name))
+    topic = f"{paths.root}/topic"
+    write_topic_in_slices(records, topic, STREAM_SLICES, order=order)
+    query = start(read_topic(spark, "parquet", topic, max_per_trigger=1), paths)
+    query.awaitTermination()
+    return J.read_sink(spark, paths.sink)
+
+
+_STREAM_ALERT_ROWS = f"""FROM wire_ev
+WHERE f NOT IN ({_in(_DEAD_DECODE + _DROPPED + _NO_WEATHER)}) AND humidity > 70"""
+
+
+@register("stream_alerts", O.with_ctes(["wire_ev"], f"""SELECT station_id, sequence_number AS s_no,
+       "timestamp" AS status_timestamp, humidity,
+       CAST(row_number() OVER (PARTITION BY station_id ORDER BY "partition", "offset") AS BIGINT) AS alert_count,
+       'It is raining' AS message
+{_STREAM_ALERT_ROWS}"""))
+def q_stream_alerts(spark, d):
+    sink = _run(spark, W.wire_ev(spark, d), J.start_alert_stream, "stream-alerts")
+    return sink.select(*AL.ALERT_FIELDS)
+
+
+@register("stream_alerts_stateless", O.with_ctes(["wire_ev"], f"""SELECT station_id, sequence_number AS s_no,
+       "timestamp" AS status_timestamp, humidity, CAST(0 AS BIGINT) AS alert_count, 'It is raining' AS message, key
+{_STREAM_ALERT_ROWS}"""))
+def q_stream_alerts_stateless(spark, d):
+    return _run(spark, W.wire_ev(spark, d), J.start_stateless_alert_stream, "stream-alerts-stateless")
+
+
+@register("stream_archive", REGISTRY["flatten_readings"].sql)
+def q_stream_archive(spark, d):
+    """Readings topic with faults and producer retries -> first-write-wins archive."""
+    records = W.with_resends(W.records_from_readings(S.readings_ev(spark, d), ids=True))
+    sink = _run(spark, records, J.start_archive_stream, "stream-archive", order="send_at")
+    return sink.select("station_id", "sequence_number", "battery_status", "timestamp", "humidity",
+                       "temperature", "wind_speed")
+
+
+@register("stream_archive_alerts", O.with_ctes(["ev_alert_msgs"], """SELECT station_id, s_no AS sequence_number,
+       status_timestamp AS "timestamp", humidity, alert_count
+FROM ev_alert_msgs"""))
+def q_stream_archive_alerts(spark, d):
+    """Alert topic with producer retries -> first-write-wins alert archive."""
+    records = W.with_resends(W.alert_records(AL.rain_alerts(S.readings_ev(spark, d))))
+
+    def start(src, paths):
+        return J.start_archive_stream(src, paths, alerts=True)
+
+    sink = _run(spark, records, start, "stream-archive-alerts", order="send_at")
+    return sink.select("station_id", "sequence_number", "timestamp", "humidity", "alert_count")

@@ -65,7 +65,7 @@ def offset_sql(ts: str = "timestamp", station: str = "station_id") -> str:
     return f"({ts} * 1000 + {station} % 1000)"
 
 
-def records_from_readings(readings: DataFrame, faults: bool = True) -> DataFrame:
+def records_from_readings(readings: DataFrame, faults: bool = True, ids: bool = False) -> DataFrame:
     """Topic records keyed by station; partition = station % 10 keeps a station's order."""
     enc = readings.select("*", encode_reading_value().alias("_json"),
                           F.expr(fault_number_sql()).alias("_fault"))
@@ -76,6 +76,33 @@ def records_from_readings(readings: DataFrame, faults: bool = True) -> DataFrame
         (F.col("station_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         F.expr(offset_sql()).cast("long").alias("offset"),
         F.col("ingested_at").cast("timestamp").alias("timestamp"),
+        *(["station_id", "sequence_number"] if ids else []),
+    )
+
+
+# ---- fixed values: producer retries (at-least-once duplicates) -----------------------------
+RESEND_SQL = "(station_id * 7 + sequence_number) % 11 = 0"
+RESEND_DELAY = 1_000_000     # offsets later than the original (1000 s of the offset clock)
+# --------------------------------------------------------------------------------------------
+
+
+def with_resends(records: DataFrame) -> DataFrame:
+    """Add a second copy of about 9% of the records, sent later (a producer retry).
+    ``records`` must carry station_id and sequence_number; ``send_at`` orders sending."""
+    again = records.where(F.expr(RESEND_SQL)).withColumn("offset", F.col("offset") + RESEND_DELAY)
+    return records.unionByName(again).withColumn("send_at", F.col("offset"))
+
+
+def alert_records(alerts: DataFrame) -> DataFrame:
+    """Alert messages as topic records, ordered like the readings they came from."""
+    from telemetry.functions.codec import encode_alert_value
+    return alerts.select(
+        F.col("station_id").cast("string").alias("key"),
+        encode_alert_value().alias("value"),
+        (F.col("station_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        F.expr(offset_sql("status_timestamp")).cast("long").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        "station_id", F.col("s_no").alias("sequence_number"),
     )
 
 
