@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry.functions.exprs import BATTERY_MAX_LEN
+from telemetry.functions.exprs import BATTERY_MAX_LEN, evaluate_once
 from telemetry.schemas import ALERT_WIRE, READING_WIRE
 
 # ---- fixed values: dead-letter reasons ------------------------------------------------
@@ -32,6 +32,11 @@ def coerce_number(text: Column, spark_type: str) -> Column:
     return text.try_cast("decimal(38,6)").try_cast(spark_type)
 
 
+def _parse_once(j: Column) -> Column:
+    """Parse once per record (filters and projections read ``_j`` many times)."""
+    return evaluate_once(j, "_j")
+
+
 def _position(records: DataFrame) -> list[Column]:
     cols = set(records.columns)
     part = F.col("partition").cast("int") if "partition" in cols else F.lit(None).cast("int")
@@ -39,6 +44,10 @@ def _position(records: DataFrame) -> list[Column]:
     return [part.alias("partition"), off.alias("offset")]
 
 
+def _extra(keep) -> list[str]:
+    return [k for k in keep if k not in ("value", "partition", "offset")]
+
+
 def _split(parsed: DataFrame, reason: Column, good_cols: list[Column], source: str,
            keep: list[str]) -> tuple[DataFrame, DataFrame]:
     tagged = parsed.withColumn("_reason", reason)
@@ -52,8 +61,34 @@ def decode_readings(records: DataFrame, source: str = "weather-readings",
                     keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Topic records (``value`` text, optional key/partition/offset/timestamp) ->
     (reading messages, dead letters). ``keep`` names extra record columns to carry."""
+    parsed, reason, good_cols = _decode_reading_columns(records, keep)
+    return _split(parsed, reason, good_cols, source, list(keep))
+
+
+def tag_readings(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One pass over topic records: flat archive columns, position, raw ``value`` and a
+    ``reason`` that is NULL for an archivable reading, else why it is a dead letter
+    (malformed, bad number, or the table contract). NULL record values are dropped."""
+    parsed, reason, good_cols = _decode_reading_columns(records, keep)
+    msgs = parsed.select(*good_cols, "value", *_extra(keep), reason.alias("_decode_reason")) \
+        .where(F.col("value").isNotNull())
+    flat = flatten_readings(msgs, keep=("partition", "offset", "value", *_extra(keep), "_decode_reason"))
+    return (flat.withColumn("reason", F.coalesce(F.col("_decode_reason"), contract_reason()))
+            .drop("_decode_reason"))
+
+
+def dead_letters_of(tagged: DataFrame, source: str = "weather-readings") -> DataFrame:
+    return tagged.where(F.col("reason").isNotNull()).select(
+        F.lit(source).alias("source"), "partition", "offset", "value", "reason")
+
+
+def archivable(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("reason").isNull()).drop("reason", "value")
+
+
+def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
     j = F.from_json("value", READING_WIRE, _JSON_OPTS)
-    parsed = records.select("value", *_position(records), *keep, j.alias("_j"))
+    parsed = records.select("value", *_position(records), *_extra(keep), _parse_once(j))
     w = "_j.weather"
     nums = {
         "station_id": ("_j.station_id", "bigint"),
@@ -80,14 +115,14 @@ def decode_readings(records: DataFrame, source: str = "weather-readings",
         weather.alias("weather"),
         "partition", "offset",
     ]
-    return _split(parsed, reason, good_cols, source, list(keep))
+    return parsed, reason, good_cols
 
 
 def decode_alerts(records: DataFrame, source: str = "rain-alerts",
                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Alert topic records -> (alert messages, dead letters)."""
     j = F.from_json("value", ALERT_WIRE, _JSON_OPTS)
-    parsed = records.select("value", *_position(records), *keep, j.alias("_j"))
+    parsed = records.select("value", *_position(records), *_extra(keep), _parse_once(j))
     nums = {"station_id": "bigint", "s_no": "bigint", "status_timestamp": "bigint",
             "humidity": "int", "alert_count": "bigint"}
     val = {k: coerce_number(F.col(f"_j.{k}"), t) for k, t in nums.items()}

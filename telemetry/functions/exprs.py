@@ -24,6 +24,16 @@ HUMIDITY_RANGE = (0, 100)
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+def evaluate_once(col: Column, name: str) -> Column:
+    """``col`` computed once per row even when referenced many times downstream.
+
+    Catalyst substitutes aliases into pushed-down filters and collapsed projections, which
+    re-evaluates expensive expressions (JSON encode/parse) at every reference. A
+    one-element generator is a boundary neither rule crosses. One per ``select``.
+    """
+    return F.explode(F.array(col)).alias(name)
+
+
 def _idiv(dialect: str) -> str:
     return "div" if dialect == "spark" else "//"
 

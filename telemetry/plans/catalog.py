@@ -354,9 +354,7 @@ def q_decode_readings(spark, d):
             ELSE '{C.CONTRACT}battery_status is null' END AS reason
 FROM wire_ev WHERE f IN ({_in(_DEAD_DECODE + _CONTRACT)})"""))
 def q_dead_letters(spark, d):
-    good, dead = _decoded(spark, d)
-    _, rejected = C.enforce_contract(C.flatten_readings(good, keep=("value", "partition", "offset")))
-    return dead.unionByName(rejected)
+    return C.dead_letters_of(C.tag_readings(W.wire_ev(spark, d)))
 
 
 @register("flatten_readings", O.with_ctes(["wire_ev"], f"""SELECT station_id, sequence_number, battery_status,
@@ -365,9 +363,7 @@ def q_dead_letters(spark, d):
        {_null_if('wind_speed', _NO_WEATHER)} AS wind_speed
 FROM wire_ev WHERE f NOT IN ({_in(_DEAD_DECODE + _DROPPED + _CONTRACT)})"""))
 def q_flatten_readings(spark, d):
-    good, _ = _decoded(spark, d)
-    ok, _ = C.enforce_contract(C.flatten_readings(good))
-    return ok
+    return C.archivable(C.tag_readings(W.wire_ev(spark, d))).drop("partition", "offset")
 
 
 @register("contract_violations", O.with_ctes(["wire_ev"], f"""SELECT {_zero11('station_id')} AS station_id,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry.functions.codec import encode_reading_value
+from telemetry.functions.exprs import evaluate_once
 from telemetry.sources.adapters import readings_ev
 
 TOPIC_PARTITIONS = 10
@@ -67,12 +68,11 @@ def offset_sql(ts: str = "timestamp", station: str = "station_id") -> str:
 
 def records_from_readings(readings: DataFrame, faults: bool = True, ids: bool = False) -> DataFrame:
     """Topic records keyed by station; partition = station % 10 keeps a station's order."""
-    enc = readings.select("*", encode_reading_value().alias("_json"),
-                          F.expr(fault_number_sql()).alias("_fault"))
-    value = F.expr(fault_sql("_json", "humidity", "battery_status", "_fault")) if faults else F.col("_json")
+    enc = readings.select("*", evaluate_once(encode_reading_value(), "_json"))
+    value = F.expr(fault_sql("_json", "humidity", "battery_status", fault_number_sql())) if faults else F.col("_json")
     return enc.select(
         F.col("station_id").cast("string").alias("key"),
-        value.alias("value"),
+        evaluate_once(value, "value"),
         (F.col("station_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         F.expr(offset_sql()).cast("long").alias("offset"),
         F.col("ingested_at").cast("timestamp").alias("timestamp"),
@@ -89,8 +89,10 @@ RESEND_DELAY = 1_000_000     # offsets later than the original (1000 s of the of
 def with_resends(records: DataFrame) -> DataFrame:
     """Add a second copy of about 9% of the records, sent later (a producer retry).
     ``records`` must carry station_id and sequence_number; ``send_at`` orders sending."""
-    again = records.where(F.expr(RESEND_SQL)).withColumn("offset", F.col("offset") + RESEND_DELAY)
-    return records.unionByName(again).withColumn("send_at", F.col("offset"))
+    copies = F.explode(F.when(F.expr(RESEND_SQL), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    sent = records.select("*", copies.alias("_copy"))
+    return (sent.withColumn("offset", F.col("offset") + F.col("_copy") * F.lit(RESEND_DELAY))
+            .withColumn("send_at", F.col("offset")).drop("_copy"))
 
 
 def alert_records(alerts: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemetry.functions.codec import (decode_alerts, decode_readings, enforce_contract,
-                                       flatten_readings)
+from telemetry.functions.codec import (archivable, dead_letters_of, decode_alerts, decode_readings,
+                                       flatten_readings, tag_readings)
 from telemetry.functions.exprs import RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
 from telemetry.operators.dedupe import insert_if_absent
@@ -58,33 +58,50 @@ ARCHIVE_BUCKETS = 64
 
 
 def _seed(spark: SparkSession, folder: str, schema: str, bucketed: bool = False) -> None:
-    """An empty ``batch_id=-1`` partition so the table can be read before batch 0."""
-    path = f"{folder}/batch_id=-1" + ("/bucket=0" if bucketed else "")
+    """An empty partition so the table can be read before batch 0."""
+    path = f"{folder}/bucket=0/batch_id=-1" if bucketed else f"{folder}/batch_id=-1"
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def _write(df: DataFrame, folder: str, batch_id: int, bucketed: bool = False) -> None:
-    """Overwrite the batch's folder; archives are further split by a station-hash bucket."""
-    writer = df.write.mode("overwrite")
-    if bucketed:
-        df = df.withColumn("bucket", _bucket())
-        writer = df.write.mode("overwrite").partitionBy("bucket")
-    writer.parquet(f"{folder}/batch_id={batch_id}")
+def _write(df: DataFrame, folder: str, batch_id: int) -> None:
+    """Overwrite the batch's folder (a replayed batch replaces its own output only)."""
+    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
 def _bucket():
     return F.pmod(F.xxhash64("station_id"), F.lit(ARCHIVE_BUCKETS)).cast("int")
 
 
+def _write_archive(df: DataFrame, folder: str, batch_id: int) -> None:
+    """Archive layout ``bucket=<hash of station>/batch_id=<n>``.
+
+    The batch is shuffled by bucket first, so each touched bucket gets one file per batch
+    instead of one per task. Dynamic partition overwrite replaces exactly this batch's
+    folders, which makes a replay idempotent.
+    """
+    out = df.withColumn("bucket", _bucket()).withColumn("batch_id", F.lit(batch_id))
+    (out.repartition("bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket", "batch_id").parquet(folder))
+
+
 def _archive_for(spark: SparkSession, folder: str, batch_id: int, batch: DataFrame) -> DataFrame:
-    """Earlier batches of the archive, restricted to the buckets this batch touches.
+    """Earlier batches of the archive, read only from the buckets this batch touches.
 
     The bucket list has at most ``ARCHIVE_BUCKETS`` entries, so collecting it is bounded;
-    the filter on the partition column prunes whole folders before any file is opened.
+    only those folders are listed and opened.
     """
-    buckets = [r[0] for r in batch.select(_bucket().alias("b")).distinct().collect()]
-    archive = spark.read.parquet(folder)
-    return archive.where((F.col("batch_id") != F.lit(batch_id)) & F.col("bucket").isin(buckets)).drop("bucket")
+    buckets = sorted(r[0] for r in batch.select(_bucket().alias("b")).distinct().collect())
+    paths = [f"{folder}/bucket={b}" for b in buckets] or [f"{folder}/bucket=0"]
+    existing = [p for p in paths if _exists(spark, p)] or [f"{folder}/bucket=0"]
+    archive = spark.read.option("basePath", folder).parquet(*existing)
+    return archive.where(F.col("batch_id") != F.lit(batch_id)).drop("bucket", "batch_id")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -162,16 +179,14 @@ class ArchiveReadings:
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        records = records.persist()
-        good, dead = decode_readings(records, keep=("value",))
-        ok, rejected = enforce_contract(flatten_readings(good, keep=("value", "partition", "offset")))
-        _write(dead.unionByName(rejected), self.paths.dead, batch_id)
-        ok = ok.drop("value")
+        tagged = tag_readings(records).persist()
+        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
+        ok = archivable(tagged)
         archive = _archive_for(spark, self.paths.sink, batch_id, ok)
         new = insert_if_absent(ok, archive, KEY, ARRIVAL)
         stamped = new.drop(*ARRIVAL).withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-        _write(stamped, self.paths.sink, batch_id, bucketed=True)
-        records.unpersist()
+        _write_archive(stamped, self.paths.sink, batch_id)
+        tagged.unpersist()
 
 
 class ArchiveAlerts:
@@ -188,7 +203,7 @@ class ArchiveAlerts:
         rows = _alert_rows(good)
         archive = _archive_for(spark, self.paths.sink, batch_id, rows)
         new = insert_if_absent(rows, archive, KEY, ARRIVAL)
-        _write(new.drop(*ARRIVAL), self.paths.sink, batch_id, bucketed=True)
+        _write_archive(new.drop(*ARRIVAL), self.paths.sink, batch_id)
         records.unpersist()
 
 
