@@ -82,3 +82,20 @@ def test_stream_metrics(spark):
     metrics = q.lastProgress["observedMetrics"]["wire"]
     assert int(metrics["records"]) == 80
     assert all(r["alert_count"] == 0 for r in J.read_sink(spark, paths.sink).collect())
+
+
+def test_two_consumers_run_side_by_side(spark):
+    """Readings and alerts archives as two concurrent queries with their own checkpoints."""
+    from telemetry.sources.wire import alert_records
+    readings = _readings(spark)
+    r_paths = J.StreamPaths(scratch_path(spark, "test-two-r"))
+    a_paths = J.StreamPaths(scratch_path(spark, "test-two-a"))
+    write_topic_in_slices(records_from_readings(readings, faults=False), f"{r_paths.root}/topic", 2)
+    write_topic_in_slices(alert_records(rain_alerts(readings)), f"{a_paths.root}/topic", 2)
+    q1 = J.start_archive_stream(read_topic(spark, "parquet", f"{r_paths.root}/topic", 1), r_paths)
+    q2 = J.start_archive_stream(read_topic(spark, "parquet", f"{a_paths.root}/topic", 1), a_paths, alerts=True)
+    assert {q.id for q in spark.streams.active} >= {q1.id, q2.id} or not (q1.isActive and q2.isActive)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert J.read_sink(spark, r_paths.sink).count() == 80
+    assert J.read_sink(spark, a_paths.sink).count() == 60
