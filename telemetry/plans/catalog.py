@@ -464,7 +464,7 @@ def _run(spark, records, start, name: str, order: str = "offset"):
     paths = J.StreamPaths(scratch_path(spark, name))
     topic = f"{paths.root}/topic"
     write_topic_in_slices(records, topic, STREAM_SLICES, order=order)
-    query = start(read_topic(spark, "parquet", topic, max_per_trigger=1), paths)
+    query = start(read_topic(spark, "parquet", topic, max_per_trigger=W.TOPIC_PARTITIONS), paths)
     query.awaitTermination()
     return J.read_sink(spark, paths.sink)
 

@@ -85,25 +85,21 @@ def _write_archive(df: DataFrame, folder: str, batch_id: int) -> None:
      .partitionBy("bucket", "batch_id").parquet(folder))
 
 
+def _glob(values) -> str:
+    return "{" + ",".join(str(v) for v in sorted(set(values))) + "}"
+
+
 def _archive_for(spark: SparkSession, folder: str, batch_id: int, batch: DataFrame) -> DataFrame:
     """Earlier batches of the archive, read only from the buckets this batch touches.
 
-    The bucket list has at most ``ARCHIVE_BUCKETS`` entries, so collecting it is bounded;
-    only those folders are listed and opened.
+    The bucket list has at most ``ARCHIVE_BUCKETS`` entries, so collecting it is bounded.
+    A path glob lists just those folders (bucket 0 is seeded, so the glob always matches).
     """
-    buckets = sorted(r[0] for r in batch.select(_bucket().alias("b")).distinct().collect())
-    paths = [f"{folder}/bucket={b}" for b in buckets] or [f"{folder}/bucket=0"]
-    existing = [p for p in paths if _exists(spark, p)] or [f"{folder}/bucket=0"]
-    archive = spark.read.option("basePath", folder).parquet(*existing)
+    buckets = [r[0] for r in batch.select(_bucket().alias("b")).distinct().collect()]
+    archive = spark.read.option("basePath", folder).parquet(f"{folder}/bucket={_glob([0, *buckets])}")
     return archive.where(F.col("batch_id") != F.lit(batch_id)).drop("bucket", "batch_id")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-
-
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -118,11 +114,17 @@ class CountedAlerts:
     def __init__(self, paths: StreamPaths, threshold: int = RAIN_THRESHOLD, compact_every: int = 20):
         self.paths, self.threshold, self.compact_every = paths, threshold, compact_every
 
+    def _since_snapshot(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """State rows of batches [last full snapshot, batch_id): at most ``compact_every``
+        folders, named by a glob so the state folder is never listed as a whole."""
+        last_full = max((batch_id - 1) // self.compact_every * self.compact_every, -1)
+        ids = range(last_full, batch_id) if batch_id > 0 else [-1]
+        return (spark.read.option("basePath", self.paths.state)
+                .parquet(f"{self.paths.state}/batch_id={_glob(ids)}")
+                .where(F.col("batch_id") < F.lit(batch_id)))
+
     def base_counts(self, spark: SparkSession, batch_id: int, stations: DataFrame) -> DataFrame:
-        last_full = (batch_id - 1) // self.compact_every * self.compact_every
-        state = spark.read.parquet(self.paths.state)
-        window = state.where((F.col("batch_id") >= F.lit(last_full)) & (F.col("batch_id") < F.lit(batch_id)))
-        return (window.join(stations, "station_id", "left_semi")
+        return (self._since_snapshot(spark, batch_id).join(stations, "station_id", "left_semi")
                 .groupBy("station_id").agg(F.max("alert_count").alias("base_count")))
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
@@ -139,10 +141,7 @@ class CountedAlerts:
         written = spark.read.parquet(f"{self.paths.sink}/batch_id={batch_id}")
         counts = written.groupBy("station_id").agg(F.max("alert_count").alias("alert_count"))
         if batch_id % self.compact_every == 0 and batch_id > 0:
-            last_full = (batch_id - 1) // self.compact_every * self.compact_every
-            earlier = (spark.read.parquet(self.paths.state)
-                       .where((F.col("batch_id") >= F.lit(last_full)) & (F.col("batch_id") < F.lit(batch_id)))
-                       .select("station_id", "alert_count"))
+            earlier = self._since_snapshot(spark, batch_id).select("station_id", "alert_count")
             counts = earlier.unionByName(counts).groupBy("station_id").agg(F.max("alert_count").alias("alert_count"))
         _write(counts, self.paths.state, batch_id)
         records.unpersist()

@@ -49,11 +49,14 @@ def write_topic_batch(records: DataFrame, fmt: str, topic: str,
 
 
 def write_topic_in_slices(records: DataFrame, folder: str, slices: int, order: str = "offset") -> None:
-    """Append records to a file topic in ``slices`` time-ordered files, oldest first, so a
-    file stream with one file per trigger sees them in ``slices`` micro-batches.
+    """Append records to a file topic in ``slices`` time-ordered writes, oldest first.
 
     The slice of a record is its position in the ``order`` range (min/max is one small
-    aggregate). One write job per slice; each write keeps the whole slice.
+    aggregate). Each slice is written in parallel with one file per topic partition, so a
+    station's records of one slice sit in one file and files are read in write order: a
+    file stream sees every station's records in arrival order across micro-batches, as
+    with a Kafka partition. Read it with ``max_per_trigger = TOPIC_PARTITIONS`` for about
+    one slice per micro-batch.
     """
     records = records.persist()
     bounds = records.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
@@ -67,5 +70,5 @@ def write_topic_in_slices(records: DataFrame, folder: str, slices: int, order: s
     topic_cols = [c for c in records.columns if c in TOPIC_RECORD.fieldNames()]
     for k in range(slices):
         part = sliced.where(F.col("_slice") == k).select(*topic_cols)
-        part.coalesce(1).write.mode("append").format("parquet").save(folder)
+        part.repartition("partition").write.mode("append").format("parquet").save(folder)
     records.unpersist()
