@@ -1,20 +1,20 @@
 """Newest row per key (``DISTINCT ON (station_id) ... ORDER BY station_id, sequence_number DESC``).
 
-``max_by`` aggregates map-side before the shuffle, so a hot station ships one partial
-row per task instead of all of its readings.
+``row_number() = 1`` by descending sequence number; Spark adds a partial
+``WindowGroupLimit`` before the shuffle, so a hot station ships one row per task instead of
+all of its readings. Ties are impossible under the unique key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str] = ("station_id",),
                    order: str = "sequence_number") -> DataFrame:
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*payload), F.col(order)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+    return df.withColumn("_newest", rank).where(F.col("_newest") == 1).drop("_newest")
