@@ -29,11 +29,16 @@ LI_ARRIVAL = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 # ----------------------------------------------------------------------------------------
 
 
-def readings_ev(spark: SparkSession, sf_dir: str, day_bucket_seconds: int = 86400) -> DataFrame:
-    """Readings from ``events`` (station = user_id + 1)."""
+def readings_ev(spark: SparkSession, sf_dir: str, bucket_seconds: int = 60) -> DataFrame:
+    """Readings from ``events`` (station = user_id + 1).
+
+    Sequence numbers are assigned per station in (ts, event_id) order, split into
+    ``bucket_seconds`` windows of time: a window group holds one station's readings of one
+    minute, bounded by the station's emission rate rather than by its share of the data.
+    """
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value", "props")
     numbered = keyed_row_number(ev, ["user_id"], ["ts", "event_id"],
-                                time_bucket("ts", day_bucket_seconds), out="sequence_number")
+                                time_bucket("ts", bucket_seconds), out="sequence_number")
     kept = numbered.where(F.expr(f"(event_id div 10) % 10 != {EV_THIN_DIGIT}"))
     digit = F.col("event_id") % 10
     return kept.select(
