@@ -6,10 +6,22 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from telemetry.functions import codec as C
+from telemetry.functions import exprs as X
+from telemetry.operators import alerts as AL
+from telemetry.operators.dedupe import first_write_wins
+from telemetry.operators.keyed import time_bucket
 from telemetry.plans import analysis as A
 from telemetry.plans import oracle as O
+from telemetry.plans import quality as Q
+from telemetry.session import scratch_path
 from telemetry.sources import adapters as S
+from telemetry.sources import wire as W
+from telemetry.sources.tables import table
+from telemetry.streaming import jobs as J
+from telemetry.streaming.topics import read_topic, write_topic_in_slices
 
 EV_AS_OF = "2024-01-28 00:00:00"
 LI_AS_OF = "1999-01-01 00:00:00"
@@ -252,17 +264,6 @@ def q_table_counts(spark, d):
 
 # ---- alerts ----------------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from telemetry.functions import codec as C  # noqa: E402
-from telemetry.functions import exprs as X  # noqa: E402
-from telemetry.operators import alerts as AL  # noqa: E402
-from telemetry.operators.dedupe import first_write_wins  # noqa: E402
-from telemetry.operators.keyed import time_bucket  # noqa: E402
-from telemetry.plans import quality as Q  # noqa: E402
-from telemetry.sources import wire as W  # noqa: E402
-from telemetry.sources.tables import table  # noqa: E402
-
 
 @register("rain_alerts", O.with_ctes(["ev_alert_msgs"],
           "SELECT station_id, s_no, status_timestamp, humidity, alert_count, message FROM ev_alert_msgs"))
@@ -453,9 +454,6 @@ def q_key_conflicts_li(spark, d):
 # folder under the shared checkpoint root, runs the stream to the end of the input
 # (availableNow, one file per trigger = one slice per micro-batch) and returns the sink.
 
-from telemetry.session import scratch_path  # noqa: E402
-from telemetry.streaming import jobs as J  # noqa: E402
-from telemetry.streaming.topics import read_topic, write_topic_in_slices  # noqa: E402
 
 STREAM_SLICES = 4
 
