@@ -54,6 +54,10 @@ def test_replayed_batch_is_idempotent(spark):
     assert before == after and len(after) == 80
     keys = [(r[0], r[1]) for r in after]
     assert len(keys) == len(set(keys))
+    # insert time: stamped once per micro-batch (one value per batch folder)
+    stamps = spark.read.parquet(paths.sink).groupBy("batch_id").agg(
+        F.countDistinct("ingested_at").alias("n"), F.count(F.when(F.col("ingested_at").isNull(), 1)).alias("nulls"))
+    assert all(r["n"] == 1 and r["nulls"] == 0 for r in stamps.where("batch_id >= 0").collect())
 
 
 def test_counted_alert_batch_replay(spark):
