@@ -31,6 +31,12 @@ from telemetry.schemas import KEY
 
 ARRIVAL = ["partition", "offset"]
 
+# ---- fixed values: consumer batching of the original central station -------------------------
+READINGS_TRIGGER = "10 seconds"       # flush interval of the readings consumer
+READINGS_MAX_PER_TRIGGER = 5000       # batch size threshold of the readings consumer
+ALERTS_TRIGGER = None                 # alerts: flush on any non-empty poll (default trigger)
+# -----------------------------------------------------------------------------------------------
+
 
 @dataclass(frozen=True)
 class StreamPaths:
@@ -221,8 +227,15 @@ ALERTS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, timestamp long,
 
 def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool = False,
                          available_now: bool = True, interval: str | None = None) -> StreamingQuery:
-    """Archive readings (or alerts with ``alerts=True``); trigger every ``interval``
-    (e.g. "10 seconds") with a per-trigger cap set on the source."""
+    """Archive readings (or alerts with ``alerts=True``).
+
+    ``available_now`` drains the input and stops (tests, backfills). Otherwise the trigger is
+    ``interval`` or, by default, the original consumers' cadence: readings every
+    ``READINGS_TRIGGER`` (cap the source at ``READINGS_MAX_PER_TRIGGER`` per trigger with
+    ``read_topic(..., max_per_trigger=...)``), alerts as soon as anything arrives.
+    """
+    if not available_now and interval is None:
+        interval = ALERTS_TRIGGER if alerts else READINGS_TRIGGER
     spark = records.sparkSession
     _seed(spark, paths.sink, ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
     fn = ArchiveAlerts(paths) if alerts else ArchiveReadings(paths)
