@@ -481,6 +481,13 @@ def q_stream_alerts(spark, d):
     return sink.select(*AL.ALERT_FIELDS)
 
 
+@register("stream_alerts_keyed_state", REGISTRY["stream_alerts"].sql)
+def q_stream_alerts_keyed_state(spark, d):
+    """The running count kept in Spark's keyed state store instead of a carried table."""
+    sink = _run(spark, W.wire_ev(spark, d), J.start_alert_stream_keyed_state, "stream-alerts-state")
+    return sink.select(*AL.ALERT_FIELDS)
+
+
 @register("stream_alerts_stateless", O.with_ctes(["wire_ev"], f"""SELECT station_id, sequence_number AS s_no,
        "timestamp" AS status_timestamp, humidity, CAST(0 AS BIGINT) AS alert_count, 'It is raining' AS message, key
 {_STREAM_ALERT_ROWS}"""))
