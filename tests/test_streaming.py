@@ -109,3 +109,18 @@ def test_two_consumers_run_side_by_side(spark):
     q2.awaitTermination()
     assert J.read_sink(spark, r_paths.sink).count() == 80
     assert J.read_sink(spark, a_paths.sink).count() == 60
+
+
+def test_processing_time_trigger(spark):
+    """Continuous mode: a timed trigger with a per-trigger cap; stopped after the input drains."""
+    readings = _readings(spark)
+    paths = J.StreamPaths(scratch_path(spark, "test-timed"))
+    topic = f"{paths.root}/topic"
+    write_topic_in_slices(records_from_readings(readings, faults=False), topic, 2)
+    q = J.start_archive_stream(read_topic(spark, "parquet", topic, max_per_trigger=4), paths,
+                               available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert J.read_sink(spark, paths.sink).count() == 80
