@@ -6,8 +6,7 @@ a key are split into sub-ranges by a ``bucket`` expression that is non-decreasin
 sort order (for example ``sequence_number div 2^20`` or the day of a timestamp):
 
 1. the window runs per ``(key, bucket)``, so no window group exceeds one bucket;
-2. the windowed rows are aggregated per ``(key, bucket)`` (count, or last value); they are
-   already partitioned that way, so this reuses the window's exchange;
+2. a partial aggregate counts rows (or takes the last value) per ``(key, bucket)``;
 3. a window over that small table carries the count (last value) of earlier buckets;
 4. a join on ``(key, bucket)`` adds the carry. The big side is already hash-partitioned
    on ``(key, bucket)`` by step 1, so only the small table moves.
@@ -44,8 +43,10 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence, bucket
 
     b = df.withColumn(_B, bucket)
     local = b.withColumn("_klocal", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*order)))
-    # From the windowed rows: reuses their exchange, and the grouping needs no new one.
-    counts = local.groupBy(*keys, _B).agg(F.max("_klocal").cast("long").alias("_kn"))
+    # Counted from the input with map-side partial aggregation: a cheap second branch. (Counting
+    # the windowed rows instead would repeat the window: the join's inferred null filters make
+    # the two branches differ, so Spark cannot reuse the window's exchange.)
+    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_kn"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_koff"))
     return (local.join(offsets, [*keys, _B])
@@ -66,7 +67,7 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order_col: str, bucket: Column
 
     b = df.withColumn(_B, bucket)
     local = b.withColumn("_klag", F.lag(order_col).over(Window.partitionBy(*keys, _B).orderBy(order_col)))
-    last = local.groupBy(*keys, _B).agg(F.max(order_col).alias("_klast"))
+    last = b.groupBy(*keys, _B).agg(F.max(order_col).alias("_klast"))
     carried = last.select(*keys, _B, F.lag("_klast").over(Window.partitionBy(*keys).orderBy(_B)).alias("_kprev"))
     return (local.join(carried, [*keys, _B])
             .withColumn(out, F.coalesce(F.col("_klag"), F.col("_kprev")))
