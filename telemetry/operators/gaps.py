@@ -42,7 +42,10 @@ def first_missing(readings: DataFrame, station_id: int, limit: int = 50,
     """The first ``limit`` missing numbers of one station, ascending (a top-k report)."""
     one = readings.where(F.col(station) == F.lit(station_id))
     gaps = gap_ranges(one, station, seq)
-    # The first `limit` missing numbers overall lie within the first `limit` of each gap.
+    # Every gap holds at least one missing number, so the first `limit` missing numbers lie in
+    # the first `limit` gaps, and within the first `limit` numbers of each: a distributed
+    # top-k on the gaps, then at most limit * limit rows are expanded.
+    first_gaps = gaps.orderBy("gap_start").limit(limit)
     hi = F.least(F.col("gap_end"), F.col("gap_start") + F.lit(limit - 1))
-    return (gaps.select(F.explode(F.sequence("gap_start", hi)).alias("missing_sequence"))
+    return (first_gaps.select(F.explode(F.sequence("gap_start", hi)).alias("missing_sequence"))
             .orderBy("missing_sequence").limit(limit))

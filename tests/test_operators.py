@@ -49,6 +49,11 @@ def test_gaps_brute_force(spark):
     assert rows(expand_gaps(gaps, chunk=2)) == want
     # received + missing = highest sequence number, per station
     assert sum(top.values()) == len(present) + len(want)
+    # first 50 missing numbers of the hot station (it has far more than 50 gaps)
+    from telemetry.operators.gaps import first_missing
+    hot = [q for s, q in want if s == 0]
+    assert len(hot) > 100
+    assert [r[0] for r in first_missing(df, 0, 50).collect()] == hot[:50]
 
 
 def test_first_write_wins(spark):
