@@ -74,7 +74,9 @@ def test_counted_alert_batch_replay(spark):
     fn = J.CountedAlerts(paths, compact_every=100)
     fn(recs.where("sequence_number <= 10"), 0)
     fn(recs.where("sequence_number > 10"), 1)
-    once = rows(J.read_sink(spark, paths.sink), "station_id", "s_no", "alert_count")
+    sink = J.read_sink(spark, paths.sink)
+    assert "record_timestamp" in sink.columns and sink.where("record_timestamp IS NULL").count() == 0
+    once = rows(sink, "station_id", "s_no", "alert_count")
     fn(recs.where("sequence_number > 10"), 1)
     assert rows(J.read_sink(spark, paths.sink), "station_id", "s_no", "alert_count") == once
     assert max(r[2] for r in once if r[0] == 1) == 40
