@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry.functions.exprs import BATTERY_MAX_LEN, evaluate_once
-from telemetry.schemas import ALERT_WIRE, READING_WIRE
+from telemetry.schemas import ALERT_WIRE, ALERTS_TOPIC, READING_WIRE, READINGS_TOPIC
 
 # ---- fixed values: dead-letter reasons ------------------------------------------------
 MALFORMED = "malformed json"
@@ -57,7 +57,7 @@ def _split(parsed: DataFrame, reason: Column, good_cols: list[Column], source: s
     return good, dead
 
 
-def decode_readings(records: DataFrame, source: str = "weather-readings",
+def decode_readings(records: DataFrame, source: str = READINGS_TOPIC,
                     keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Topic records (``value`` text, optional key/partition/offset/timestamp) ->
     (reading messages, dead letters). ``keep`` names extra record columns to carry."""
@@ -77,7 +77,7 @@ def tag_readings(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             .drop("_decode_reason"))
 
 
-def dead_letters_of(tagged: DataFrame, source: str = "weather-readings") -> DataFrame:
+def dead_letters_of(tagged: DataFrame, source: str = READINGS_TOPIC) -> DataFrame:
     return tagged.where(F.col("reason").isNotNull()).select(
         F.lit(source).alias("source"), "partition", "offset", "value", "reason")
 
@@ -118,7 +118,7 @@ def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
     return parsed, reason, good_cols
 
 
-def decode_alerts(records: DataFrame, source: str = "rain-alerts",
+def decode_alerts(records: DataFrame, source: str = ALERTS_TOPIC,
                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Alert topic records -> (alert messages, dead letters)."""
     j = F.from_json("value", ALERT_WIRE, _JSON_OPTS)
@@ -163,7 +163,7 @@ def contract_reason(battery: str = "battery_status", humidity: str = "humidity",
     return r
 
 
-def enforce_contract(readings: DataFrame, source: str = "weather-readings",
+def enforce_contract(readings: DataFrame, source: str = READINGS_TOPIC,
                      position: tuple[str, str] = ("partition", "offset")) -> tuple[DataFrame, DataFrame]:
     """Split flat readings into (archivable, dead letters). Dead letters keep the
     re-encoded message as ``value`` when the raw text is not carried."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry.functions import codec as C
+from telemetry.schemas import READINGS_TOPIC
 from telemetry.functions import exprs as X
 from telemetry.operators import alerts as AL
 from telemetry.operators.dedupe import first_write_wins
@@ -349,7 +350,7 @@ def q_decode_readings(spark, d):
                        F.col("weather.wind_speed").alias("wind_speed"), "partition", "offset")
 
 
-@register("dead_letters", O.with_ctes(["wire_ev"], f"""SELECT 'weather-readings' AS source, "partition", "offset", value,
+@register("dead_letters", O.with_ctes(["wire_ev"], f"""SELECT '{READINGS_TOPIC}' AS source, "partition", "offset", value,
        CASE WHEN f IN ({W.FAULT_TRUNCATED}, {W.FAULT_JSON_NULL}, {W.FAULT_WEATHER_TEXT}) THEN '{C.MALFORMED}'
             WHEN f IN ({W.FAULT_HUMIDITY_TEXT}, {W.FAULT_OUT_OF_RANGE}) THEN '{C.BAD_NUMBER}humidity'
             ELSE '{C.CONTRACT}battery_status is null' END AS reason
@@ -385,10 +386,10 @@ def q_decode_props(spark, d):
 
 # ---- scalar functions re-aimed at columns ------------------------------------------------------
 
-_HOST = """CASE event_id % 4 WHEN 0 THEN 'weather-station-' || CAST(user_id AS {t})
+_HOST = """CASE event_id % 4 WHEN 0 THEN 'sensor-node-' || CAST(user_id AS {t})
                             WHEN 1 THEN 'station-' || CAST(user_id AS {t}) || 'a'
                             WHEN 2 THEN 'host' || CAST(user_id AS {t})
-                            ELSE 'weather-station-' END"""
+                            ELSE 'sensor-node-' END"""
 _EXPLICIT = "CASE WHEN event_id % 5 = 0 THEN event_id END"
 
 

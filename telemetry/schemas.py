@@ -2,6 +2,11 @@
 
 from pyspark.sql import types as T
 
+# ---- fixed values: topic names of the original deployment --------------------------------
+READINGS_TOPIC = "weather-readings"
+ALERTS_TOPIC = "rain-alerts"
+# --------------------------------------------------------------------------------------------
+
 # Reading message on the wire: {"station_id", "s_no", "battery_status", "status_timestamp", "weather": {...}}
 WEATHER = T.StructType([
     T.StructField("humidity", T.IntegerType()),
