@@ -288,7 +288,7 @@ def q_encode_alerts(spark, d):
 @register("archive_alerts", O.with_ctes(["li_alert_msgs"], """SELECT station_id, s_no AS sequence_number,
        status_timestamp AS "timestamp", humidity, alert_count, ingested_at AS detected_at
 FROM (SELECT *, row_number() OVER (PARTITION BY station_id, s_no ORDER BY l_shipdate, l_partkey, l_suppkey,
-             l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) AS arrival_rank
+             l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag) AS arrival_rank
       FROM li_alert_msgs) m
 WHERE arrival_rank = 1"""))
 def q_archive_alerts(spark, d):
@@ -459,11 +459,16 @@ def q_key_conflicts_li(spark, d):
 STREAM_SLICES = 4
 
 
-def _run(spark, records, start, name: str, order: str = "offset"):
+STATE_BYTES_PER_TRIGGER = 8 << 20
+
+
+def _run(spark, records, start, name: str, order: str = "offset", max_bytes: int | None = None):
     paths = J.StreamPaths(scratch_path(spark, name))
     topic = f"{paths.root}/topic"
     write_topic_in_slices(records, topic, STREAM_SLICES, order=order)
-    query = start(read_topic(spark, "parquet", topic, max_per_trigger=W.TOPIC_PARTITIONS), paths)
+    source = read_topic(spark, "parquet", topic, max_per_trigger=W.TOPIC_PARTITIONS,
+                        max_bytes_per_trigger=max_bytes)
+    query = start(source, paths)
     query.awaitTermination()
     return J.read_sink(spark, paths.sink)
 
@@ -485,7 +490,9 @@ def q_stream_alerts(spark, d):
 @register("stream_alerts_keyed_state", REGISTRY["stream_alerts"].sql)
 def q_stream_alerts_keyed_state(spark, d):
     """The running count kept in Spark's keyed state store instead of a carried table."""
-    sink = _run(spark, W.wire_ev(spark, d), J.start_alert_stream_keyed_state, "stream-alerts-state")
+    # One station's rows of one micro-batch form one group, so the batch is capped in bytes.
+    sink = _run(spark, W.wire_ev(spark, d), J.start_alert_stream_keyed_state, "stream-alerts-state",
+                max_bytes=STATE_BYTES_PER_TRIGGER)
     return sink.select(*AL.ALERT_FIELDS)
 
 

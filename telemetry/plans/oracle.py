@@ -35,11 +35,11 @@ CTES: dict[str, str] = {
               CAST(20 + l_suppkey % 101 AS INTEGER) AS temperature,
               CAST(l_partkey % 51 AS INTEGER) AS wind_speed,
               make_timestamp(CAST(epoch_us(l_shipdate) // 1000000 AS BIGINT) * 1000000) AS ingested_at,
-              l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus
+              l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag
        FROM lineitem""",
     "li_ranked": """SELECT *, row_number() OVER (PARTITION BY station_id, sequence_number
               ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
-                       l_tax, l_linestatus) AS arrival_rank
+                       l_tax, l_linestatus, l_returnflag) AS arrival_rank
        FROM li_raw""",
     "li": """SELECT station_id, sequence_number, battery_status, "timestamp", humidity, temperature,
               wind_speed, ingested_at
@@ -142,8 +142,8 @@ CTES["wire_ev"] = _wire_cte()
 DEPS["wire_ev"] = ["ev"]
 CTES["li_alert_msgs"] = """SELECT station_id, sequence_number AS s_no, "timestamp" AS status_timestamp, humidity,
               CAST(row_number() OVER (PARTITION BY station_id ORDER BY l_shipdate, l_partkey, l_suppkey,
-                   l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) AS BIGINT) AS alert_count,
+                   l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag) AS BIGINT) AS alert_count,
               ingested_at, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-              l_linestatus
+              l_linestatus, l_returnflag
        FROM li_raw WHERE humidity > 35"""
 DEPS["li_alert_msgs"] = ["li_raw"]

@@ -25,7 +25,7 @@ EV_MISSING_ALERT_EVERY = 13  # stored ev alerts skip sequence numbers divisible
 LI_RAIN_THRESHOLD = 35
 LI_FLAG_TO_BATTERY = {"A": "low", "N": "medium", "R": "high"}
 LI_ARRIVAL = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-              "l_discount", "l_tax", "l_linestatus"]
+              "l_discount", "l_tax", "l_linestatus", "l_returnflag"]
 # ----------------------------------------------------------------------------------------
 
 
@@ -58,7 +58,7 @@ def readings_li_raw(spark: SparkSession, sf_dir: str, keep_arrival: bool = True)
 
     Arrival order is the lexicographic order of ``LI_ARRIVAL`` (prefixed ``arr_``).
     """
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", *LI_ARRIVAL)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *LI_ARRIVAL)
     flag = F.col("l_returnflag")
     battery = F.when(flag == "A", "low").when(flag == "N", "medium").when(flag == "R", "high")
     secs = epoch_seconds("l_shipdate")

@@ -18,11 +18,13 @@ _RECORD_COLS = ["CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
 
 
 def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int | None = None,
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of topic records, earliest first.
 
     For ``kafka`` ``topic`` is the topic name and ``options`` carry
     ``kafka.bootstrap.servers`` and friends; otherwise ``topic`` is a folder.
+    ``max_per_trigger`` caps records (kafka) or files (folders) per micro-batch;
+    ``max_bytes_per_trigger`` caps bytes read per micro-batch from a folder.
     """
     options = dict(options or {})
     if fmt == "kafka":
@@ -32,7 +34,9 @@ def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int |
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return reader.options(**options).load().selectExpr(*_RECORD_COLS)
     reader = spark.readStream.format(fmt).schema(TOPIC_RECORD)
-    if max_per_trigger:
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    elif max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     return reader.options(**options).load(topic)
 
