@@ -40,6 +40,16 @@ def register_latest_view(readings: DataFrame, name: str = "latest_station_status
     return latest
 
 
+def register_views(readings: DataFrame, alerts: DataFrame | None = None) -> None:
+    """Expose the archives to SQL under their table names: ``weather_readings``,
+    ``rain_alerts`` and the ``latest_station_status`` view (Spark SQL; ``COUNT(*) FILTER``,
+    ``date_trunc`` and windows work as written)."""
+    readings.createOrReplaceTempView("weather_readings")
+    if alerts is not None:
+        alerts.createOrReplaceTempView("rain_alerts")
+    register_latest_view(readings)
+
+
 def jdbc_insert_if_absent(batch: DataFrame, url: str, table: str, arrival: list[str],
                           properties: dict[str, str] | None = None, num_partitions: int = 8) -> int:
     """Append the rows of ``batch`` whose key the JDBC table does not hold yet.

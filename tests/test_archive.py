@@ -24,3 +24,21 @@ def test_latest_view(spark, golden):
     register_latest_view(r)
     got = rows(spark.sql("SELECT station_id, sequence_number FROM latest_station_status ORDER BY station_id"))
     assert got == [(1, 5), (2, 6), (3, 1), (4, 4)]
+
+
+def test_sql_over_registered_views(spark, golden):
+    from telemetry.sources.archive import register_views
+    r, a = golden
+    register_views(r, a)
+    got = rows(spark.sql("""
+        SELECT r.station_id, COUNT(*) FILTER (WHERE r.humidity > 70) AS above,
+               COALESCE(MAX(s.n), 0) AS stored
+        FROM weather_readings r
+        LEFT JOIN (SELECT station_id, COUNT(*) AS n FROM rain_alerts GROUP BY station_id) s
+               ON s.station_id = r.station_id
+        GROUP BY r.station_id"""))
+    assert got == [(1, 2, 2), (2, 2, 1), (3, 0, 0), (4, 2, 2)]
+    minutes = spark.sql("""SELECT date_trunc('minute', timestamp_seconds(timestamp)) AS m, COUNT(*) AS n
+                           FROM weather_readings GROUP BY 1 ORDER BY 1 DESC LIMIT 1""").first()
+    assert minutes["n"] == 1
+    assert spark.sql("SELECT COUNT(*) FROM latest_station_status").first()[0] == 4
