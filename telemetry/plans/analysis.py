@@ -132,9 +132,12 @@ def readings_per_minute(readings: DataFrame, limit: int = 20) -> DataFrame:
 
 
 # A11 -- row-level cross-check of aged raining readings against stored alerts
-def rain_crosscheck(readings: DataFrame, alerts: DataFrame, as_of: str,
+def rain_crosscheck(readings: DataFrame, alerts: DataFrame, as_of: str | None = None,
                     threshold: int = RAIN_THRESHOLD, min_age_seconds: int = 30) -> DataFrame:
-    cutoff = F.expr(f"TIMESTAMP_NTZ'{as_of}' - INTERVAL {min_age_seconds} SECONDS")
+    """``as_of`` is a wall-clock time ('YYYY-MM-DD hh:mm:ss'); None means now. Give it
+    explicitly for repeatable runs."""
+    now = f"TIMESTAMP_NTZ'{as_of}'" if as_of else "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    cutoff = F.expr(f"{now} - INTERVAL {min_age_seconds} SECONDS")
     eligible = readings.where((F.col("humidity") > threshold) & (F.col("ingested_at") < cutoff)) \
         .select("station_id", "sequence_number")
     stored = alerts.select("station_id", F.col("sequence_number").alias("_alert_seq"))

@@ -86,3 +86,9 @@ def test_running_alert_count(golden):
 def test_table_counts(golden):
     r, a = golden
     assert rows(A.table_counts(r, a)) == [("rain_alerts", 6), ("weather_readings", 12)]
+
+
+def test_rain_crosscheck_now(golden):
+    r, a = golden
+    # readings from 1970 are older than now - 30 s: same answer as a far-future as_of
+    assert rows(A.rain_crosscheck(r, a)) == rows(A.rain_crosscheck(r, a, "2100-01-01 00:00:00"))
