@@ -295,9 +295,12 @@ def q_archive_alerts(spark, d):
     """Alerts counted over the raw ``li`` stream (every arriving copy counts), then
     archived first-write-wins by arrival: the kept copy keeps its count."""
     raw = S.readings_li_raw(spark, d)
+    # Bucket = (ship day, block of 1024 part keys): non-decreasing along the arrival order
+    # (ship date, part key, ...), so even a station with all copies on one day is split.
+    bucket = F.struct(time_bucket("arr_l_shipdate").alias("day"),
+                      F.floor(F.col("arr_l_partkey") / F.lit(1024)).alias("part_block"))
     alerts = AL.rain_alerts(raw, threshold=S.LI_RAIN_THRESHOLD, order=S.LI_ARRIVAL_COLS,
-                            bucket=time_bucket("arr_l_shipdate"),
-                            carry=["ingested_at", *S.LI_ARRIVAL_COLS])
+                            bucket=bucket, carry=["ingested_at", *S.LI_ARRIVAL_COLS])
     first = first_write_wins(alerts, ["station_id", "s_no"], S.LI_ARRIVAL_COLS)
     return AL.alerts_to_table(first, F.col("ingested_at"))
 

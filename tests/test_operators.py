@@ -101,3 +101,13 @@ def test_exact_rounding_both_dialects(spark):
         assert r1 == float(exact1) and p2 == float(exact2), (n, d)
         assert duck[(n, d)] == (r1, p2)
     assert spark.createDataFrame([(1, 0)], "n long, d long").select(F.expr(pct_sql("n", "d"))).first()[0] is None
+
+
+def test_keyed_row_number_struct_bucket(spark):
+    """A hot key whose rows share the first order column, split by the second."""
+    df = _skewed(spark).withColumn("day", (F.col("seq") % 3).cast("long"))
+    order = ["day", "v", "seq"]
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("long"))
+    bucket = F.struct(F.col("day"), F.floor(F.col("v") * 8).alias("vb"))
+    got = keyed_row_number(df, ["k"], order, bucket, out="rn")
+    assert rows(got, "k", "seq", "rn") == rows(want, "k", "seq", "rn")
