@@ -53,3 +53,16 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _bag(df.columns, got) == _bag(dcols, want)
+
+
+@pytest.mark.parametrize("name", ["readings_ev", "readings_per_minute", "rain_crosscheck", "readings_li"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = queries()[name](spark, SF)
+        got = df.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    cur = duck.execute(oracle_sql()[name])
+    assert _bag(df.columns, got) == _bag([c[0] for c in cur.description], cur.fetchall())
