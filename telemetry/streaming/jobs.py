@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetry.functions.codec import (archivable, dead_letters_of, decode_alerts, decode_readings,
                                        flatten_readings, tag_readings)
-from telemetry.functions.exprs import RAIN_THRESHOLD
+from telemetry.functions.exprs import RAIN_MESSAGE, RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
 from telemetry.operators.dedupe import insert_if_absent
 from telemetry.operators.keyed import sequence_bucket
@@ -261,29 +261,31 @@ ALERT_OUTPUT_SCHEMA = ("station_id long, s_no long, status_timestamp long, humid
                        "alert_count long, message string")
 
 
-def _number_station_alerts(key, batches, state):
-    """One station's raining readings of one micro-batch -> numbered alerts.
+def _station_numbering(message: str):
+    """The per-station state function. Built as a closure with no package imports, so it is
+    pickled by value and Python workers need only pandas and numpy (not this package).
 
-    The group holds at most one micro-batch of one station (bounded by the per-trigger cap);
-    the count carried between batches lives in the state store.
+    A group holds one station's raining readings of one micro-batch (bounded by the
+    per-trigger cap); the count carried between batches lives in the state store.
     """
-    import numpy as np
-    import pandas as pd
-
-    from telemetry.functions.exprs import RAIN_MESSAGE
-
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values(["partition", "offset"], kind="stable")
-    base = state.get[0] if state.exists else 0
-    counts = base + np.arange(1, len(pdf) + 1, dtype="int64")
-    state.update((int(counts[-1]),))
-    yield pd.DataFrame({
-        "station_id": pdf["station_id"].to_numpy(), "s_no": pdf["s_no"].to_numpy(),
-        "status_timestamp": pdf["status_timestamp"].to_numpy(), "humidity": pdf["humidity"].to_numpy(),
-        "alert_count": counts, "message": RAIN_MESSAGE,
-    })
+    def number(key, batches, state):
+        import numpy as np
+        import pandas as pd
+
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(["partition", "offset"], kind="stable")
+        base = state.get[0] if state.exists else 0
+        counts = base + np.arange(1, len(pdf) + 1, dtype="int64")
+        state.update((int(counts[-1]),))
+        yield pd.DataFrame({
+            "station_id": pdf["station_id"].to_numpy(), "s_no": pdf["s_no"].to_numpy(),
+            "status_timestamp": pdf["status_timestamp"].to_numpy(), "humidity": pdf["humidity"].to_numpy(),
+            "alert_count": counts, "message": message,
+        })
+
+    return number
 
 
 def start_alert_stream_keyed_state(records: DataFrame, paths: StreamPaths, threshold: int = RAIN_THRESHOLD,
@@ -302,7 +304,7 @@ def start_alert_stream_keyed_state(records: DataFrame, paths: StreamPaths, thres
         "station_id", F.col("sequence_number").alias("s_no"), F.col("timestamp").alias("status_timestamp"),
         "humidity", *ARRIVAL)
     alerts = raining.groupBy("station_id").applyInPandasWithState(
-        _number_station_alerts, ALERT_OUTPUT_SCHEMA, "alert_count long", "append", GroupStateTimeout.NoTimeout)
+        _station_numbering(RAIN_MESSAGE), ALERT_OUTPUT_SCHEMA, "alert_count long", "append", GroupStateTimeout.NoTimeout)
     writer = (alerts.writeStream.format("parquet").option("path", paths.sink)
               .option("checkpointLocation", paths.checkpoint).outputMode("append"))
     return _trigger(writer, available_now, interval).start()
