@@ -15,9 +15,10 @@ stays in the JVM; only batch ids pass through the driver.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -62,6 +63,35 @@ class StreamPaths:
 
 ARCHIVE_BUCKETS = 64
 
+log = logging.getLogger("telemetry.streaming")
+
+
+class BatchCounters:
+    """Per-micro-batch counters (records in, dead letters, rows written), gathered with
+    ``Observation`` during writes the batch performs anyway -- no extra job."""
+
+    def __init__(self):
+        self.history: list[dict] = []
+
+    @staticmethod
+    def observe_tagged(df: DataFrame) -> tuple[DataFrame, Observation]:
+        obs = Observation()
+        return df.observe(obs, F.count(F.lit(1)).alias("records"),
+                          F.count(F.when(F.col("reason").isNotNull(), 1)).alias("dead_letters")), obs
+
+    @staticmethod
+    def observe_written(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
+        obs = Observation()
+        return df.observe(obs, F.count(F.lit(1)).alias(name)), obs
+
+    def record(self, name: str, batch_id: int, *observations: Observation) -> dict:
+        row = {"query": name, "batch_id": batch_id}
+        for o in observations:
+            row.update(o.get)
+        self.history.append(row)
+        log.info("%s", row)
+        return row
+
 
 def _seed(spark: SparkSession, folder: str, schema: str, bucketed: bool = False) -> None:
     """An empty partition so the table can be read before batch 0."""
@@ -120,6 +150,7 @@ class CountedAlerts:
 
     def __init__(self, paths: StreamPaths, threshold: int = RAIN_THRESHOLD, compact_every: int = 20):
         self.paths, self.threshold, self.compact_every = paths, threshold, compact_every
+        self.counters = BatchCounters()
 
     def _since_snapshot(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """State rows of batches [last full snapshot, batch_id): at most ``compact_every``
@@ -143,13 +174,16 @@ class CountedAlerts:
             records = records.withColumnRenamed("timestamp", "record_timestamp")
         records = records.persist()
         good, dead = decode_readings(records, keep=carry)
+        dead, dead_seen = BatchCounters.observe_written(dead, "dead_letters")
         _write(dead, self.paths.dead, batch_id)
         readings = flatten_readings(good, keep=(*ARRIVAL, *carry))
         stations = readings.where(F.col("humidity") > self.threshold).select("station_id").distinct()
         base = self.base_counts(spark, batch_id, stations)
         alerts = rain_alerts(readings, self.threshold, order=ARRIVAL, bucket=sequence_bucket("offset"),
                              base_counts=base, carry=(*ARRIVAL, *carry))
+        alerts, alerts_seen = BatchCounters.observe_written(alerts, "alerts")
         _write(alerts, self.paths.sink, batch_id)
+        self.counters.record("rain_alerts", batch_id, dead_seen, alerts_seen)
         written = spark.read.parquet(f"{self.paths.sink}/batch_id={batch_id}")
         counts = written.groupBy("station_id").agg(F.max("alert_count").alias("alert_count"))
         if batch_id % self.compact_every == 0 and batch_id > 0:
@@ -187,16 +221,20 @@ class ArchiveReadings:
 
     def __init__(self, paths: StreamPaths):
         self.paths = paths
+        self.counters = BatchCounters()
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
         tagged = tag_readings(records).persist()
-        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
+        counted, seen = BatchCounters.observe_tagged(tagged)
+        _write(dead_letters_of(counted), self.paths.dead, batch_id)
         ok = archivable(tagged)
         archive = _archive_for(spark, self.paths.sink, batch_id, ok)
         new = insert_if_absent(ok, archive, KEY, ARRIVAL)
         stamped = new.drop(*ARRIVAL).withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
+        stamped, written = BatchCounters.observe_written(stamped)
         _write_archive(stamped, self.paths.sink, batch_id)
+        self.counters.record("archive_readings", batch_id, seen, written)
         tagged.unpersist()
 
 
@@ -205,16 +243,19 @@ class ArchiveAlerts:
 
     def __init__(self, paths: StreamPaths):
         self.paths = paths
+        self.counters = BatchCounters()
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
         records = records.persist()
         good, dead = decode_alerts(records)
+        dead, dead_seen = BatchCounters.observe_written(dead, "dead_letters")
         _write(dead, self.paths.dead, batch_id)
         rows = _alert_rows(good)
         archive = _archive_for(spark, self.paths.sink, batch_id, rows)
-        new = insert_if_absent(rows, archive, KEY, ARRIVAL)
-        _write_archive(new.drop(*ARRIVAL), self.paths.sink, batch_id)
+        new, written = BatchCounters.observe_written(insert_if_absent(rows, archive, KEY, ARRIVAL).drop(*ARRIVAL))
+        _write_archive(new, self.paths.sink, batch_id)
+        self.counters.record("archive_alerts", batch_id, dead_seen, written)
         records.unpersist()
 
 

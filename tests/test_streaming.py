@@ -77,6 +77,7 @@ def test_counted_alert_batch_replay(spark):
     sink = J.read_sink(spark, paths.sink)
     assert "record_timestamp" in sink.columns and sink.where("record_timestamp IS NULL").count() == 0
     once = rows(sink, "station_id", "s_no", "alert_count")
+    assert sum(c["alerts"] for c in fn.counters.history) == len(once)
     fn(recs.where("sequence_number > 10"), 1)
     assert rows(J.read_sink(spark, paths.sink), "station_id", "s_no", "alert_count") == once
     assert max(r[2] for r in once if r[0] == 1) == 40
@@ -126,3 +127,17 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert J.read_sink(spark, paths.sink).count() == 80
+
+
+def test_archive_batch_counters(spark):
+    readings = _readings(spark)
+    recs = with_resends(records_from_readings(readings, faults=True, ids=True)).drop("send_at")
+    paths = J.StreamPaths(scratch_path(spark, "test-counters"))
+    J._seed(spark, paths.sink, J.READINGS_ARCHIVE_SCHEMA, bucketed=True)
+    fn = J.ArchiveReadings(paths)
+    fn(recs, 0)
+    c = fn.counters.history[-1]
+    total = recs.where("value IS NOT NULL").count()
+    dead = J.read_sink(spark, paths.dead).count()
+    assert c["records"] == total and c["dead_letters"] == dead
+    assert c["written"] == J.read_sink(spark, paths.sink).count()
