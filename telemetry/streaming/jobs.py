@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from telemetry.functions.codec import (archivable, dead_letters_of, decode_alert
                                        flatten_readings, tag_readings)
 from telemetry.functions.exprs import RAIN_MESSAGE, RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
-from telemetry.operators.dedupe import insert_if_absent
+from telemetry.operators.dedupe import first_write_wins
 from telemetry.operators.keyed import sequence_bucket
 from telemetry.schemas import KEY
 
@@ -60,12 +61,21 @@ class StreamPaths:
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
+    @property
+    def high_water(self) -> str:
+        return f"{self.root}/high_water"
+
 
 ARCHIVE_BUCKETS = 64
 
 log = logging.getLogger("telemetry.streaming")
 
 
+class Observed(NamedTuple):
+    observation: Observation
+    names: tuple[str, ...]
+
+
 class BatchCounters:
     """Per-micro-batch counters (records in, dead letters, rows written), gathered with
     ``Observation`` during writes the batch performs anyway -- no extra job."""
@@ -74,20 +84,27 @@ class BatchCounters:
         self.history: list[dict] = []
 
     @staticmethod
-    def observe_tagged(df: DataFrame) -> tuple[DataFrame, Observation]:
+    def observe_tagged(df: DataFrame) -> tuple[DataFrame, Observed]:
         obs = Observation()
-        return df.observe(obs, F.count(F.lit(1)).alias("records"),
-                          F.count(F.when(F.col("reason").isNotNull(), 1)).alias("dead_letters")), obs
+        out = df.observe(obs, F.count(F.lit(1)).alias("records"),
+                         F.count(F.when(F.col("reason").isNotNull(), 1)).alias("dead_letters"))
+        return out, Observed(obs, ("records", "dead_letters"))
 
     @staticmethod
-    def observe_written(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
+    def observe_written(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observed]:
         obs = Observation()
-        return df.observe(obs, F.count(F.lit(1)).alias(name)), obs
+        return df.observe(obs, F.count(F.lit(1)).alias(name)), Observed(obs, (name,))
 
-    def record(self, name: str, batch_id: int, *observations: Observation) -> dict:
+    def record(self, name: str, batch_id: int, *observed: Observed, **exact: int) -> dict:
         row = {"query": name, "batch_id": batch_id}
-        for o in observations:
-            row.update(o.get)
+        for o in observed:
+            try:
+                row.update(o.observation.get)
+            except Exception:  # noqa: BLE001
+                # Adaptive execution replaced a provably empty plan, observe node included:
+                # no rows flowed through it.
+                row.update({k: 0 for k in o.names})
+        row.update(exact)
         self.history.append(row)
         log.info("%s", row)
         return row
@@ -145,25 +162,55 @@ def _trigger(writer, available_now: bool, interval: str | None):
 
 # ---- alerts with a running count --------------------------------------------------------------
 
+class StationMax:
+    """A per-station maximum carried across micro-batches (alert counts, highest archived
+    sequence number).
+
+    Batch ``n`` writes ``<folder>/batch_id=<n>``: the stations it touched with their new
+    maximum, and every ``compact_every`` batches a full snapshot. Reading the value before
+    batch ``n`` opens at most ``compact_every`` folders, named by a glob, so neither the folder
+    nor any archive is listed or scanned as a whole. A replayed batch reads only batches
+    before it and overwrites its own folder, so replays give the same answer.
+    """
+
+    def __init__(self, folder: str, column: str, compact_every: int = 20):
+        self.folder, self.column, self.compact_every = folder, column, compact_every
+
+    def _last_snapshot(self, batch_id: int) -> int:
+        return (batch_id - 1) // self.compact_every * self.compact_every
+
+    def _rows_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id <= 0:
+            return spark.createDataFrame([], f"station_id long, {self.column} long")
+        ids = range(self._last_snapshot(batch_id), batch_id)
+        return (spark.read.option("basePath", self.folder).parquet(f"{self.folder}/batch_id={_glob(ids)}")
+                .where(F.col("batch_id") < F.lit(batch_id)).select("station_id", self.column))
+
+    def before(self, spark: SparkSession, batch_id: int, stations: DataFrame | None = None) -> DataFrame:
+        """(station_id, column): the maximum over all batches before ``batch_id``."""
+        rows = self._rows_before(spark, batch_id)
+        if stations is not None:
+            rows = rows.join(stations, "station_id", "left_semi")
+        return rows.groupBy("station_id").agg(F.max(self.column).alias(self.column))
+
+    def write(self, spark: SparkSession, batch_id: int, updates: DataFrame) -> None:
+        """Record this batch's per-station values (a full snapshot every ``compact_every``)."""
+        rows = updates.select("station_id", F.col(self.column).cast("long").alias(self.column))
+        if batch_id > 0 and batch_id % self.compact_every == 0:
+            rows = self._rows_before(spark, batch_id).unionByName(rows)
+        _write(rows.groupBy("station_id").agg(F.max(self.column).alias(self.column)), self.folder, batch_id)
+
+
 class CountedAlerts:
     """``foreachBatch`` function: decode -> raining -> numbered per station -> alerts."""
 
     def __init__(self, paths: StreamPaths, threshold: int = RAIN_THRESHOLD, compact_every: int = 20):
-        self.paths, self.threshold, self.compact_every = paths, threshold, compact_every
+        self.paths, self.threshold = paths, threshold
+        self.counts = StationMax(paths.state, "alert_count", compact_every)
         self.counters = BatchCounters()
 
-    def _since_snapshot(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """State rows of batches [last full snapshot, batch_id): at most ``compact_every``
-        folders, named by a glob so the state folder is never listed as a whole."""
-        last_full = max((batch_id - 1) // self.compact_every * self.compact_every, -1)
-        ids = range(last_full, batch_id) if batch_id > 0 else [-1]
-        return (spark.read.option("basePath", self.paths.state)
-                .parquet(f"{self.paths.state}/batch_id={_glob(ids)}")
-                .where(F.col("batch_id") < F.lit(batch_id)))
-
     def base_counts(self, spark: SparkSession, batch_id: int, stations: DataFrame) -> DataFrame:
-        return (self._since_snapshot(spark, batch_id).join(stations, "station_id", "left_semi")
-                .groupBy("station_id").agg(F.max("alert_count").alias("base_count")))
+        return self.counts.before(spark, batch_id, stations).withColumnRenamed("alert_count", "base_count")
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
@@ -184,20 +231,13 @@ class CountedAlerts:
         alerts, alerts_seen = BatchCounters.observe_written(alerts, "alerts")
         _write(alerts, self.paths.sink, batch_id)
         self.counters.record("rain_alerts", batch_id, dead_seen, alerts_seen)
-        written = spark.read.parquet(f"{self.paths.sink}/batch_id={batch_id}")
-        counts = written.groupBy("station_id").agg(F.max("alert_count").alias("alert_count"))
-        if batch_id % self.compact_every == 0 and batch_id > 0:
-            earlier = self._since_snapshot(spark, batch_id).select("station_id", "alert_count")
-            counts = earlier.unionByName(counts).groupBy("station_id").agg(F.max("alert_count").alias("alert_count"))
-        _write(counts, self.paths.state, batch_id)
+        self.counts.write(spark, batch_id, spark.read.parquet(f"{self.paths.sink}/batch_id={batch_id}"))
         records.unpersist()
 
 
 def start_alert_stream(records: DataFrame, paths: StreamPaths, threshold: int = RAIN_THRESHOLD,
                        available_now: bool = True, interval: str | None = None,
                        compact_every: int = 20) -> StreamingQuery:
-    spark = records.sparkSession
-    _seed(spark, paths.state, "station_id long, alert_count long")
     writer = records.writeStream.foreachBatch(CountedAlerts(paths, threshold, compact_every)) \
         .option("checkpointLocation", paths.checkpoint)
     return _trigger(writer, available_now, interval).start()
@@ -216,11 +256,39 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
 
 # ---- archives (first write wins) ---------------------------------------------------------------
 
+def _insert_new(spark: SparkSession, batch: DataFrame, paths: StreamPaths, batch_id: int,
+                high_water: StationMax) -> DataFrame:
+    """Rows of ``batch`` (first arrival per key already chosen) whose key is not archived.
+
+    Sequence numbers grow per station, so a reading above its station's highest archived
+    sequence number is new for certain. Only readings at or below it (producer retries,
+    replays, station restarts) are probed against the archive, and only in their buckets; a
+    batch without such readings never reads the archive. Exact either way.
+    """
+    stations = batch.select("station_id").distinct()
+    marks = high_water.before(spark, batch_id, stations).withColumnRenamed("sequence_number", "_high")
+    flagged = batch.join(marks, "station_id", "left")
+    maybe_seen = flagged.where(F.col("_high").isNotNull() & (F.col("sequence_number") <= F.col("_high")))
+    if maybe_seen.isEmpty():
+        return batch
+    archive = _archive_for(spark, paths.sink, batch_id, maybe_seen)
+    present = archive.select(*KEY).join(maybe_seen.select(*KEY), KEY, "left_semi")
+    return batch.join(present, KEY, "left_anti")
+
+
+def _written(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """The archive rows this batch wrote. The glob also names the seeded empty folder, so it
+    matches even when the batch wrote nothing."""
+    return (spark.read.option("basePath", folder).parquet(f"{folder}/bucket=*/batch_id={{-1,{batch_id}}}")
+            .where(F.col("batch_id") == F.lit(batch_id)))
+
+
 class ArchiveReadings:
     """``foreachBatch`` function: decode -> contract -> insert-if-absent into the archive."""
 
-    def __init__(self, paths: StreamPaths):
+    def __init__(self, paths: StreamPaths, compact_every: int = 20):
         self.paths = paths
+        self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
         self.counters = BatchCounters()
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
@@ -228,21 +296,23 @@ class ArchiveReadings:
         tagged = tag_readings(records).persist()
         counted, seen = BatchCounters.observe_tagged(tagged)
         _write(dead_letters_of(counted), self.paths.dead, batch_id)
-        ok = archivable(tagged)
-        archive = _archive_for(spark, self.paths.sink, batch_id, ok)
-        new = insert_if_absent(ok, archive, KEY, ARRIVAL)
-        stamped = new.drop(*ARRIVAL).withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-        stamped, written = BatchCounters.observe_written(stamped)
+        first = first_write_wins(archivable(tagged), KEY, ARRIVAL)
+        new = _insert_new(spark, first, self.paths, batch_id, self.high_water)
+        stamped = new.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
         _write_archive(stamped, self.paths.sink, batch_id)
-        self.counters.record("archive_readings", batch_id, seen, written)
+        written = _written(spark, self.paths.sink, batch_id).select("station_id", "sequence_number").persist()
+        self.high_water.write(spark, batch_id, written)
+        self.counters.record("archive_readings", batch_id, seen, written=written.count())
+        written.unpersist()
         tagged.unpersist()
 
 
 class ArchiveAlerts:
     """``foreachBatch`` function for the alert topic: keep the first alert per key."""
 
-    def __init__(self, paths: StreamPaths):
+    def __init__(self, paths: StreamPaths, compact_every: int = 20):
         self.paths = paths
+        self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
         self.counters = BatchCounters()
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
@@ -251,11 +321,12 @@ class ArchiveAlerts:
         good, dead = decode_alerts(records)
         dead, dead_seen = BatchCounters.observe_written(dead, "dead_letters")
         _write(dead, self.paths.dead, batch_id)
-        rows = _alert_rows(good)
-        archive = _archive_for(spark, self.paths.sink, batch_id, rows)
-        new, written = BatchCounters.observe_written(insert_if_absent(rows, archive, KEY, ARRIVAL).drop(*ARRIVAL))
-        _write_archive(new, self.paths.sink, batch_id)
-        self.counters.record("archive_alerts", batch_id, dead_seen, written)
+        first = first_write_wins(_alert_rows(good), KEY, ARRIVAL)
+        _write_archive(_insert_new(spark, first, self.paths, batch_id, self.high_water), self.paths.sink, batch_id)
+        written = _written(spark, self.paths.sink, batch_id).select("station_id", "sequence_number").persist()
+        self.high_water.write(spark, batch_id, written)
+        self.counters.record("archive_alerts", batch_id, dead_seen, written=written.count())
+        written.unpersist()
         records.unpersist()
 
 
