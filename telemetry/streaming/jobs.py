@@ -5,12 +5,17 @@ All sinks are folders ``<sink>/batch_id=<n>`` written with overwrite from
 returns, and a replayed batch reads the same input and overwrites the same folder, so a
 crash between write and commit leaves no duplicate (write first, acknowledge after).
 
-Running count. Each batch numbers its raining readings per station in arrival order
-(partition, offset) and adds the station's count from earlier batches. Those counts live
-in ``<state>/batch_id=<n>``: per batch the stations it touched with their new count, and
-every ``compact_every`` batches a full snapshot, so a batch reads at most
-``compact_every`` small deltas plus one snapshot -- never the alert archive. Everything
-stays in the JVM; only batch ids pass through the driver.
+Running count (``CountedAlerts``). Each batch numbers its raining readings per station in
+arrival order (partition, offset) with bounded (station, bucket) windows and adds the
+station's count from earlier batches, carried by ``StationMax``: per batch the stations it
+touched with their new value, every ``compact_every`` batches a full snapshot, so a batch
+reads at most ``compact_every`` small deltas plus one snapshot -- never the alert archive.
+Everything stays in the JVM; only batch ids pass through the driver. The alternative
+``start_alert_stream_keyed_state`` keeps the count in Spark's state store instead.
+
+Archives (``ArchiveReadings``, ``ArchiveAlerts``). First write wins per key inside the batch,
+then a per-station high-water mark (another ``StationMax``) separates certainly-new readings
+from the few that must be probed against the archive, in their buckets only.
 """
 
 from __future__ import annotations
