@@ -176,6 +176,9 @@ class StationMax:
     batch ``n`` opens at most ``compact_every`` folders, named by a glob, so neither the folder
     nor any archive is listed or scanned as a whole. A replayed batch reads only batches
     before it and overwrites its own folder, so replays give the same answer.
+
+    ``compact_every`` fixes which folders are snapshots; like other stateful settings it must
+    stay the same across restarts of one checkpoint.
     """
 
     def __init__(self, folder: str, column: str, compact_every: int = 20):
