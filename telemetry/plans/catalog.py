@@ -74,23 +74,25 @@ def q_archive_readings_li(spark, d):
 
 # ---- battery ------------------------------------------------------------------------------
 
-_BATTERY_DIST = """SELECT station_id, battery_status, COUNT(*) AS messages,
-       {p} AS percentage
-FROM {t} GROUP BY station_id, battery_status"""
+# Oracles are written in their own forms (joins to totals, SUM(CASE), EXCEPT, EXISTS), not in
+# the shape of the Spark plans, so the two sides check each other.
 
-
-@register("battery_distribution", O.with_ctes(["ev"], _BATTERY_DIST.format(
-    p=O.pct("COUNT(*)", "SUM(COUNT(*)) OVER (PARTITION BY station_id)"), t="ev")))
+@register("battery_distribution", O.with_ctes(["ev"], f"""SELECT c.station_id, c.battery_status, c.messages,
+       {O.pct("c.messages", "tot.n")} AS percentage
+FROM (SELECT station_id, battery_status, COUNT(*) AS messages FROM ev GROUP BY station_id, battery_status) c
+JOIN (SELECT station_id, COUNT(*) AS n FROM ev GROUP BY station_id) tot ON tot.station_id = c.station_id"""))
 def q_battery_distribution(spark, d):
     return A.battery_distribution(ev(spark, d))
 
 
 def _pivot_sql(t: str) -> str:
-    def share(level):
-        return O.pct(f"COUNT(*) FILTER (WHERE battery_status = '{level}')", "COUNT(*)")
-    return O.with_ctes([t], f"""SELECT station_id, COUNT(*) AS total,
-       {share('low')} AS low_pct, {share('medium')} AS medium_pct, {share('high')} AS high_pct
-FROM {t} GROUP BY station_id""")
+    def n(level):
+        return f"SUM(CASE WHEN battery_status = '{level}' THEN 1 ELSE 0 END) AS n_{level}"
+    return O.with_ctes([t], f"""SELECT station_id, total,
+       {O.pct("n_low", "total")} AS low_pct, {O.pct("n_medium", "total")} AS medium_pct,
+       {O.pct("n_high", "total")} AS high_pct
+FROM (SELECT station_id, COUNT(*) AS total, {n('low')}, {n('medium')}, {n('high')}
+      FROM {t} GROUP BY station_id) s""")
 
 
 @register("battery_pivot", _pivot_sql("ev"))
@@ -103,9 +105,9 @@ def q_battery_pivot_li(spark, d):
     return A.battery_pivot(li(spark, d))
 
 
-@register("battery_global", O.with_ctes(["ev"], f"""SELECT battery_status, COUNT(*) AS messages,
-       {O.pct("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage
-FROM ev GROUP BY battery_status"""))
+@register("battery_global", O.with_ctes(["ev"], f"""SELECT battery_status, messages,
+       {O.pct("messages", "(SELECT COUNT(*) FROM ev)")} AS percentage
+FROM (SELECT battery_status, COUNT(*) AS messages FROM ev GROUP BY battery_status) g"""))
 def q_battery_global(spark, d):
     return A.battery_global(ev(spark, d))
 
@@ -113,12 +115,9 @@ def q_battery_global(spark, d):
 # ---- drops and gaps -------------------------------------------------------------------------
 
 def _drop_sql(t: str) -> str:
-    return O.with_ctes([t], f"""SELECT station_id,
-       MAX(sequence_number) AS expected_messages,
-       COUNT(*) AS received_messages,
-       MAX(sequence_number) - COUNT(*) AS dropped_messages,
-       {O.pct("MAX(sequence_number) - COUNT(*)", "MAX(sequence_number)")} AS drop_rate_pct
-FROM {t} GROUP BY station_id""")
+    return O.with_ctes([t], f"""SELECT station_id, hi AS expected_messages, n AS received_messages,
+       hi - n AS dropped_messages, {O.pct("hi - n", "hi")} AS drop_rate_pct
+FROM (SELECT station_id, MAX(sequence_number) AS hi, COUNT(*) AS n FROM {t} GROUP BY station_id) s""")
 
 
 @register("drop_rate", _drop_sql("ev"))
@@ -131,31 +130,29 @@ def q_drop_rate_li(spark, d):
     return A.drop_rate(li(spark, d))
 
 
-@register("drop_rate_cluster", O.with_ctes(["ev"], f"""SELECT CAST(SUM(expected) AS BIGINT) AS expected_total,
-       CAST(SUM(received) AS BIGINT) AS received_total,
-       CAST(SUM(expected - received) AS BIGINT) AS dropped_total,
-       {O.pct("SUM(expected - received)", "SUM(expected)")} AS drop_rate_pct
-FROM (SELECT station_id, MAX(sequence_number) AS expected, COUNT(*) AS received
-      FROM ev GROUP BY station_id) per_station"""))
+@register("drop_rate_cluster", O.with_ctes(["ev"], f"""SELECT CAST(SUM(hi) AS BIGINT) AS expected_total,
+       CAST(SUM(n) AS BIGINT) AS received_total,
+       CAST(SUM(hi) - SUM(n) AS BIGINT) AS dropped_total,
+       {O.pct("SUM(hi) - SUM(n)", "SUM(hi)")} AS drop_rate_pct
+FROM (SELECT MAX(sequence_number) AS hi, COUNT(*) AS n FROM ev GROUP BY station_id) s"""))
 def q_drop_rate_cluster(spark, d):
     return A.drop_rate_cluster(ev(spark, d))
 
 
-@register("missing_for_station", O.with_ctes(["ev"], f"""SELECT gs.missing_sequence
-FROM generate_series(1, (SELECT MAX(sequence_number) FROM ev WHERE station_id = {MISSING_STATION}))
-     AS gs(missing_sequence)
-LEFT JOIN ev w ON w.station_id = {MISSING_STATION} AND w.sequence_number = gs.missing_sequence
-WHERE w.station_id IS NULL
-ORDER BY 1 LIMIT 50"""))
+@register("missing_for_station", O.with_ctes(["ev"], f"""SELECT missing_sequence FROM (
+    SELECT "range" AS missing_sequence
+    FROM range(1, (SELECT MAX(sequence_number) FROM ev WHERE station_id = {MISSING_STATION}) + 1)
+    EXCEPT
+    SELECT sequence_number FROM ev WHERE station_id = {MISSING_STATION}) m
+ORDER BY missing_sequence LIMIT 50"""))
 def q_missing_for_station(spark, d):
     return A.missing_for_station(ev(spark, d), MISSING_STATION, 50)
 
 
-_ALL_MISSING = """SELECT a.station_id, a.missing_sequence
-FROM (SELECT station_id, unnest(generate_series(1, MAX(sequence_number))) AS missing_sequence
-      FROM {t} GROUP BY station_id) a
-LEFT JOIN {t} w ON w.station_id = a.station_id AND w.sequence_number = a.missing_sequence
-WHERE w.station_id IS NULL"""
+_ALL_MISSING = """SELECT station_id, missing_sequence FROM (
+    SELECT station_id, unnest(range(1, MAX(sequence_number) + 1)) AS missing_sequence FROM {t} GROUP BY station_id
+    EXCEPT
+    SELECT station_id, sequence_number FROM {t}) m"""
 
 
 @register("missing_all", O.with_ctes(["ev"], _ALL_MISSING.format(t="ev")))
@@ -186,8 +183,10 @@ def q_gap_ranges_li(spark, d):
 # ---- latest, validation, statistics ----------------------------------------------------------
 
 def _latest_sql(t: str) -> str:
-    return O.with_ctes([t], f"""SELECT DISTINCT ON (station_id) {O.READING_COLS}
-FROM {t} ORDER BY station_id, sequence_number DESC""")
+    cols = ", ".join(f"r.{c.strip()}" for c in O.READING_COLS.split(","))
+    return O.with_ctes([t], f"""SELECT {cols}
+FROM {t} r JOIN (SELECT station_id, MAX(sequence_number) AS top FROM {t} GROUP BY station_id) m
+  ON m.station_id = r.station_id AND m.top = r.sequence_number""")
 
 
 @register("latest_status", _latest_sql("ev"))
@@ -200,24 +199,27 @@ def q_latest_status_li(spark, d):
     return A.latest_status(li(spark, d))
 
 
-@register("rain_validation", O.with_ctes(["ev", "alerts_ev"], """SELECT r.station_id,
-       COUNT(*) FILTER (WHERE r.humidity > 70) AS readings_above_70,
-       (SELECT COUNT(*) FROM alerts_ev a WHERE a.station_id = r.station_id) AS alerts_stored
-FROM ev r GROUP BY r.station_id"""))
+@register("rain_validation", O.with_ctes(["ev", "alerts_ev"], """SELECT station_id,
+       CAST(SUM(above) AS BIGINT) AS readings_above_70, CAST(SUM(alert) AS BIGINT) AS alerts_stored
+FROM (SELECT station_id, CASE WHEN humidity > 70 THEN 1 ELSE 0 END AS above, 0 AS alert, 1 AS reading FROM ev
+      UNION ALL
+      SELECT station_id, 0, 1, 0 FROM alerts_ev) u
+GROUP BY station_id HAVING SUM(reading) > 0"""))
 def q_rain_validation(spark, d):
     readings = ev(spark, d)
     return A.rain_validation(readings, S.alerts_ev(spark, d, readings))
 
 
 def _crosscheck_sql(t: str, alerts: str, threshold: int, as_of: str) -> str:
-    return O.with_ctes([t, alerts], f"""SELECT r.station_id,
-       COUNT(*) AS qualifying_readings,
-       COUNT(a.sequence_number) AS matching_alerts,
-       COUNT(*) FILTER (WHERE a.sequence_number IS NULL) AS missing_alerts
-FROM eligible_readings r
-LEFT JOIN {alerts} a ON a.station_id = r.station_id AND a.sequence_number = r.sequence_number
-GROUP BY r.station_id""", extra=[("eligible_readings", f"""SELECT station_id, sequence_number FROM {t}
-WHERE humidity > {threshold} AND ingested_at < TIMESTAMP '{as_of}' - INTERVAL '30 seconds'""")])
+    return O.with_ctes([t, alerts], f"""SELECT station_id, COUNT(*) AS qualifying_readings,
+       CAST(SUM(found) AS BIGINT) AS matching_alerts, CAST(COUNT(*) - SUM(found) AS BIGINT) AS missing_alerts
+FROM (SELECT x.station_id,
+             CASE WHEN EXISTS (SELECT 1 FROM {alerts} y
+                               WHERE y.station_id = x.station_id AND y.sequence_number = x.sequence_number)
+                  THEN 1 ELSE 0 END AS found
+      FROM {t} x
+      WHERE x.humidity > {threshold} AND x.ingested_at < TIMESTAMP '{as_of}' - INTERVAL 30 SECOND) z
+GROUP BY station_id""")
 
 
 @register("rain_crosscheck", _crosscheck_sql("ev", "alerts_ev", 70, EV_AS_OF))
@@ -244,9 +246,9 @@ def q_weather_stats(spark, d):
     return A.weather_stats(ev(spark, d))
 
 
-@register("readings_per_minute", O.with_ctes(["ev"], """SELECT date_trunc('minute', make_timestamp("timestamp" * 1000000)) AS minute,
-       COUNT(*) AS readings
-FROM ev GROUP BY 1 ORDER BY 1 DESC LIMIT 20"""))
+@register("readings_per_minute", O.with_ctes(["ev"], """SELECT minute, COUNT(*) AS readings
+FROM (SELECT time_bucket(INTERVAL '1 minute', make_timestamp("timestamp" * 1000000)) AS minute FROM ev) b
+GROUP BY minute ORDER BY minute DESC LIMIT 20"""))
 def q_readings_per_minute(spark, d):
     return A.readings_per_minute(ev(spark, d))
 
