@@ -1,0 +1 @@
+"""Whole user queries (analysis, quality) and the registry of queries with their oracles."""
