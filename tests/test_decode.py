@@ -88,3 +88,17 @@ def test_encode_round_trip(spark, golden):
     assert dead.count() == 0
     back = flatten_readings(good)
     assert sorted(back.collect()) == sorted(r.drop("ingested_at").collect())
+
+
+def test_enforce_contract_on_flat_readings(spark, golden):
+    from pyspark.sql import functions as F
+
+    from telemetry.functions.codec import enforce_contract
+    r, _ = golden
+    bad = r.withColumn("battery_status", F.when(F.col("sequence_number") == 2, F.lit(None))
+                       .otherwise(F.col("battery_status")))
+    ok, dead = enforce_contract(bad.drop("ingested_at"))
+    assert ok.count() == 9 and dead.count() == 3
+    d = dead.collect()
+    assert {x["reason"] for x in d} == {"contract: battery_status is null"}
+    assert all('"battery_status":null' in x["value"] for x in d)   # re-encoded message kept
