@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetry.llm import decontaminate as D1
+from telemetry.llm import jaccard as J2
 from telemetry.llm import oracle as O
 from telemetry.llm.frames import table
 
@@ -20,8 +21,14 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         .drop("longest_match", "longest_at")
 
 
+def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Size and component of the 5-word shingle set of every document, linked at similarity 0.75."""
+    return J2.similarity_classes(table(spark, sf, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_jaccard_join": op2_jaccard_join,
 }
 
 SQL: dict[str, str] = {
