@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from telemetry.llm import decontaminate as D1
 from telemetry.llm import jaccard as J2
 from telemetry.llm import oracle as O
+from telemetry.llm import quality_pu as Q4
 from telemetry.llm.frames import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +27,16 @@ def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return J2.similarity_classes(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document."""
+    return Q4.score_table(table(spark, sf, "documents", "doc_id", "text"),
+                          table(spark, sf, "labels", "doc_id", "quality"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
+    "op4_quality": op4_quality,
 }
 
 SQL: dict[str, str] = {
