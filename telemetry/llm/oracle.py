@@ -37,3 +37,21 @@ SELECT doc.doc_id, len(doc.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(doc.w) AS contaminated
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN names USING (doc_id)
 """
+
+
+MIXING = """
+WITH sizes AS (SELECT source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY source),
+w AS (SELECT source, size, CASE WHEN size > 0 THEN pow(size, 0.7) ELSE 0 END AS w FROM sizes),
+rates AS (SELECT source, CASE WHEN size > 0 THEN 1.0 * w / sum(w) OVER () * sum(size) OVER () / size ELSE 1.0 END AS rate FROM w),
+terms AS (SELECT source, rate, unnest(generate_series(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT)) AS k FROM rates),
+cum AS (SELECT source, rate, sum(CASE WHEN rate > 0 THEN exp(k * ln(rate) - rate - lgamma(k + 1)) ELSE (k = 0)::INT END)
+               OVER (PARTITION BY source ORDER BY k) AS below FROM terms),
+cdf AS (SELECT source, rate, list(below) AS cdf FROM cum GROUP BY source, rate),
+drawn AS (SELECT d.doc_id, d.source, d.text, rate,
+                 len(list_filter(cdf, lambda c: c <= ('0x' || substr(md5('5:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT
+                                                     / 4503599627370496.0)) AS copies
+          FROM documents d JOIN cdf ON cdf.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, source, text, round(rate, 6) AS rate, copies::INT AS copies, copy::INT AS copy,
+       md5('deal5:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key
+FROM (SELECT *, unnest(generate_series(1, copies)) AS copy FROM drawn WHERE copies > 0)
+"""

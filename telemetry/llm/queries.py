@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telemetry.llm import decontaminate as D1
 from telemetry.llm import jaccard as J2
+from telemetry.llm import kdshards as K10
+from telemetry.llm import mixing as M5
 from telemetry.llm import oracle as O
 from telemetry.llm import quality_pu as Q4
 from telemetry.llm.frames import table
@@ -33,12 +36,26 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
                           table(spark, sf, "labels", "doc_id", "quality"))
 
 
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Copies of documents for a mix whose sources have shares proportional to size ** 0.7."""
+    docs = table(spark, sf, "documents", "doc_id", "source", "text")
+    return M5.replicate(docs, with_details=True).withColumn("rate", F.round("rate", 6))
+
+
+def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and slot of every document in 40 shards of nearly equal bytes."""
+    return K10.shard_table(table(spark, sf, "documents", "doc_id", "text", "source", "lang"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_quality": op4_quality,
+    "op5_mixing": op5_mixing,
+    "op10_sharding": op10_sharding,
 }
 
 SQL: dict[str, str] = {
     "op1_decontaminate": O.DECONTAMINATE,
+    "op5_mixing": O.MIXING,
 }
