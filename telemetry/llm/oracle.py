@@ -55,3 +55,51 @@ SELECT doc_id, source, text, round(rate, 6) AS rate, copies::INT AS copies, copy
        md5('deal5:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key
 FROM (SELECT *, unnest(generate_series(1, copies)) AS copy FROM drawn WHERE copies > 0)
 """
+
+_SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+
+LINE_RULES = rf"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{_SPACE_WORDS}'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS t
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM doc)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+ln AS (SELECT doc_id, line, pos, regexp_extract_all(line, '{_SPACE_WORDS}') AS lw,
+              row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS dup
+       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM doc)
+       WHERE len(regexp_extract_all(line, '{_SPACE_WORDS}')) > 0),
+stat AS (SELECT *, len(lw) AS n, len(list_filter(lw, lambda x: x = '|' OR x = '>')) AS seps,
+                len(list_filter(lw, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS sym,
+                len(list_filter(lw, lambda x: regexp_matches(x, '[A-Z].*[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS shout FROM ln),
+bad AS (SELECT doc_id, dup, n,
+               (seps >= 2 AND 5 * seps >= n) OR 4 * sym > n OR (n >= 3 AND 2 * shout > n)
+               OR (n < 5 AND NOT regexp_matches(lw[-1], '[.!?:;"'')]$')) OR dup
+               OR regexp_matches(line, '(?i)all rights reserved|cookie policy|privacy policy|terms of use|terms of service|log in|sign up|subscribe to|javascript|skip to content')
+               AS failed FROM stat),
+lines AS (SELECT doc_id, sum(dup::INT) AS n_dup_lines, sum(CASE WHEN failed THEN n ELSE 0 END) AS lost FROM bad GROUP BY doc_id),
+base AS (SELECT doc.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                coalesce(lost, 0)::BIGINT AS n_lost_words
+         FROM doc LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * n_lost_words <= n_words AS kept FROM base
+"""
+
+_BLOCK = r"(?i)</?(p|div|li|ul|ol|h[1-6]|br|nav|footer|header|article|section|aside|table|tr|title|body|head|html)\b[^>]*>"
+
+SITE_LINES = rf"""
+WITH page AS (SELECT page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
+    list_filter(list_transform(string_split(regexp_replace(regexp_replace(
+        regexp_replace(coalesce(html, ''), '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(10), 'g'),
+        '{_BLOCK}', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)),
+        lambda x: trim(regexp_replace(x, '[ \t\r\f\x0B]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM pages),
+total AS (SELECT host, count(*) AS pages FROM page WHERE host IS NOT NULL GROUP BY host),
+often AS (SELECT host, line FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM page WHERE host IS NOT NULL)
+          JOIN total USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages),
+boiler AS (SELECT host, list(line) AS b FROM often GROUP BY host),
+kept AS (SELECT page_id, url, page.host, lines, CASE WHEN b IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(b, x)) END AS k
+         FROM page LEFT JOIN boiler ON page.host = boiler.host)
+SELECT page_id, url, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(k))::BIGINT AS n_dropped,
+       coalesce(array_to_string(k, chr(10)), '') AS text FROM kept
+"""

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from telemetry.llm import decontaminate as D1
 from telemetry.llm import jaccard as J2
 from telemetry.llm import kdshards as K10
+from telemetry.llm import line_rules as L9
 from telemetry.llm import mixing as M5
 from telemetry.llm import oracle as O
 from telemetry.llm import quality_pu as Q4
+from telemetry.llm import site_lines as S6
 from telemetry.llm.frames import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -47,15 +49,30 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return K10.shard_table(table(spark, sf, "documents", "doc_id", "text", "source", "lang"))
 
 
+def op6_site_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Text of every page without the lines that stand on over a tenth of the pages of its host."""
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    return S6.drop_site_lines(pages, S6.html_lines(F.col("html"))).drop("html")
+
+
+def op9_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Base counts and verdict of line-first cleaning of every document."""
+    return L9.rule_table(table(spark, sf, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op6_site_lines": op6_site_lines,
+    "op9_line_rules": op9_line_rules,
     "op10_sharding": op10_sharding,
 }
 
 SQL: dict[str, str] = {
     "op1_decontaminate": O.DECONTAMINATE,
     "op5_mixing": O.MIXING,
+    "op6_site_lines": O.SITE_LINES,
+    "op9_line_rules": O.LINE_RULES,
 }
