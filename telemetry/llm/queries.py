@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry.llm import chunk_dedup as C7
 from telemetry.llm import decontaminate as D1
 from telemetry.llm import jaccard as J2
 from telemetry.llm import kdshards as K10
@@ -15,6 +16,7 @@ from telemetry.llm import mixing as M5
 from telemetry.llm import oracle as O
 from telemetry.llm import quality_pu as Q4
 from telemetry.llm import site_lines as S6
+from telemetry.llm import token_scan as T3
 from telemetry.llm.frames import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,12 +62,24 @@ def op9_line_rules(spark: SparkSession, sf: str) -> DataFrame:
     return L9.rule_table(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, counted between the separators of flat token files."""
+    return T3.token_counts(table(spark, sf, "documents", "doc_id", "text")).select("doc_id", "n_tokens")
+
+
+def op7_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without passages that an earlier place holds."""
+    return C7.dedup_substrings(table(spark, sf, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_site_lines": op6_site_lines,
+    "op7_chunk_dedup": op7_chunk_dedup,
     "op9_line_rules": op9_line_rules,
     "op10_sharding": op10_sharding,
 }
