@@ -14,6 +14,7 @@ from telemetry.llm import kdshards as K10
 from telemetry.llm import line_rules as L9
 from telemetry.llm import mixing as M5
 from telemetry.llm import oracle as O
+from telemetry.llm import page_text as H8
 from telemetry.llm import quality_pu as Q4
 from telemetry.llm import site_lines as S6
 from telemetry.llm import token_scan as T3
@@ -72,6 +73,11 @@ def op7_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return C7.dedup_substrings(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op8_page_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    return H8.text_table(table(spark, sf, "pages", "page_id", "url", "html"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
@@ -80,6 +86,7 @@ QUERIES: dict[str, QueryFn] = {
     "op5_mixing": op5_mixing,
     "op6_site_lines": op6_site_lines,
     "op7_chunk_dedup": op7_chunk_dedup,
+    "op8_page_text": op8_page_text,
     "op9_line_rules": op9_line_rules,
     "op10_sharding": op10_sharding,
 }
