@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from telemetry.llm.frames import materialise
 from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, constants, row_counts, span_hashes, word_spans
 
-MIN_WORDS = 25
+MIN_WORDS = 20
 #: One byte in ``1 << CHUNK_BITS`` ends a chunk; none is longer than ``MAX_BYTES``.
 CHUNK_BITS = 5
 MAX_BYTES = 512

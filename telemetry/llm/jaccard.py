@@ -7,22 +7,26 @@ the symmetric difference of a pair by ``k``, so when the shingle domain is cut i
 partitions, few of them can differ between the two. Each partition is cut into ``n2``
 parts, and every subset of ``n2 - k2`` parts gives one signature: similar sets share one.
 
-A signature over no shingle says nothing and is not emitted. A set whose partitions are so
-often empty that the bound no longer guarantees a filled common signature also emits its
-prefix (its first shingles in hash order); two such sets share one of those. Hence no pair
-is missed, whatever the sizes.
+The domain of the signatures leaves out common shingles (boilerplate): the difference of
+two sets does not grow by that, so the bound still holds, and texts that share only common
+passages share no signature. A signature over no shingle says nothing and is not emitted.
+A set whose partitions are so often empty that the bound no longer guarantees a filled
+common signature also emits its prefix (its first shingles, common ones last); two such
+sets share one of those. Hence no pair is missed, whatever the sizes and the common set.
 
 Steps
-1. ``shingle_sets``: one narrow pass gives every document the size and hash of its set.
+1. ``shingle_sets``: one narrow pass gives every document the size, hash and parity bitmap
+   of its set, and the shingles that several texts of a block share, with their counts.
    Documents of equal sets form a class; all further work is on classes.
 2. ``signature_blobs``: a second pass packs signatures by bucket (4 bytes of signature and
    2 of row each), so a shuffle of some bytes a shingle replaces one of rows. Copies within
    a task are emitted once.
 3. Each bucket keeps only signatures shared by two classes or more and links each class to
-   the smallest of its group (a star, not all pairs); pairs are verified on the full sets.
-4. Groups whose classes are not one component then give the pairs across components that
-   pass an exact lower bound on the difference (parity bitmaps); those are verified too.
-   A pair left out is in one component already or was proven dissimilar.
+   the smallest of its group (a star, not all pairs); pairs that an exact lower bound on the
+   difference (the bitmaps) allows are verified on the full sets.
+4. Groups whose classes are not one component then give, for each class, the nearest of
+   another component, and after these are verified all pairs across components that the
+   bound allows. A pair left out is in one component already or was proven dissimilar.
 
 Edge cases: null and empty texts and texts of white space have no shingles, are linked
 with nothing and are their own component. A text of fewer words than a shingle has its
@@ -53,7 +57,11 @@ NUM, DEN = 3, 4
 BUCKET_BYTES = 16 << 20
 #: Bands up to this size use three parts a partition, of which one may differ.
 SMALL_BAND = 62
-SKETCH_BITS = 512
+#: Most bits of a parity bitmap (two or more per element below that), and of its folded copy.
+SKETCH_BITS, BRIEF_BITS = 1 << 17, 1 << 11
+#: Share of the sets from which on a shingle is common, and the most common shingles there can be.
+COMMON = 1 / 2000
+COMMON_MOST = 1 << 20
 
 _SHINGLE = constants(5, 64)
 _U = np.uint64
@@ -97,16 +105,27 @@ def set_hashes(u: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketches(u: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Parity bitmap of each set: bits that differ are at most as many as elements that differ."""
+    """Parity bitmap of each set: bits that differ are at most as many as elements that differ.
+
+    The size is a power of two from twice the elements up, so that dissimilar sets show.
+    """
     out = []
     for a, z in zip(bounds[:-1], bounds[1:]):
-        counts = np.bincount((u[a:z] & _U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
-        out.append(np.packbits((counts & 1).astype(np.uint8)).tobytes())
+        bits = min(SKETCH_BITS, max(64, 1 << int(2 * (z - a) - 1).bit_length() if z > a else 64))
+        counts = np.bincount((u[a:z] & _U(bits - 1)).astype(np.int64), minlength=bits)
+        out.append(np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes())
     return out
 
 
+def fold(bitmap: bytes, size: int) -> np.ndarray:
+    """A parity bitmap brought to ``size`` bytes (halves are added); as 64-bit words."""
+    words = np.frombuffer(bitmap, _U)
+    return np.bitwise_xor.reduce(words.reshape(-1, size // 8), axis=0) if len(bitmap) > size else words
+
+
 def shingle_sets(docs: DataFrame, id_column: str, text: str, ngram: int) -> DataFrame:
-    """doc id, set hash ``h`` and size ``n`` per row; a narrow pass."""
+    """A narrow pass. Kind 0: id, set hash ``h``, size ``n`` and bitmap of each row; kind 1: a
+    shingle ``h`` that ``n`` (3 or more) different sets of a block share."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,24 +133,46 @@ def shingle_sets(docs: DataFrame, id_column: str, text: str, ngram: int) -> Data
             ids = batch.column(0)
             for b in blocks(batch.column(1)):
                 u, bounds = block_sets(b, ngram)
+                h, n = set_hashes(u, bounds), np.diff(bounds)
+                bitmaps = sketches(u, bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(b.n, np.int32)), ids.slice(b.first, b.n), pa.array(h), pa.array(n),
+                     pa.array(bitmaps, pa.binary()),
+                     pa.array([fold(x, BRIEF_BITS // 8).tobytes() for x in bitmaps], pa.binary())], names=names)
+                new = np.zeros(b.n, dtype=bool)
+                new[np.unique(h, return_index=True)[1]] = True
+                shared, count = np.unique(u[np.repeat(new, n)], return_counts=True)
+                shared, count = shared[count >= 3], count[count >= 3]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(b.first, b.n), pa.array(set_hashes(u, bounds)), pa.array(np.diff(bounds))],
-                    names=["id", "h", "n"])
-    return docs.select(F.col(id_column), F.col(text)).mapInArrow(run, f"id {kind}, h bigint, n bigint")
+                    [pa.array(np.ones(len(shared), np.int32)), pa.nulls(len(shared), ids.type), pa.array(shared.view(np.int64)),
+                     pa.array(count.astype(np.int64)), pa.nulls(len(shared), pa.binary()), pa.nulls(len(shared), pa.binary())], names=names)
+    names = ["kind", "id", "h", "n", "sketch", "brief"]
+    return docs.select(F.col(id_column), F.col(text)).mapInArrow(
+        run, f"kind int, id {kind}, h bigint, n bigint, sketch binary, brief binary")
+
+
+def common_shingles(found: DataFrame) -> np.ndarray:
+    """Sorted shingles found in a share of ``COMMON`` of the sets or more; at most ``COMMON_MOST``.
+
+    The counts sum to at most the sizes of all sets, which bounds how many reach the limit.
+    """
+    sets, total = found.filter("kind = 0").agg(F.count(F.lit(1)), F.sum("n")).first()
+    limit = max(20, sets * COMMON, (total or 0) / COMMON_MOST)
+    rows = found.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= limit).select("h").toArrow()
+    return np.sort(rows.column("h").to_numpy().view(_U)) if len(rows) else np.empty(0, _U)
 
 
 def full_sets(docs: DataFrame, text: str, ngram: int) -> DataFrame:
-    """Set hash, size, parity bitmap and all shingles of each row (for verification)."""
+    """Set hash and all shingles of each row (for verification)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch.column(0)):
                 u, bounds = block_sets(b, ngram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(set_hashes(u, bounds)), pa.array(np.diff(bounds)),
-                     pa.array(sketches(u, bounds), type=pa.binary()),
+                    [pa.array(set_hashes(u, bounds)),
                      pa.array([u[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:])], type=pa.binary())],
-                    names=["h", "n", "sketch", "elements"])
-    return docs.select(text).mapInArrow(run, "h bigint, n bigint, sketch binary, elements binary")
+                    names=["h", "elements"])
+    return docs.select(text).mapInArrow(run, "h bigint, elements binary")
 
 
 # ---- signatures ---------------------------------------------------------------------------
@@ -150,8 +191,14 @@ def partitions(top: np.ndarray) -> np.ndarray:
     return np.where(top <= SMALL_BAND, np.ceil(0.17 * top), np.ceil(0.31 * top)).astype(np.int64) + 1
 
 
-def _instance(u: np.ndarray, bounds: np.ndarray, n: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of the rows in the instance of band top ``top[row]`` (0: not taking part)."""
+def _instance(u: np.ndarray, bounds: np.ndarray, common: np.ndarray, n: np.ndarray,
+              top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row) of the rows in the instance of band top ``top[row]`` (0: not taking part).
+
+    ``common`` flags elements outside the domain of the signatures.
+    """
+    rare = np.flatnonzero(~common)
+    rare_bounds = np.searchsorted(rare, bounds)
     sigs, owners = [], []
     largest_partner = np.minimum(top, n * DEN // NUM)
     k = (n + largest_partner) // 7  # |A ^ B| <= (|A| + |B|) / 7 at similarity 3/4
@@ -162,15 +209,16 @@ def _instance(u: np.ndarray, bounds: np.ndarray, n: np.ndarray, top: np.ndarray)
         n1 = partitions(top[rows])
         cells = n1 * parts
         base = np.cumsum(cells) - cells
-        lens = n[rows]
-        spot = np.repeat(bounds[rows] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-        e = u[spot]
+        lens = (rare_bounds[1:] - rare_bounds[:-1])[rows]
+        spot = np.repeat(rare_bounds[rows] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+        e = u[rare[spot]]
         cell = (((e >> _U(32)) * np.repeat(cells, lens).astype(_U)) >> _U(32)).astype(np.int64) + np.repeat(base, lens)
         edge = np.flatnonzero(np.diff(cell, prepend=-1))
         sums = np.zeros(int(cells.sum()), dtype=_U)
         filled = np.zeros(len(sums), dtype=bool)
-        sums[cell[edge]] = np.add.reduceat(mix64(e ^ _SHINGLE[50]), edge)
-        filled[cell[edge]] = True
+        if len(edge):
+            sums[cell[edge]] = np.add.reduceat(mix64(e ^ _SHINGLE[50]), edge)
+            filled[cell[edge]] = True
         sums, filled = sums.reshape(-1, parts), filled.reshape(-1, parts)
         owner = np.repeat(rows, n1)
         where = (np.arange(len(owner)) - np.repeat(base // parts, n1)).astype(_U) * _SHINGLE[51] \
@@ -188,27 +236,37 @@ def _instance(u: np.ndarray, bounds: np.ndarray, n: np.ndarray, top: np.ndarray)
         flat = rows[safe <= k[rows] // (k2 + 1)]
         for r in flat:
             prefix = int(n[r]) - math.ceil(NUM * int(n[r]) / DEN) + 1
-            sigs.append(mix64(u[bounds[r]:bounds[r] + prefix] * _SHINGLE[58] + top[r:r + 1].astype(_U) * _SHINGLE[57]))
+            of, last = u[bounds[r]:bounds[r + 1]], common[bounds[r]:bounds[r + 1]]
+            first = np.concatenate([of[~last], of[last]])[:prefix]
+            sigs.append(mix64(first * _SHINGLE[58] + top[r:r + 1].astype(_U) * _SHINGLE[57]))
             owners.append(np.full(prefix, r))
     if not sigs:
         return np.empty(0, _U), np.empty(0, np.int64)
     return np.concatenate(sigs), np.concatenate(owners)
 
 
-def signatures(u: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) for all sets: the instance of the own band and that of the next."""
+def signatures(u: np.ndarray, bounds: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row) for all sets: the instance of the own band and that of the next.
+
+    ``often``: the sorted common shingles, the same for all sets.
+    """
+    common = np.zeros(len(u), dtype=bool)
+    if len(often):
+        common = often[np.minimum(np.searchsorted(often, u), len(often) - 1)] == u
     n = np.diff(bounds)
     tops = band_tops(int(n.max(initial=1)) * DEN // NUM + 1)
     band = np.searchsorted(tops, n)
     out = []
     for step in (0, 1):
         top = np.where(n > 0, tops[np.minimum(band + step, len(tops) - 1)], 0)
-        out.append(_instance(u, bounds, n, top))
+        out.append(_instance(u, bounds, common, n, top))
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-def signature_blobs(docs: DataFrame, text: str, ngram: int, buckets: int) -> DataFrame:
+def signature_blobs(docs: DataFrame, text: str, ngram: int, buckets: int, often: np.ndarray) -> DataFrame:
     """bucket, classes (hash and size of each row) and packed entries (signature, row)."""
+    shared = docs.sparkSession.sparkContext.broadcast(often)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -225,7 +283,7 @@ def signature_blobs(docs: DataFrame, text: str, ngram: int, buckets: int) -> Dat
                 u, n, h = u[take], n[new], h[new]
                 if not len(h):
                     continue
-                sig, row = signatures(u, np.concatenate([[0], np.cumsum(n)]))
+                sig, row = signatures(u, np.concatenate([[0], np.cumsum(n)]), shared.value)
                 bucket = ((sig >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -288,52 +346,121 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
 
 # ---- verification -------------------------------------------------------------------------
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes whose sets are similar enough, as edges (u, v).
+def _allowed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sizes and bitmaps do not rule them out."""
+    a = classes.select(F.col("h").alias("a"), F.col("n").alias("an"), F.col("sketch").alias("as"))
+    b = classes.select(F.col("h").alias("b"), F.col("n").alias("bn"), F.col("sketch").alias("bs"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "an", "bn", "as", "bs").mapInArrow(_bound, "a bigint, b bigint")
 
-    The bitmap bound drops most others before the shingles of both sides are brought together.
+
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
+    """Pairs (a, b) of classes whose full sets are similar enough, as edges (u, v).
+
+    Only the texts that stand for a class of some pair are read again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-            good = []
-            for left, right in zip(x, y):
-                p, q = np.frombuffer(left, _U), np.frombuffer(right, _U)
+            a, b = (np.array(batch.column(i), np.int64) for i in (0, 1))
+            good = np.zeros(len(a), dtype=bool)
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+                p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(DEN * both >= NUM * (len(p) + len(q) - both))
-            ok = np.array(good, dtype=bool)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)[ok]), pa.array(np.array(b, np.int64)[ok])], names=["u", "v"])
-    left = sets.select(F.col("h").alias("a"), F.col("n").alias("an"), F.col("sketch").alias("as"), F.col("elements").alias("x"))
-    right = sets.select(F.col("h").alias("b"), F.col("n").alias("bn"), F.col("sketch").alias("bs"), F.col("elements").alias("y"))
-    light = pairs.join(left.drop("x"), "a").join(right.drop("y"), "b").select("a", "b", "an", "bn", "as", "bs")
-    close = materialise(light.mapInArrow(_bound, "a bigint, b bigint"), "close")
-    return close.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "x", "y") \
-        .mapInArrow(run, "u bigint, v bigint")
+                good[i] = DEN * both >= NUM * (len(p) + len(q) - both)
+            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["u", "v"])
+    pairs = materialise(_allowed(pairs, classes), "pairs")
+    ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
+    heads = classes.join(small(materialise(ends, "ends")), "h", "left_semi").select("id")
+    sets = materialise(full_sets(semi(docs, heads, "id"), "text", ngram), "elements")
+    return pairs.join(sets.select(F.col("h").alias("a"), F.col("elements").alias("x")), "a") \
+        .join(sets.select(F.col("h").alias("b"), F.col("elements").alias("y")), "b") \
+        .select("a", "b", "x", "y").mapInArrow(run, "u bigint, v bigint")
 
 
 def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = np.array(batch.column(2)) + np.array(batch.column(3))
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for i in (4, 5))
-        ok = pa.array(7 * np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= n)
+        ok = np.zeros(len(batch), dtype=bool)
+        for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+            size = min(len(x), len(y))
+            ok[i] = 7 * int(np.bitwise_count(fold(x, size) ^ fold(y, size)).sum()) <= n[i]
+        ok = pa.array(ok)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
 
-def _across(pdf: pd.DataFrame) -> pd.DataFrame:
+def _group_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
     """Pairs of a group in different components that the size and bitmap bounds allow, block by block."""
-    pdf = pdf.sort_values("n")
-    h, n, root = (pdf[c].to_numpy() for c in ("h", "n", "root"))
-    bits = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)
-    out = []
-    for i in range(len(h)):
-        end = int(np.searchsorted(n, n[i] * DEN // NUM, "right"))
-        for lo in range(i + 1, end, 1 << 16):
-            j = np.arange(lo, min(end, lo + (1 << 16)))
-            j = j[root[j] != root[i]]
-            differ = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
-            j = j[7 * differ <= n[j] + n[i]]
-            out += [(min(h[i], x), max(h[i], x)) for x in h[j]]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    order = np.argsort(n, kind="stable")
+    h, n, root, bits = h[order], n[order], root[order], bits[order]
+    end = np.searchsorted(n, n * DEN // NUM, "right")
+    for lo in range(0, len(h), rows):
+        i = np.arange(lo, min(len(h), lo + rows))
+        for at in range(lo + 1, int(end[i[-1]]), 4096):
+            j = np.arange(at, min(int(end[i[-1]]), at + 4096))
+            x, y = np.nonzero((root[i][:, None] != root[j]) & (i[:, None] < j) & (j < end[i][:, None]))
+            ok = 7 * np.bitwise_count(bits[i[x]] ^ bits[j[y]]).sum(1, dtype=np.int64) <= n[i[x]] + n[j[y]]
+            p, q = h[i[x[ok]]], h[j[y[ok]]]
+            yield np.stack([np.minimum(p, q), np.maximum(p, q)], 1)
+
+
+def _nearest_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
+    """For each class of a group the class of another component that the bitmaps show as nearest, if the bounds allow it."""
+    for lo in range(0, len(h), rows):
+        i = np.arange(lo, min(len(h), lo + rows))
+        best, at = np.full(len(i), 1, dtype=np.int64), np.zeros(len(i), dtype=np.int64)
+        for first in range(0, len(h), 1024):
+            j = np.arange(first, min(len(h), first + 1024))
+            slack = 7 * np.bitwise_count(bits[i][:, None] ^ bits[j]).sum(2, dtype=np.int64) - n[i][:, None] - n[j]
+            other = (root[i][:, None] != root[j]) & (NUM * n[i][:, None] <= DEN * n[j]) & (NUM * n[j] <= DEN * n[i][:, None])
+            slack = np.where(other, slack, 1)
+            near = slack.argmin(1)
+            low = slack[np.arange(len(i)), near]
+            at = np.where(low < best, j[near], at)
+            best = np.minimum(best, low)
+        ok = best <= 0
+        p, q = h[i[ok]], h[at[ok]]
+        yield np.stack([np.minimum(p, q), np.maximum(p, q)], 1)
+
+
+def _across(batches: Iterator[pa.RecordBatch], of_group=_group_pairs) -> Iterator[pa.RecordBatch]:
+    """Rows (g, h, n, root, bitmap) in the order of g: the pairs of each group, repeats within a batch once."""
+    held: list[list[np.ndarray]] = []
+
+    def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
+        g, h, n, root, bits = columns
+        cuts = np.append(np.flatnonzero(np.diff(g, prepend=~g[:1])), len(g))
+        found = []
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            size = min(map(len, bits[a:z]))
+            found += of_group(h[a:z], n[a:z], root[a:z], np.stack([fold(x, size) for x in bits[a:z]]))
+        both = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        now = [np.array(batch.column(i)) for i in range(4)]
+        now.append(np.array(batch.column(4).to_pylist(), dtype=object))
+        last = int(np.searchsorted(now[0], now[0][-1], "left"))
+        if last or (held and held[0][0][0] != now[0][0]):
+            # all groups but the last are complete
+            if held and held[0][0][0] != now[0][0] and not last:
+                done, held = held, []
+            else:
+                done, held = [*held, [c[:last] for c in now]], []
+            yield pairs([np.concatenate(c) for c in zip(*done)])
+        held.append([c[last:] for c in now])
+    if held:
+        yield pairs([np.concatenate(c) for c in zip(*held)])
+
+
+def _open_rows(groups: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (g, h, n, root, brief) of the groups of three classes or more (two are a star) in several components, by g."""
+    named = materialise(groups.select("g", "h", "n").join(known.withColumnRenamed("node", "h"), "h", "left")
+                        .withColumn("root", F.coalesce("root", "h")), "named")
+    open_groups = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")) \
+        .filter("lo <> hi and m > 2").select("g")
+    return named.join(open_groups, "g", "left_semi").join(classes.select("h", "brief"), "h") \
+        .select("g", "h", "n", "root", "brief").repartition("g").sortWithinPartitions("g")
 
 
 # ---- the operator -------------------------------------------------------------------------
@@ -342,34 +469,29 @@ def similarity_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "
                        ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links)."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    rows = materialise(shingle_sets(docs, "id", "text", ngram), "sets")
+    found = materialise(shingle_sets(docs, "id", "text", ngram), "sets")
+    rows = found.filter("kind = 0").select("id", "h", "n", "sketch", "brief")
+    classes = materialise(rows.groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+                                                  F.first("brief").alias("brief")), "classes")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
     groups = materialise(
-        signature_blobs(docs, "text", ngram, buckets).groupBy("bucket").applyInPandas(_shared, _GROUPS)
-        .dropDuplicates(["g", "h"]), "groups")
+        signature_blobs(docs, "text", ngram, buckets, common_shingles(found)).groupBy("bucket")
+        .applyInPandas(_shared, _GROUPS).dropDuplicates(["g", "h"]), "groups")
 
     stars = groups.filter(f"rep <> h and {NUM} * greatest(n, rep_n) <= {DEN} * least(n, rep_n)") \
         .select(F.col("rep").alias("a"), F.col("h").alias("b")).distinct()
-    members = groups.select("h").distinct()
-    heads = rows.groupBy("h").agg(F.min("id").alias("id")).join(small(members), "h", "left_semi")
-    sets = materialise(full_sets(semi(docs, heads, "id"), "text", ngram)
-                       .join(small(members), "h", "left_semi").dropDuplicates(["h"]), "elements")
-    links = materialise(_verify(stars, sets), "links")
-    first = components(links)
-
-    named = groups.join(first.withColumnRenamed("node", "h"), "h", "left") \
-        .withColumn("root", F.coalesce("root", "h"))
-    named = materialise(named, "named")
-    open_groups = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    rest = named.join(open_groups.select("g"), "g", "left_semi") \
-        .join(sets.select("h", "sketch"), "h").select("g", "h", "n", "root", "sketch")
-    more = rest.groupBy("g").applyInPandas(_across, "a bigint, b bigint").distinct().join(
-        stars, ["a", "b"], "left_anti")
-    edges = links.unionByName(_verify(materialise(more, "across"), sets))
-    final = components(edges)
-
-    labelled = rows.join(final.withColumnRenamed("node", "h"), "h", "left") \
+    links = materialise(_verify(stars, docs, classes, ngram), "links")
+
+    # Groups that are not one component yet: first each class with its nearest of another
+    # component, which joins nearly all that belong together, then all pairs across that are left.
+    for of_group in (_nearest_pairs, _group_pairs):
+        more = _open_rows(groups, components(links), classes) \
+            .mapInArrow(lambda batches, f=of_group: _across(batches, f), "a bigint, b bigint").distinct()
+        links = materialise(links.unionByName(_verify(more.join(stars, ["a", "b"], "left_anti"), docs, classes, ngram)), "links")
+    final = components(links)
+
+    labelled = rows.select("id", "h", "n").join(final.withColumnRenamed("node", "h"), "h", "left") \
         .withColumn("root", F.coalesce("root", "h"))
     name = labelled.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
     return labelled.join(name, "root", "left").select(
