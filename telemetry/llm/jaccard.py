@@ -485,8 +485,11 @@ def similarity_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "
 
     # Groups that are not one component yet: first each class with its nearest of another
     # component, which joins nearly all that belong together, then all pairs across that are left.
+    # One step along the star is enough to know most classes that are together by then.
+    near = links.groupBy(F.greatest("u", "v").alias("node")).agg(F.min(F.least("u", "v")).alias("root"))
     for of_group in (_nearest_pairs, _group_pairs):
-        more = _open_rows(groups, components(links), classes) \
+        known = near if of_group is _nearest_pairs else components(links)
+        more = _open_rows(groups, known, classes) \
             .mapInArrow(lambda batches, f=of_group: _across(batches, f), "a bigint, b bigint").distinct()
         links = materialise(links.unionByName(_verify(more.join(stars, ["a", "b"], "left_anti"), docs, classes, ngram)), "links")
     final = components(links)

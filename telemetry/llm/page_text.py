@@ -24,6 +24,7 @@ narrow pass, memory bounded by the longest page.
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -52,6 +53,10 @@ GOOD_TOKENS = ("article", "content", "main", "post", "entry", "story", "body", "
 TALK_TOKENS = ("comment", "comments", "reply", "replies", "discuss", "disqus", "feedback", "reviews")
 
 
+#: A tag that the end of the page cuts short.
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*$")
+
+
 @dataclass
 class Node:
     tag: str
@@ -135,7 +140,7 @@ class Dom(HTMLParser):
 
 def parse(html: str | None) -> Dom:
     dom = Dom()
-    dom.feed(html or "")
+    dom.feed(_CUT_TAG.sub("", html or ""))
     dom.close()
     return dom
 

@@ -160,12 +160,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
 
 def place_cut(model: Model, unlabelled: np.ndarray, prior: float, cut: float) -> Model:
-    """Shift the scores so that the cut lies in the widest gap near the quantile of the bad share."""
+    """Shift the scores so that the cut lies in the widest gap near the quantile of the bad share.
+
+    Near: within a fiftieth of the sample or three standard errors of that share.
+    """
     if model.fixed is not None:
         return model
     z = np.sort(((unlabelled - model.mean) / model.scale) @ model.weights)
     k = int(round((1 - prior) * len(z)))
-    slack = max(1, len(z) // 50)
+    slack = max(1, len(z) // 50, round(3 * (prior * (1 - prior) * len(z)) ** 0.5))
     lo, hi = max(0, k - slack), min(len(z) - 1, k + slack)
     gaps = np.diff(z[lo:hi + 1])
     at = lo + int(np.argmax(gaps)) if len(gaps) else min(k, len(z) - 1)
