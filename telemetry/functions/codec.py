@@ -27,9 +27,10 @@ _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
 def coerce_number(text: Column, spark_type: str) -> Column:
-    """``try_cast(try_cast(text AS DECIMAL(38,6)) AS type)``: fractions truncate, text and
-    out-of-range values give NULL."""
-    return text.try_cast("decimal(38,6)").try_cast(spark_type)
+    """A number as text to an integer type: fractions truncate, text and out-of-range values
+    give NULL. The fraction of a plain decimal is cut off as text, so that nothing rounds up."""
+    whole = F.regexp_replace(text, r"^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$", "$1$2")
+    return whole.try_cast("decimal(38,6)").try_cast(spark_type)
 
 
 def _parse_once(j: Column) -> Column:

@@ -8,9 +8,13 @@ sort order (for example ``sequence_number div 2^20`` or the day of a timestamp):
 1. the window runs per ``(key, bucket)``, so no window group exceeds one bucket;
 2. a partial aggregate counts rows (or takes the last value) per ``(key, bucket)``;
 3. a window over that small table carries the count (last value) of earlier buckets;
-4. a join on ``(key, bucket)`` adds the carry. The big side is already hash-partitioned
+4. a left join on ``(key, bucket)`` adds the carry. The big side is already hash-partitioned
    on ``(key, bucket)`` by step 1, so only the small table moves.
 
+Key and bucket travel as one struct: a struct equals itself even with NULL fields, so rows
+with a NULL key or a NULL order value keep their number, as in the plain window; and where
+the number is not read, Spark drops the left join.
+
 The bucket is computed from data, never from physical partition ids, so recomputation
 after a lost executor gives the same answer.
 """
@@ -41,15 +45,13 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence, bucket
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("long"))
 
-    b = df.withColumn(_B, bucket)
-    local = b.withColumn("_klocal", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*order)))
-    # Counted from the input with map-side partial aggregation: a cheap second branch. (Counting
-    # the windowed rows instead would repeat the window: the join's inferred null filters make
-    # the two branches differ, so Spark cannot reuse the window's exchange.)
-    counts = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_kn"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_koff"))
-    return (local.join(offsets, [*keys, _B])
+    b = df.withColumn(_B, F.struct(F.struct(*keys).alias("key"), bucket.alias("bucket")))
+    local = b.withColumn("_klocal", F.row_number().over(Window.partitionBy(_B).orderBy(*order)))
+    # Counted from the input with map-side partial aggregation: a cheap second branch.
+    counts = b.groupBy(_B).agg(F.count(F.lit(1)).alias("_kn"))
+    before = Window.partitionBy(f"{_B}.key").orderBy(f"{_B}.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_B, F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_koff"))
+    return (local.join(offsets, _B, "left")
             .withColumn(out, (F.col("_klocal") + F.col("_koff")).cast("long"))
             .drop(_B, "_klocal", "_koff"))
 
@@ -65,11 +67,12 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order_col: str, bucket: Column
         w = Window.partitionBy(*keys).orderBy(order_col)
         return df.withColumn(out, F.lag(order_col).over(w))
 
-    b = df.withColumn(_B, bucket)
-    local = b.withColumn("_klag", F.lag(order_col).over(Window.partitionBy(*keys, _B).orderBy(order_col)))
-    last = b.groupBy(*keys, _B).agg(F.max(order_col).alias("_klast"))
-    carried = last.select(*keys, _B, F.lag("_klast").over(Window.partitionBy(*keys).orderBy(_B)).alias("_kprev"))
-    return (local.join(carried, [*keys, _B])
+    b = df.withColumn(_B, F.struct(F.struct(*keys).alias("key"), bucket.alias("bucket")))
+    local = b.withColumn("_klag", F.lag(order_col).over(Window.partitionBy(_B).orderBy(order_col)))
+    last = b.groupBy(_B).agg(F.max(order_col).alias("_klast"))
+    before = Window.partitionBy(f"{_B}.key").orderBy(f"{_B}.bucket")
+    carried = last.select(_B, F.lag("_klast").over(before).alias("_kprev"))
+    return (local.join(carried, _B, "left")
             .withColumn(out, F.coalesce(F.col("_klag"), F.col("_kprev")))
             .drop(_B, "_klag", "_kprev"))
 

@@ -35,12 +35,14 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh folder is
-    created and registered, so jobs never pick a machine-local path on a cluster.
+    Read from the session; only when it is unset and the master is local (tests) a fresh
+    folder is created and registered. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="telemetry-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

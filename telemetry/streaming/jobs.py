@@ -234,7 +234,8 @@ class CountedAlerts:
         readings = flatten_readings(good, keep=(*ARRIVAL, *carry))
         stations = readings.where(F.col("humidity") > self.threshold).select("station_id").distinct()
         base = self.base_counts(spark, batch_id, stations)
-        alerts = rain_alerts(readings, self.threshold, order=ARRIVAL, bucket=sequence_bucket("offset"),
+        alerts = rain_alerts(readings, self.threshold, order=ARRIVAL,
+                             bucket=F.struct("partition", sequence_bucket("offset").alias("block")),
                              base_counts=base, carry=(*ARRIVAL, *carry))
         alerts, alerts_seen = BatchCounters.observe_written(alerts, "alerts")
         _write(alerts, self.paths.sink, batch_id)
