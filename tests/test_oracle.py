@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from telemetry.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -40,8 +41,8 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_of_the_catalog_has_an_oracle():
+    assert set(REGISTRY) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
