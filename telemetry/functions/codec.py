@@ -66,16 +66,17 @@ def decode_readings(records: DataFrame, source: str = READINGS_TOPIC,
     return _split(parsed, reason, good_cols, source, list(keep))
 
 
-def tag_readings(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def tag_readings(records: DataFrame, keep: tuple[str, ...] = (), contract: bool = True) -> DataFrame:
     """One pass over topic records: flat archive columns, position, raw ``value`` and a
     ``reason`` that is NULL for an archivable reading, else why it is a dead letter
-    (malformed, bad number, or the table contract). NULL record values are dropped."""
+    (malformed, bad number, or, with ``contract``, the table contract). NULL record values
+    are dropped."""
     parsed, reason, good_cols = _decode_reading_columns(records, keep)
     msgs = parsed.select(*good_cols, "value", *_extra(keep), reason.alias("_decode_reason")) \
         .where(F.col("value").isNotNull())
     flat = flatten_readings(msgs, keep=("partition", "offset", "value", *_extra(keep), "_decode_reason"))
-    return (flat.withColumn("reason", F.coalesce(F.col("_decode_reason"), contract_reason()))
-            .drop("_decode_reason"))
+    decode = F.col("_decode_reason")
+    return flat.withColumn("reason", F.coalesce(decode, contract_reason()) if contract else decode).drop("_decode_reason")
 
 
 def dead_letters_of(tagged: DataFrame, source: str = READINGS_TOPIC) -> DataFrame:
@@ -212,3 +213,13 @@ def encode_alert_value() -> Column:
 def encode_alerts(alerts: DataFrame) -> DataFrame:
     """Alert messages -> topic records, re-keyed by the payload's station id."""
     return alerts.select(F.col("station_id").cast("string").alias("key"), encode_alert_value().alias("value"))
+
+
+def alert_topic_records(alerts: DataFrame) -> DataFrame:
+    """Alert messages with their ``partition`` and ``offset`` -> topic records. The key is an input
+    ``key`` column if there is one, else the payload's station id; the record time is the
+    input record's (``record_timestamp``) if it was carried."""
+    key = F.col("key") if "key" in alerts.columns else F.col("station_id").cast("string")
+    time = F.col("record_timestamp") if "record_timestamp" in alerts.columns else F.lit(None).cast("timestamp")
+    return alerts.select(key.alias("key"), encode_alert_value().alias("value"), "partition", "offset",
+                         time.alias("timestamp"))

@@ -134,11 +134,15 @@ def readings_per_minute(readings: DataFrame, limit: int = 20) -> DataFrame:
 # A11 -- row-level cross-check of aged raining readings against stored alerts
 def rain_crosscheck(readings: DataFrame, alerts: DataFrame, as_of: str | None = None,
                     threshold: int = RAIN_THRESHOLD, min_age_seconds: int = 30) -> DataFrame:
-    """``as_of`` is a wall-clock time ('YYYY-MM-DD hh:mm:ss'); None means now. Give it
-    explicitly for repeatable runs."""
-    now = f"TIMESTAMP_NTZ'{as_of}'" if as_of else "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
-    cutoff = F.expr(f"{now} - INTERVAL {min_age_seconds} SECONDS")
-    eligible = readings.where((F.col("humidity") > threshold) & (F.col("ingested_at") < cutoff)) \
+    """``as_of`` is an instant written in UTC ('YYYY-MM-DD hh:mm:ss'); None means now. Give it
+    explicitly for repeatable runs. Archives store instants; a zone-free insert time is
+    taken as UTC. The session zone plays no part."""
+    now = F.expr(f"TIMESTAMP'{as_of} UTC'" if as_of else "current_timestamp()")
+    inserted = F.col("ingested_at")
+    if dict(readings.dtypes)["ingested_at"] == "timestamp_ntz":
+        inserted = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ingested_at)"))
+    cutoff = now - F.expr(f"INTERVAL {min_age_seconds} SECONDS")
+    eligible = readings.where((F.col("humidity") > threshold) & (inserted < cutoff)) \
         .select("station_id", "sequence_number")
     stored = alerts.select("station_id", F.col("sequence_number").alias("_alert_seq"))
     joined = eligible.join(stored, (eligible.station_id == stored.station_id)

@@ -22,7 +22,7 @@ from telemetry.sources import adapters as S
 from telemetry.sources import wire as W
 from telemetry.sources.tables import table
 from telemetry.streaming import jobs as J
-from telemetry.streaming.topics import read_topic, write_topic_in_slices
+from telemetry.streaming.topics import TopicSink, read_topic, write_topic_in_slices
 
 EV_AS_OF = "2024-01-28 00:00:00"
 LI_AS_OF = "1999-01-01 00:00:00"
@@ -471,7 +471,7 @@ def _run(spark, records, start, name: str, order: str = "offset", max_bytes: int
     paths = J.StreamPaths(scratch_path(spark, name))
     topic = f"{paths.root}/topic"
     write_topic_in_slices(records, topic, STREAM_SLICES, order=order)
-    source = read_topic(spark, "parquet", topic, max_per_trigger=W.TOPIC_PARTITIONS,
+    source = read_topic(spark, "parquet", topic, max_per_trigger=None if max_bytes else W.TOPIC_PARTITIONS,
                         max_bytes_per_trigger=max_bytes)
     query = start(source, paths)
     query.awaitTermination()
@@ -529,3 +529,38 @@ def q_stream_archive_alerts(spark, d):
 
     sink = _run(spark, records, start, "stream-archive-alerts", order="send_at")
     return sink.select("station_id", "sequence_number", "timestamp", "humidity", "alert_count")
+
+
+_FLAT = REGISTRY["flatten_readings"].sql
+
+
+@register("stream_pipeline", O.with_ctes(["wire_ev"], f"""SELECT r.station_id, r.readings_above_70,
+       COALESCE(a.alerts_sent, 0) AS alerts_sent, COALESCE(a.alerts_stored, 0) AS alerts_stored,
+       COALESCE(m.missing_alerts, 0) AS missing_alerts
+FROM (SELECT station_id, COUNT(*) FILTER (WHERE humidity > 70) AS readings_above_70 FROM ({_FLAT}) x GROUP BY station_id) r
+LEFT JOIN (SELECT station_id, COUNT(*) AS alerts_stored,
+                  COUNT(*) + COUNT(*) FILTER (WHERE {W.RESEND_SQL}) AS alerts_sent
+           {_STREAM_ALERT_ROWS} GROUP BY station_id) a ON a.station_id = r.station_id
+LEFT JOIN (SELECT station_id, COUNT(*) AS missing_alerts
+           FROM (SELECT station_id, sequence_number FROM ({_FLAT}) y WHERE humidity > 70
+                 EXCEPT SELECT station_id, sequence_number {_STREAM_ALERT_ROWS}) z
+           GROUP BY station_id) m ON m.station_id = r.station_id"""))
+def q_stream_pipeline(spark, d):
+    """Readings topic with faults and retries -> readings archive, and -> counted alerts -> alert
+    topic -> alert archive; then validation and cross-check over the two stored archives.
+    Retried readings raise their alert again (``alerts_sent``); the archive keeps one."""
+    root = scratch_path(spark, "stream-pipeline")
+    reading, alert, stored = (J.StreamPaths(f"{root}/{x}") for x in ("readings", "alerts", "alert-archive"))
+    alert_topic = TopicSink("parquet", f"{root}/alert-topic")
+    records = W.with_resends(W.records_from_readings(S.readings_ev(spark, d), ids=True))
+    write_topic_in_slices(records, f"{root}/topic", STREAM_SLICES, order="send_at")
+    source = read_topic(spark, "parquet", f"{root}/topic", max_per_trigger=W.TOPIC_PARTITIONS)
+    J.start_archive_stream(source, reading).awaitTermination()
+    J.start_alert_stream(source, alert, topic=alert_topic).awaitTermination()
+    J.start_archive_stream(read_topic(spark, "parquet", alert_topic.topic), stored, alerts=True).awaitTermination()
+    readings, alerts = J.read_sink(spark, reading.sink), J.read_sink(spark, stored.sink)
+    sent = J.read_sink(spark, alert.sink).groupBy("station_id").agg(F.count(F.lit(1)).alias("alerts_sent"))
+    check = A.rain_crosscheck(readings, alerts, min_age_seconds=0).select("station_id", "missing_alerts")
+    return (A.rain_validation(readings, alerts).join(sent, "station_id", "left").join(check, "station_id", "left")
+            .select("station_id", "readings_above_70", "alerts_stored",
+                    *[F.coalesce(c, F.lit(0)).alias(c) for c in ("alerts_sent", "missing_alerts")]))

@@ -65,7 +65,7 @@ READINGS_TABLE = T.StructType([
     T.StructField("humidity", T.IntegerType()),
     T.StructField("temperature", T.IntegerType()),
     T.StructField("wind_speed", T.IntegerType()),
-    T.StructField("ingested_at", T.TimestampNTZType()),
+    T.StructField("ingested_at", T.TimestampType()),
 ])
 
 # Archive table of alerts; keeps alert_count, which the original table dropped.
@@ -75,7 +75,7 @@ ALERTS_TABLE = T.StructType([
     T.StructField("timestamp", T.LongType(), False),
     T.StructField("humidity", T.IntegerType(), False),
     T.StructField("alert_count", T.LongType()),
-    T.StructField("detected_at", T.TimestampNTZType()),
+    T.StructField("detected_at", T.TimestampType()),
 ])
 
 DEAD_LETTERS = T.StructType([

@@ -17,12 +17,12 @@ from telemetry.schemas import KEY
 
 READINGS_DDL = """CREATE TABLE IF NOT EXISTS {name} (
   station_id BIGINT NOT NULL, sequence_number BIGINT NOT NULL, battery_status STRING NOT NULL,
-  timestamp BIGINT NOT NULL, humidity INT, temperature INT, wind_speed INT, ingested_at TIMESTAMP_NTZ)
+  timestamp BIGINT NOT NULL, humidity INT, temperature INT, wind_speed INT, ingested_at TIMESTAMP)
 USING parquet LOCATION '{location}'"""
 
 ALERTS_DDL = """CREATE TABLE IF NOT EXISTS {name} (
   station_id BIGINT NOT NULL, sequence_number BIGINT NOT NULL, timestamp BIGINT NOT NULL,
-  humidity INT NOT NULL, alert_count BIGINT, detected_at TIMESTAMP_NTZ)
+  humidity INT NOT NULL, alert_count BIGINT, detected_at TIMESTAMP)
 USING parquet LOCATION '{location}'"""
 
 

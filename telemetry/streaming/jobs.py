@@ -12,6 +12,7 @@ touched with their new value, every ``compact_every`` batches a full snapshot, s
 reads at most ``compact_every`` small deltas plus one snapshot -- never the alert archive.
 Everything stays in the JVM; only batch ids pass through the driver. The alternative
 ``start_alert_stream_keyed_state`` keeps the count in Spark's state store instead.
+Given a ``TopicSink``, both alert streams also send every alert as a topic record.
 
 Archives (``ArchiveReadings``, ``ArchiveAlerts``). First write wins per key inside the batch,
 then a per-station high-water mark (another ``StationMax``) separates certainly-new readings
@@ -21,24 +22,25 @@ from the few that must be probed against the archive, in their buckets only.
 from __future__ import annotations
 
 import logging
+from collections import deque
 from dataclasses import dataclass
-from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemetry.functions.codec import (archivable, dead_letters_of, decode_alerts, decode_readings,
-                                       flatten_readings, tag_readings)
+from telemetry.functions.codec import (alert_topic_records, archivable, dead_letters_of, decode_alerts,
+                                       decode_readings, flatten_readings, tag_readings)
 from telemetry.functions.exprs import RAIN_MESSAGE, RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
 from telemetry.operators.dedupe import first_write_wins
 from telemetry.operators.keyed import sequence_bucket
 from telemetry.schemas import KEY
+from telemetry.streaming.topics import TopicSink
 
 ARRIVAL = ["partition", "offset"]
 
-# ---- fixed values: consumer batching of the original central station -------------------------
+# ---- fixed values: batching of the original consumers ---------------------------------------
 READINGS_TRIGGER = "10 seconds"       # flush interval of the readings consumer
 READINGS_MAX_PER_TRIGGER = 5000       # batch size threshold of the readings consumer
 ALERTS_TRIGGER = None                 # alerts: flush on any non-empty poll (default trigger)
@@ -71,45 +73,26 @@ class StreamPaths:
         return f"{self.root}/high_water"
 
 
+#: Folders an archive is split into when it is created (an argument of the archive streams).
 ARCHIVE_BUCKETS = 64
+#: Consecutive sequence numbers of a station that share a bucket: a hot station's batch spreads
+#: over many buckets, a retry touches only the bucket of its block.
+SEQUENCE_BLOCK = 1 << 12
+#: Micro-batches whose counters the driver keeps.
+HISTORY = 1000
 
 log = logging.getLogger("telemetry.streaming")
 
 
-class Observed(NamedTuple):
-    observation: Observation
-    names: tuple[str, ...]
-
-
 class BatchCounters:
-    """Per-micro-batch counters (records in, dead letters, rows written), gathered with
-    ``Observation`` during writes the batch performs anyway -- no extra job."""
+    """Per-micro-batch counters (records in, dead letters, rows written), counted on what the
+    batch cached or wrote; the last ``HISTORY`` batches are kept."""
 
     def __init__(self):
-        self.history: list[dict] = []
-
-    @staticmethod
-    def observe_tagged(df: DataFrame) -> tuple[DataFrame, Observed]:
-        obs = Observation()
-        out = df.observe(obs, F.count(F.lit(1)).alias("records"),
-                         F.count(F.when(F.col("reason").isNotNull(), 1)).alias("dead_letters"))
-        return out, Observed(obs, ("records", "dead_letters"))
-
-    @staticmethod
-    def observe_written(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observed]:
-        obs = Observation()
-        return df.observe(obs, F.count(F.lit(1)).alias(name)), Observed(obs, (name,))
-
-    def record(self, name: str, batch_id: int, *observed: Observed, **exact: int) -> dict:
-        row = {"query": name, "batch_id": batch_id}
-        for o in observed:
-            try:
-                row.update(o.observation.get)
-            except Exception:  # noqa: BLE001
-                # Adaptive execution replaced a provably empty plan, observe node included:
-                # no rows flowed through it.
-                row.update({k: 0 for k in o.names})
-        row.update(exact)
+        self.history: deque[dict] = deque(maxlen=HISTORY)
+
+    def record(self, name: str, batch_id: int, **counts: int) -> dict:
+        row = {"query": name, "batch_id": batch_id, **counts}
         self.history.append(row)
         log.info("%s", row)
         return row
@@ -126,37 +109,69 @@ def _write(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
-def _bucket():
-    return F.pmod(F.xxhash64("station_id"), F.lit(ARCHIVE_BUCKETS)).cast("int")
+def _batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{folder}/batch_id={batch_id}")
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path, fs = _hadoop(spark, folder)
+    return fs.exists(path)
 
-def _write_archive(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Archive layout ``bucket=<hash of station>/batch_id=<n>``.
+
+def _bucket(buckets: int):
+    block = F.floor(F.col("sequence_number") / F.lit(SEQUENCE_BLOCK))
+    return F.pmod(F.xxhash64("station_id", block), F.lit(buckets)).cast("int")
+
+
+def _write_archive(df: DataFrame, folder: str, batch_id: int, buckets: int) -> None:
+    """Archive layout ``bucket=<hash of station and sequence block>/batch_id=<n>``.
 
     The batch is shuffled by bucket first, so each touched bucket gets one file per batch
     instead of one per task. Dynamic partition overwrite replaces exactly this batch's
     folders, which makes a replay idempotent.
     """
-    out = df.withColumn("bucket", _bucket()).withColumn("batch_id", F.lit(batch_id))
+    out = df.withColumn("bucket", _bucket(buckets)).withColumn("batch_id", F.lit(batch_id))
     # Sorted inside each file, so Parquet min/max statistics skip row groups on station reads.
     (out.repartition("bucket").sortWithinPartitions("station_id", "sequence_number").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket", "batch_id").parquet(folder))
 
 
-def _glob(values) -> str:
-    return "{" + ",".join(str(v) for v in sorted(set(values))) + "}"
+def _archive_for(spark: SparkSession, folder: str, batch_id: int, batch: DataFrame,
+                 buckets: int) -> DataFrame | None:
+    """Keys of earlier batches, read only from the buckets and the sequence range that
+    ``batch`` touches (None when no such bucket exists yet).
 
+    The collected list has at most ``buckets`` rows. Folders are named one by one, so the
+    archive is never listed as a whole, and the range reaches the Parquet scan.
+    """
+    touched = batch.groupBy(_bucket(buckets).alias("b")).agg(
+        F.min("sequence_number").alias("lo"), F.max("sequence_number").alias("hi")).collect()
+    folders = [f for f in (f"{folder}/bucket={r['b']}" for r in touched) if _exists(spark, f)]
+    if not folders:
+        return None
+    lo, hi = min(r["lo"] for r in touched), max(r["hi"] for r in touched)
+    archive = spark.read.option("basePath", folder).parquet(*folders)
+    return archive.where((F.col("batch_id") != F.lit(batch_id)) & F.col("sequence_number").between(lo, hi)).select(*KEY)
 
-def _archive_for(spark: SparkSession, folder: str, batch_id: int, batch: DataFrame) -> DataFrame:
-    """Earlier batches of the archive, read only from the buckets this batch touches.
 
-    The bucket list has at most ``ARCHIVE_BUCKETS`` entries, so collecting it is bounded.
-    A path glob lists just those folders (bucket 0 is seeded, so the glob always matches).
-    """
-    buckets = [r[0] for r in batch.select(_bucket().alias("b")).distinct().collect()]
-    archive = spark.read.option("basePath", folder).parquet(f"{folder}/bucket={_glob([0, *buckets])}")
-    return archive.where(F.col("batch_id") != F.lit(batch_id)).drop("bucket", "batch_id")
+def _layout(spark: SparkSession, paths: StreamPaths, buckets: int) -> int:
+    """Buckets of an archive: those it was created with, whatever a restart asks for."""
+    folder = f"{paths.root}/layout"
+    if not _exists(spark, f"{folder}/_SUCCESS"):
+        spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(folder)
+    return spark.read.schema("buckets int").parquet(folder).first()["buckets"]
+
+
+def compact_archive(spark: SparkSession, folder: str, target: str, buckets: int = ARCHIVE_BUCKETS) -> None:
+    """Rewrite an archive with one folder ``batch_id=-1`` per bucket into ``target`` (a new
+    folder), for use in place of ``folder`` while the stream is stopped."""
+    _write_archive(read_sink(spark, folder), target, -1, buckets)
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -172,48 +187,60 @@ class StationMax:
     sequence number).
 
     Batch ``n`` writes ``<folder>/batch_id=<n>``: the stations it touched with their new
-    maximum, and every ``compact_every`` batches a full snapshot. Reading the value before
-    batch ``n`` opens at most ``compact_every`` folders, named by a glob, so neither the folder
-    nor any archive is listed or scanned as a whole. A replayed batch reads only batches
-    before it and overwrites its own folder, so replays give the same answer.
-
-    ``compact_every`` fixes which folders are snapshots; like other stateful settings it must
-    stay the same across restarts of one checkpoint.
+    maximum, or a full snapshot once ``compact_every`` batches passed since the last one. Every
+    folder also holds one marker row (station NULL) naming the newest snapshot and the one
+    before it, so a reader follows the data and ``compact_every`` may change on a restart.
+    Folders are named one by one, and a snapshot removes those older than the snapshot
+    before it, so the cost of a batch does not grow with the batches that passed. A replayed
+    batch reads only batches before it and overwrites its own folder.
     """
 
     def __init__(self, folder: str, column: str, compact_every: int = 20):
         self.folder, self.column, self.compact_every = folder, column, compact_every
 
-    def _last_snapshot(self, batch_id: int) -> int:
-        return (batch_id - 1) // self.compact_every * self.compact_every
+    def _marker(self, spark: SparkSession, batch_id: int) -> tuple[int, int]:
+        """(newest snapshot, snapshot before it) as of the end of ``batch_id``."""
+        row = _batch(spark, self.folder, batch_id).where(F.col("snapshot").isNotNull()).first()
+        return row["snapshot"], row["previous"]
 
-    def _rows_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id <= 0:
-            return spark.createDataFrame([], f"station_id long, {self.column} long")
-        ids = range(self._last_snapshot(batch_id), batch_id)
-        return (spark.read.option("basePath", self.folder).parquet(f"{self.folder}/batch_id={_glob(ids)}")
-                .where(F.col("batch_id") < F.lit(batch_id)).select("station_id", self.column))
+    def _rows(self, spark: SparkSession, first: int, last: int) -> DataFrame:
+        folders = [f"{self.folder}/batch_id={i}" for i in range(first, last + 1)]
+        return spark.read.parquet(*folders).where(F.col("snapshot").isNull()).select("station_id", self.column)
 
     def before(self, spark: SparkSession, batch_id: int, stations: DataFrame | None = None) -> DataFrame:
         """(station_id, column): the maximum over all batches before ``batch_id``."""
-        rows = self._rows_before(spark, batch_id)
+        if batch_id <= 0:
+            return spark.createDataFrame([], f"station_id long, {self.column} long")
+        rows = self._rows(spark, self._marker(spark, batch_id - 1)[0], batch_id - 1)
         if stations is not None:
             rows = rows.join(stations, "station_id", "left_semi")
         return rows.groupBy("station_id").agg(F.max(self.column).alias(self.column))
 
     def write(self, spark: SparkSession, batch_id: int, updates: DataFrame) -> None:
-        """Record this batch's per-station values (a full snapshot every ``compact_every``)."""
+        """Record this batch's per-station values, or a full snapshot when one is due."""
         rows = updates.select("station_id", F.col(self.column).cast("long").alias(self.column))
-        if batch_id > 0 and batch_id % self.compact_every == 0:
-            rows = self._rows_before(spark, batch_id).unionByName(rows)
-        _write(rows.groupBy("station_id").agg(F.max(self.column).alias(self.column)), self.folder, batch_id)
+        snapshot, previous = self._marker(spark, batch_id - 1) if batch_id > 0 else (0, 0)
+        due = batch_id > 0 and batch_id - snapshot >= self.compact_every
+        if due:
+            rows = self._rows(spark, snapshot, batch_id - 1).unionByName(rows)
+        old = range(previous, snapshot) if due else range(0)
+        marker = (batch_id, snapshot) if due else (snapshot, previous)
+        rows = rows.groupBy("station_id").agg(F.max(self.column).alias(self.column)) \
+            .withColumns({"snapshot": F.lit(None).cast("int"), "previous": F.lit(None).cast("int")})
+        mark = spark.createDataFrame([(None, None, *marker)], f"station_id long, {self.column} long, snapshot int, previous int")
+        _write(rows.unionByName(mark), self.folder, batch_id)
+        for i in old:  # not needed by any replay: this batch starts from ``snapshot``
+            path, fs = _hadoop(spark, f"{self.folder}/batch_id={i}")
+            fs.delete(path, True)
 
 
 class CountedAlerts:
-    """``foreachBatch`` function: decode -> raining -> numbered per station -> alerts."""
+    """``foreachBatch`` function: decode -> raining -> numbered per station -> alerts, and their
+    records to ``topic`` if given (at least once: a replayed batch sends them again)."""
 
-    def __init__(self, paths: StreamPaths, threshold: int = RAIN_THRESHOLD, compact_every: int = 20):
-        self.paths, self.threshold = paths, threshold
+    def __init__(self, paths: StreamPaths, threshold: int = RAIN_THRESHOLD, compact_every: int = 20,
+                 topic: TopicSink | None = None):
+        self.paths, self.threshold, self.topic = paths, threshold, topic
         self.counts = StationMax(paths.state, "alert_count", compact_every)
         self.counters = BatchCounters()
 
@@ -227,36 +254,43 @@ class CountedAlerts:
         carry = ("record_timestamp",) if "timestamp" in records.columns else ()
         if carry:
             records = records.withColumnRenamed("timestamp", "record_timestamp")
-        records = records.persist()
-        good, dead = decode_readings(records, keep=carry)
-        dead, dead_seen = BatchCounters.observe_written(dead, "dead_letters")
-        _write(dead, self.paths.dead, batch_id)
-        readings = flatten_readings(good, keep=(*ARRIVAL, *carry))
+        tagged = tag_readings(records, keep=carry, contract=False).persist()
+        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
+        readings = archivable(tagged)
         stations = readings.where(F.col("humidity") > self.threshold).select("station_id").distinct()
         base = self.base_counts(spark, batch_id, stations)
         alerts = rain_alerts(readings, self.threshold, order=ARRIVAL,
                              bucket=F.struct("partition", sequence_bucket("offset").alias("block")),
                              base_counts=base, carry=(*ARRIVAL, *carry))
-        alerts, alerts_seen = BatchCounters.observe_written(alerts, "alerts")
         _write(alerts, self.paths.sink, batch_id)
-        self.counters.record("rain_alerts", batch_id, dead_seen, alerts_seen)
-        self.counts.write(spark, batch_id, spark.read.parquet(f"{self.paths.sink}/batch_id={batch_id}"))
-        records.unpersist()
+        written = _batch(spark, self.paths.sink, batch_id)
+        self.counts.write(spark, batch_id, written)
+        if self.topic:
+            self.topic.write(alert_topic_records(written), batch_id)
+        self.counters.record("rain_alerts", batch_id, alerts=written.count(),
+                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
+        tagged.unpersist()
 
 
 def start_alert_stream(records: DataFrame, paths: StreamPaths, threshold: int = RAIN_THRESHOLD,
                        available_now: bool = True, interval: str | None = None,
-                       compact_every: int = 20) -> StreamingQuery:
-    writer = records.writeStream.foreachBatch(CountedAlerts(paths, threshold, compact_every)) \
+                       compact_every: int = 20, topic: TopicSink | None = None) -> StreamingQuery:
+    writer = records.writeStream.foreachBatch(CountedAlerts(paths, threshold, compact_every, topic)) \
         .option("checkpointLocation", paths.checkpoint)
     return _trigger(writer, available_now, interval).start()
 
 
 def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, threshold: int = RAIN_THRESHOLD,
-                                 available_now: bool = True) -> StreamingQuery:
+                                 available_now: bool = True, topic: TopicSink | None = None) -> StreamingQuery:
     """Map/filter/map pipeline, no state: ``alert_count`` is 0, the input key is kept.
-    Bad records are skipped by the same decode guard."""
+    Bad records are skipped by the same decode guard. With ``topic`` the alerts go there as
+    records, else to the Parquet sink as rows."""
     good, _ = decode_readings(records, keep=("key",))
+    if topic:
+        alerts = stateless_alerts(flatten_readings(good, keep=("key", *ARRIVAL)), threshold, carry=["key", *ARRIVAL])
+        writer = alerts.writeStream.option("checkpointLocation", paths.checkpoint) \
+            .foreachBatch(lambda batch, batch_id: topic.write(alert_topic_records(batch), batch_id))
+        return _trigger(writer, available_now, None).start()
     alerts = stateless_alerts(flatten_readings(good, keep=("key",)), threshold, carry=["key"])
     writer = (alerts.writeStream.format("parquet").option("path", paths.sink)
               .option("checkpointLocation", paths.checkpoint).outputMode("append"))
@@ -266,7 +300,7 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
 # ---- archives (first write wins) ---------------------------------------------------------------
 
 def _insert_new(spark: SparkSession, batch: DataFrame, paths: StreamPaths, batch_id: int,
-                high_water: StationMax) -> DataFrame:
+                high_water: StationMax, buckets: int) -> DataFrame:
     """Rows of ``batch`` (first arrival per key already chosen) whose key is not archived.
 
     Sequence numbers grow per station, so a reading above its station's highest archived
@@ -278,49 +312,51 @@ def _insert_new(spark: SparkSession, batch: DataFrame, paths: StreamPaths, batch
     marks = high_water.before(spark, batch_id, stations).withColumnRenamed("sequence_number", "_high")
     flagged = batch.join(marks, "station_id", "left")
     maybe_seen = flagged.where(F.col("_high").isNotNull() & (F.col("sequence_number") <= F.col("_high")))
-    if maybe_seen.isEmpty():
+    archive = _archive_for(spark, paths.sink, batch_id, maybe_seen, buckets)
+    if archive is None:
         return batch
-    archive = _archive_for(spark, paths.sink, batch_id, maybe_seen)
-    present = archive.select(*KEY).join(maybe_seen.select(*KEY), KEY, "left_semi")
+    present = archive.join(maybe_seen.select(*KEY), KEY, "left_semi")
     return batch.join(present, KEY, "left_anti")
 
 
-def _written(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """The archive rows this batch wrote. The glob also names the seeded empty folder, so it
-    matches even when the batch wrote nothing."""
-    return (spark.read.option("basePath", folder).parquet(f"{folder}/bucket=*/batch_id={{-1,{batch_id}}}")
-            .where(F.col("batch_id") == F.lit(batch_id)))
+def _store(spark: SparkSession, first: DataFrame, stamp: str, paths: StreamPaths, batch_id: int,
+           high_water: StationMax, buckets: int) -> int:
+    """Insert if absent, stamped with the time of the batch; the number of rows written."""
+    first = first.persist()
+    new = _insert_new(spark, first, paths, batch_id, high_water, buckets) \
+        .withColumn(stamp, F.current_timestamp()).persist()
+    _write_archive(new, paths.sink, batch_id, buckets)
+    high_water.write(spark, batch_id, new)
+    written = new.count()
+    new.unpersist()
+    first.unpersist()
+    return written
 
 
 class ArchiveReadings:
     """``foreachBatch`` function: decode -> contract -> insert-if-absent into the archive."""
 
-    def __init__(self, paths: StreamPaths, compact_every: int = 20):
-        self.paths = paths
+    def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS):
+        self.paths, self.buckets = paths, buckets
         self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
         self.counters = BatchCounters()
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
         tagged = tag_readings(records).persist()
-        counted, seen = BatchCounters.observe_tagged(tagged)
-        _write(dead_letters_of(counted), self.paths.dead, batch_id)
+        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
         first = first_write_wins(archivable(tagged), KEY, ARRIVAL)
-        new = _insert_new(spark, first, self.paths, batch_id, self.high_water)
-        stamped = new.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-        _write_archive(stamped, self.paths.sink, batch_id)
-        written = _written(spark, self.paths.sink, batch_id).select("station_id", "sequence_number").persist()
-        self.high_water.write(spark, batch_id, written)
-        self.counters.record("archive_readings", batch_id, seen, written=written.count())
-        written.unpersist()
+        written = _store(spark, first, "ingested_at", self.paths, batch_id, self.high_water, self.buckets)
+        self.counters.record("archive_readings", batch_id, written=written, records=tagged.count(),
+                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
         tagged.unpersist()
 
 
 class ArchiveAlerts:
     """``foreachBatch`` function for the alert topic: keep the first alert per key."""
 
-    def __init__(self, paths: StreamPaths, compact_every: int = 20):
-        self.paths = paths
+    def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS):
+        self.paths, self.buckets = paths, buckets
         self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
         self.counters = BatchCounters()
 
@@ -328,33 +364,30 @@ class ArchiveAlerts:
         spark = records.sparkSession
         records = records.persist()
         good, dead = decode_alerts(records)
-        dead, dead_seen = BatchCounters.observe_written(dead, "dead_letters")
         _write(dead, self.paths.dead, batch_id)
         first = first_write_wins(_alert_rows(good), KEY, ARRIVAL)
-        _write_archive(_insert_new(spark, first, self.paths, batch_id, self.high_water), self.paths.sink, batch_id)
-        written = _written(spark, self.paths.sink, batch_id).select("station_id", "sequence_number").persist()
-        self.high_water.write(spark, batch_id, written)
-        self.counters.record("archive_alerts", batch_id, dead_seen, written=written.count())
-        written.unpersist()
+        written = _store(spark, first, "detected_at", self.paths, batch_id, self.high_water, self.buckets)
+        self.counters.record("archive_alerts", batch_id, written=written,
+                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
         records.unpersist()
 
 
 def _alert_rows(alerts: DataFrame) -> DataFrame:
     return alerts.select(
         "station_id", F.col("s_no").alias("sequence_number"), F.col("status_timestamp").alias("timestamp"),
-        "humidity", "alert_count", F.current_timestamp().cast("timestamp_ntz").alias("detected_at"),
-        *ARRIVAL)
+        "humidity", "alert_count", *ARRIVAL)
 
 
 READINGS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, battery_status string, timestamp long, "
-                           "humidity int, temperature int, wind_speed int, ingested_at timestamp_ntz")
+                           "humidity int, temperature int, wind_speed int, ingested_at timestamp")
 ALERTS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, timestamp long, humidity int, "
-                         "alert_count long, detected_at timestamp_ntz")
+                         "alert_count long, detected_at timestamp")
 
 
 def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool = False,
-                         available_now: bool = True, interval: str | None = None) -> StreamingQuery:
-    """Archive readings (or alerts with ``alerts=True``).
+                         available_now: bool = True, interval: str | None = None,
+                         buckets: int = ARCHIVE_BUCKETS) -> StreamingQuery:
+    """Archive readings (or alerts with ``alerts=True``); ``buckets`` counts when the archive is new.
 
     ``available_now`` drains the input and stops (tests, backfills). Otherwise the trigger is
     ``interval`` or, by default, the original consumers' cadence: readings every
@@ -365,7 +398,7 @@ def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool =
         interval = ALERTS_TRIGGER if alerts else READINGS_TRIGGER
     spark = records.sparkSession
     _seed(spark, paths.sink, ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
-    fn = ArchiveAlerts(paths) if alerts else ArchiveReadings(paths)
+    fn = (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
     writer = records.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
     return _trigger(writer, available_now, interval).start()
 

@@ -8,6 +8,8 @@ timestamp), which is how the tests and the registered queries drive the streams.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,11 @@ def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int |
     For ``kafka`` ``topic`` is the topic name and ``options`` carry
     ``kafka.bootstrap.servers`` and friends; otherwise ``topic`` is a folder.
     ``max_per_trigger`` caps records (kafka) or files (folders) per micro-batch;
-    ``max_bytes_per_trigger`` caps bytes read per micro-batch from a folder.
+    ``max_bytes_per_trigger`` caps bytes read per micro-batch from a folder (whole files, one
+    at least); only one of the two may be given.
     """
+    if max_per_trigger and max_bytes_per_trigger:
+        raise ValueError("give max_per_trigger or max_bytes_per_trigger, not both")
     options = dict(options or {})
     if fmt == "kafka":
         reader = (spark.readStream.format("kafka").option("subscribe", topic)
@@ -33,7 +38,7 @@ def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int |
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return reader.options(**options).load().selectExpr(*_RECORD_COLS)
-    reader = spark.readStream.format(fmt).schema(TOPIC_RECORD)
+    reader = spark.readStream.format(fmt).schema(TOPIC_RECORD).option("recursiveFileLookup", "true")
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     elif max_per_trigger:
@@ -52,6 +57,24 @@ def write_topic_batch(records: DataFrame, fmt: str, topic: str,
     records.write.mode("append").format(fmt).options(**(options or {})).save(topic)
 
 
+@dataclass(frozen=True)
+class TopicSink:
+    """Where a stream sends its records: a topic (``kafka``) or a folder of a file format.
+
+    Delivery is at least once: a replayed micro-batch sends its records to a topic again; in
+    a folder it replaces its own subfolder.
+    """
+    fmt: str
+    topic: str
+    options: dict[str, str] = field(default_factory=dict)
+
+    def write(self, records: DataFrame, batch_id: int) -> None:
+        if self.fmt == "kafka":
+            write_topic_batch(records, self.fmt, self.topic, self.options)
+        else:
+            records.write.mode("overwrite").format(self.fmt).options(**self.options).save(f"{self.topic}/batch-{batch_id}")
+
+
 def write_topic_in_slices(records: DataFrame, folder: str, slices: int, order: str = "offset") -> None:
     """Append records to a file topic in ``slices`` time-ordered writes, oldest first.
 

@@ -6,6 +6,7 @@ from conftest import rows
 
 from telemetry.operators.alerts import rain_alerts
 from telemetry.plans import analysis as A
+from telemetry.session import scratch_path
 
 
 def test_battery_distribution(golden):
@@ -92,3 +93,20 @@ def test_rain_crosscheck_now(golden):
     r, a = golden
     # readings from 1970 are older than now - 30 s: same answer as a far-future as_of
     assert rows(A.rain_crosscheck(r, a)) == rows(A.rain_crosscheck(r, a, "2100-01-01 00:00:00"))
+
+
+def test_crosscheck_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    path = scratch_path(spark, "test-zone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.sql("SELECT 1L AS station_id, 1L AS sequence_number, 80 AS humidity, "
+                  "current_timestamp() - INTERVAL 60 SECONDS AS ingested_at").write.parquet(path)
+        none = spark.createDataFrame([], "station_id long, sequence_number long")
+        for name in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            stored = spark.read.parquet(path)
+            assert rows(A.rain_crosscheck(stored, none)) == [(1, 1, 0, 1)]
+            assert A.rain_crosscheck(stored, none, as_of="2000-01-01 00:00:00").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -7,7 +7,7 @@ from telemetry.operators.alerts import rain_alerts
 from telemetry.session import scratch_path
 from telemetry.sources.wire import records_from_readings, with_resends
 from telemetry.streaming import jobs as J
-from telemetry.streaming.topics import read_topic, write_topic_in_slices
+from telemetry.streaming.topics import TopicSink, read_topic, write_topic_in_slices
 
 
 def _readings(spark):
@@ -142,3 +142,64 @@ def test_archive_batch_counters(spark):
     dead = J.read_sink(spark, paths.dead).count()
     assert c["records"] == total and c["dead_letters"] == dead
     assert c["written"] == J.read_sink(spark, paths.sink).count()
+
+
+def test_compact_every_may_change_on_restart(spark):
+    recs = records_from_readings(_readings(spark), faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-compact"))
+    for batch in range(8):
+        fn = J.CountedAlerts(paths, compact_every=100 if batch < 4 else 2)
+        fn(recs.where(F.col("sequence_number").between(batch * 5 + 1, batch * 5 + 5)), batch)
+    got = rows(J.read_sink(spark, paths.sink), "station_id", "s_no", "alert_count")
+    assert got == rows(rain_alerts(_readings(spark)), "station_id", "s_no", "alert_count")
+    # snapshots at 4 and 6: the folders before the one preceding the last are gone
+    assert [b for b in range(8) if J._exists(spark, f"{paths.state}/batch_id={b}")] == [4, 5, 6, 7]
+
+
+def test_archive_keeps_its_bucket_count_and_spreads_a_hot_station(spark):
+    readings = spark.range(1, 60001).selectExpr(
+        "1L AS station_id", "id AS sequence_number", "'low' AS battery_status", "id AS timestamp",
+        "80 AS humidity", "1 AS temperature", "1 AS wind_speed", "timestamp_ntz'2024-01-01 00:00:00' AS ingested_at")
+    recs = records_from_readings(readings, faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-buckets"))
+    for buckets, upto in ((8, 40000), (64, 60000)):   # the second run sends 40000 again
+        write_topic_in_slices(recs.where(F.col("offset") <= upto * 1000 + 1), f"{paths.root}/topic", 1)
+        J.start_archive_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths, buckets=buckets).awaitTermination()
+    stored = spark.read.parquet(paths.sink)
+    assert stored.count() == stored.select("sequence_number").distinct().count() == 60000
+    used = stored.select("bucket").distinct().count()
+    assert 4 <= used <= 8
+    target = scratch_path(spark, "test-compacted")
+    J.compact_archive(spark, paths.sink, target, buckets=8)
+    assert rows(J.read_sink(spark, target)) == rows(J.read_sink(spark, paths.sink))
+
+
+def test_stateless_alerts_to_topic(spark):
+    recs = records_from_readings(_readings(spark), faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-stateless-topic"))
+    write_topic_in_slices(recs, f"{paths.root}/topic", 1)
+    sink = TopicSink("parquet", f"{paths.root}/out")
+    J.start_stateless_alert_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths, topic=sink).awaitTermination()
+    out = spark.read.option("recursiveFileLookup", "true").parquet(sink.topic)
+    assert out.count() == 60 and out.columns == ["key", "value", "partition", "offset", "timestamp"]
+    assert out.where("key <> get_json_object(value, '$.station_id')").count() == 0
+
+
+def test_failure_between_write_and_commit(spark, monkeypatch):
+    """The batch is written, the query dies before its commit, a restart runs the batch again."""
+    recs = with_resends(records_from_readings(_readings(spark), faults=False, ids=True)).drop("send_at")
+    paths = J.StreamPaths(scratch_path(spark, "test-crash"))
+    write_topic_in_slices(recs, f"{paths.root}/topic", 1)
+    source = read_topic(spark, "parquet", f"{paths.root}/topic", max_per_trigger=1)
+
+    def die(self, *a, **b):
+        raise RuntimeError("before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(J.BatchCounters, "record", die)
+        with pytest.raises(Exception, match="before the commit"):
+            J.start_archive_stream(source, paths).awaitTermination()
+    assert J.read_sink(spark, paths.sink).count() > 0
+    J.start_archive_stream(source, paths).awaitTermination()
+    keys = rows(J.read_sink(spark, paths.sink), "station_id", "sequence_number")
+    assert len(keys) == len(set(keys)) == 80
