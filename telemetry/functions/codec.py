@@ -1,8 +1,8 @@
 """JSON wire codec for readings and alerts.
 
 Decoding follows the original consumer's mapper: unknown fields are ignored, absent or
-null numbers become 0 (they were primitives), numeric text and fractions are coerced
-("7" -> 7, 70.9 -> 70). Numbers are therefore parsed as text first and repaired with
+null numbers become 0 (they were primitives), whole numbers as text and fractions are
+coerced ("7" -> 7, 70.9 -> 70; "70.9" is refused), a text field holds no object or array. Numbers are therefore parsed as text first and repaired with
 ``try_cast``; anything that cannot be repaired is a dead letter with a reason instead of
 an exception. A NULL record value is dropped (it carries nothing to report).
 
@@ -33,6 +33,20 @@ def coerce_number(text: Column, spark_type: str) -> Column:
     return whole.try_cast("decimal(38,6)").try_cast(spark_type)
 
 
+def _raw(field: str, start: str) -> Column:
+    """Whether the record writes ``field`` with a value that starts so (parsing as text drops the
+    difference between 70.9 and "70.9", and between an object and its text)."""
+    return F.col("value").rlike(rf'"{field}"\s*:\s*{start}')
+
+
+def _quoted_fraction(path: str, field: str) -> Column:
+    return F.col(path).contains(".") & _raw(field, '"')
+
+
+def _container(path: str, field: str) -> Column:
+    return F.col(path).rlike(r"^[\[{]") & _raw(field, r"[\[{]")
+
+
 def _parse_once(j: Column) -> Column:
     """Parse once per record (filters and projections read ``_j`` many times)."""
     return evaluate_once(j, "_j")
@@ -101,9 +115,10 @@ def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
         "wind_speed": (f"{w}.wind_speed", "int"),
     }
     val = {k: coerce_number(F.col(p), t) for k, (p, t) in nums.items()}
-    reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull(), F.lit(MALFORMED))
+    reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
+                    | _container("_j.battery_status", "battery_status"), F.lit(MALFORMED))
     for k, (p, _) in nums.items():
-        reason = reason.when(F.col(p).isNotNull() & val[k].isNull(), F.lit(BAD_NUMBER + k))
+        reason = reason.when((F.col(p).isNotNull() & val[k].isNull()) | _quoted_fraction(p, k), F.lit(BAD_NUMBER + k))
 
     weather = F.when(F.col(w).isNull(), F.lit(None)).otherwise(F.struct(
         F.coalesce(val["humidity"], F.lit(0)).alias("humidity"),
@@ -128,9 +143,11 @@ def decode_alerts(records: DataFrame, source: str = ALERTS_TOPIC,
     nums = {"station_id": "bigint", "s_no": "bigint", "status_timestamp": "bigint",
             "humidity": "int", "alert_count": "bigint"}
     val = {k: coerce_number(F.col(f"_j.{k}"), t) for k, t in nums.items()}
-    reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull(), F.lit(MALFORMED))
+    reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
+                    | _container("_j.message", "message"), F.lit(MALFORMED))
     for k in nums:
-        reason = reason.when(F.col(f"_j.{k}").isNotNull() & val[k].isNull(), F.lit(BAD_NUMBER + k))
+        reason = reason.when((F.col(f"_j.{k}").isNotNull() & val[k].isNull()) | _quoted_fraction(f"_j.{k}", k),
+                             F.lit(BAD_NUMBER + k))
     good_cols = [F.coalesce(val[k], F.lit(0).cast(t)).alias(k) for k, t in nums.items()]
     good_cols += [F.col("_j.message").alias("message"), "partition", "offset"]
     return _split(parsed, reason, good_cols, source, list(keep))

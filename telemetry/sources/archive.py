@@ -8,6 +8,8 @@ insert for deployments that keep the tables in a relational database.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +81,35 @@ def jdbc_insert_if_absent(batch: DataFrame, url: str, table: str, arrival: list[
             .option("batchsize", "5000").options(**props).mode("append").save()
     new.unpersist()
     return n
+
+
+def insert_statement(table: str, staging: str, columns: list[str], keys: list[str] = KEY) -> str:
+    """One set-based insert of the staged rows whose key the table does not hold."""
+    cols = ", ".join(columns)
+    return f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging} ON CONFLICT ({', '.join(keys)}) DO NOTHING"
+
+
+@dataclass(frozen=True)
+class DatabaseTable:
+    """A database table with a unique key as the sink of an archive stream.
+
+    A batch replaces the staging table in parallel; one statement, hence one transaction,
+    then moves what is new. No key is read back into Spark, and a replayed batch inserts nothing.
+    """
+    url: str
+    table: str
+    staging: str
+    properties: dict[str, str] = field(default_factory=dict)
+
+    def insert(self, batch: DataFrame) -> None:
+        batch.write.format("jdbc").option("url", self.url).option("dbtable", self.staging) \
+            .option("truncate", "true").option("batchsize", "5000").options(**self.properties).mode("overwrite").save()
+        jvm = batch.sparkSession._jvm
+        props = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            props.setProperty(k, v)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, props)
+        try:
+            connection.createStatement().executeUpdate(insert_statement(self.table, self.staging, batch.columns))
+        finally:
+            connection.close()

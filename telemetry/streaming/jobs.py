@@ -35,8 +35,9 @@ from telemetry.functions.exprs import RAIN_MESSAGE, RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
 from telemetry.operators.dedupe import first_write_wins
 from telemetry.operators.keyed import sequence_bucket
-from telemetry.schemas import KEY
-from telemetry.streaming.topics import TopicSink
+from telemetry.schemas import KEY, READINGS_TOPIC
+from telemetry.sources.archive import DatabaseTable
+from telemetry.streaming.topics import TopicSink, read_topic
 
 ARRIVAL = ["partition", "offset"]
 
@@ -378,6 +379,26 @@ def _alert_rows(alerts: DataFrame) -> DataFrame:
         "humidity", "alert_count", *ARRIVAL)
 
 
+def _to_database(database: DatabaseTable, paths: StreamPaths, alerts: bool):
+    def run(records: DataFrame, batch_id: int) -> None:
+        if alerts:
+            good, dead = decode_alerts(records)
+            rows, stamp = _alert_rows(good), "detected_at"
+        else:
+            tagged = tag_readings(records)
+            rows, dead, stamp = archivable(tagged), dead_letters_of(tagged), "ingested_at"
+        _write(dead, paths.dead, batch_id)
+        database.insert(first_write_wins(rows, KEY, ARRIVAL).withColumn(stamp, F.current_timestamp()))
+    return run
+
+
+def readings_consumer(spark: SparkSession, servers: str, topic: str = READINGS_TOPIC,
+                      options: dict[str, str] | None = None) -> DataFrame:
+    """The readings topic from its start, at most ``READINGS_MAX_PER_TRIGGER`` records a batch."""
+    return read_topic(spark, "kafka", topic, max_per_trigger=READINGS_MAX_PER_TRIGGER,
+                      options={"kafka.bootstrap.servers": servers, **(options or {})})
+
+
 READINGS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, battery_status string, timestamp long, "
                            "humidity int, temperature int, wind_speed int, ingested_at timestamp")
 ALERTS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, timestamp long, humidity int, "
@@ -386,8 +407,9 @@ ALERTS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, timestamp long,
 
 def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool = False,
                          available_now: bool = True, interval: str | None = None,
-                         buckets: int = ARCHIVE_BUCKETS) -> StreamingQuery:
+                         buckets: int = ARCHIVE_BUCKETS, database: DatabaseTable | None = None) -> StreamingQuery:
     """Archive readings (or alerts with ``alerts=True``); ``buckets`` counts when the archive is new.
+    With ``database`` the rows go to that table instead of the Parquet sink.
 
     ``available_now`` drains the input and stops (tests, backfills). Otherwise the trigger is
     ``interval`` or, by default, the original consumers' cadence: readings every
@@ -398,7 +420,7 @@ def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool =
         interval = ALERTS_TRIGGER if alerts else READINGS_TRIGGER
     spark = records.sparkSession
     _seed(spark, paths.sink, ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
-    fn = (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
+    fn = _to_database(database, paths, alerts) if database else (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
     writer = records.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
     return _trigger(writer, available_now, interval).start()
 

@@ -42,3 +42,11 @@ def test_sql_over_registered_views(spark, golden):
                            FROM weather_readings GROUP BY 1 ORDER BY 1 DESC LIMIT 1""").first()
     assert minutes["n"] == 1
     assert spark.sql("SELECT COUNT(*) FROM latest_station_status").first()[0] == 4
+
+
+def test_insert_statement():
+    from telemetry.sources.archive import insert_statement
+    assert insert_statement("rain_alerts", "staging", ["station_id", "sequence_number", "humidity"]) == (
+        "INSERT INTO rain_alerts (station_id, sequence_number, humidity) "
+        "SELECT station_id, sequence_number, humidity FROM staging "
+        "ON CONFLICT (station_id, sequence_number) DO NOTHING")

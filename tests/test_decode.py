@@ -102,3 +102,18 @@ def test_enforce_contract_on_flat_readings(spark, golden):
     d = dead.collect()
     assert {x["reason"] for x in d} == {"contract: battery_status is null"}
     assert all('"battery_status":null' in x["value"] for x in d)   # re-encoded message kept
+
+
+def test_quoted_fractions_and_containers(spark):
+    from telemetry.functions.codec import decode_alerts, decode_readings
+    w = '"weather":{"humidity":%s,"temperature":1,"wind_speed":1}}'
+    cases = [('{"station_id":1,"s_no":1,"battery_status":"low","status_timestamp":1,' + w % h, want) for h, want in
+             (("70.9999999", None), ("70.9", None), ('"70"', None), ('"70.9"', "bad number: humidity"))]
+    cases += [('{"station_id":1,"s_no":1,"battery_status":%s,"status_timestamp":1,' % b + w % "70", want) for b, want in
+              (('"{}"', None), ('{"a":1}', "malformed json"), ("[1]", "malformed json"))]
+    for value, want in cases:
+        good, dead = decode_readings(spark.createDataFrame([(value,)], "value string"))
+        assert [r["reason"] for r in dead.collect()] == ([want] if want else [])
+        assert [r["weather"]["humidity"] for r in good.collect()] == ([] if want else [70])
+    _, dead = decode_alerts(spark.createDataFrame([('{"station_id":1,"s_no":"1.5","message":"x"}',)], "value string"))
+    assert [r["reason"] for r in dead.collect()] == ["bad number: s_no"]
