@@ -153,8 +153,9 @@ def _histogram(table: DataFrame, tree: Tree, ranges: dict[int, tuple[int, int, i
     sums = table.mapInArrow(run, "node bigint, bin bigint, bytes bigint, n bigint") \
         .groupBy("node", "bin").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
     found: dict[int, list] = {}
-    for r in sums.toLocalIterator():  # at most BINS rows per open node
-        found.setdefault(r["node"], []).append((r["bin"], r["bytes"], r["n"]))
+    rows = sums.toArrow()  # at most BINS rows per open node, in one job (a local iterator runs one a partition)
+    for node, *row in zip(*(rows.column(c).to_pylist() for c in ("node", "bin", "bytes", "n"))):
+        found.setdefault(node, []).append(tuple(row))
     return {k: sorted(v) for k, v in found.items()}
 
 
