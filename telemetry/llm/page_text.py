@@ -15,7 +15,11 @@ Output: character references decoded, white space within a block made one space,
 trimmed and joined in page order by one newline; empty blocks vanish, nothing else is cut.
 
 Edge cases: a null or empty page, and one without main text, gives an empty text. Broken
-markup (unclosed or crossing tags, a page cut short) is read as far as it goes. Rows are
+markup (unclosed or crossing tags, a page cut short) is read as far as it goes: the head ends
+with what cannot stand in it, and an element whose content is not shown (``HIDDEN``) hides
+nothing if an element around it, or the page, ends before its own end tag; an unclosed title,
+script or style hides its text up to the next tag (a script or style without end tag reads
+no tags, as in browsers). Rows are
 extracted one by one, so repeated rows, ties and null ids are kept as they are; further
 columns are carried along (``add_text`` replaces a column of the result's name). One
 narrow pass, memory bounded by the longest page.
@@ -40,7 +44,9 @@ FIT_PAGES = 500
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr br img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template head title svg iframe object".split())
+HIDDEN = frozenset("script style noscript template title svg iframe object".split())
+#: Of these, the ones whose text is no text of the page even without their end tags.
+NO_TEXT = frozenset("script style title".split())
 FURNITURE = frozenset("nav footer header aside form menu dialog button select textarea".split())
 MAIN = frozenset("article main".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
@@ -74,17 +80,70 @@ class Dom(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("#page", -1, 0)]
         self.open = [0]
-        self.hidden: list[str] = []
         self.links = 0
         self.inputs: list[int] = []
         self.pieces: list[tuple[int, bool, str] | None] = []
+        self.events: list[tuple[str, str | None, list | None]] = []  # (text), (end tag) or (start tag, attributes)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in HIDDEN:
-            self.hidden.append(tag)
-            return
-        if self.hidden:
-            return
+        self.events.append(("", tag, attrs))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.events.append(("", tag, attrs))
+        if tag not in VOID and tag not in INLINE:
+            self.events.append(("", tag, None))
+
+    def handle_endtag(self, tag: str) -> None:
+        self.events.append(("", tag, None))
+
+    def handle_data(self, data: str) -> None:
+        self.events.append((data, None, None))
+
+    def hidden_ends(self) -> dict[int, int]:
+        """The end tag of each hidden element that is closed before the elements around it end (places in ``events``)."""
+        ends: dict[int, int] = {}
+        stack: list[tuple[str, int]] = []
+        count: dict[str, int] = {}
+        for i, (_, tag, attrs) in enumerate(self.events):
+            if tag is None or tag in INLINE or tag in VOID or tag == "head":
+                continue
+            if attrs is not None:
+                stack.append((tag, i))
+                count[tag] = count.get(tag, 0) + 1
+            elif count.get(tag):
+                while True:
+                    name, at = stack.pop()
+                    count[name] -= 1
+                    if name == tag:
+                        break
+                if tag in HIDDEN:
+                    ends[at] = i
+        return ends
+
+    def build(self) -> None:
+        """Nodes and pieces from the events."""
+        ends = self.hidden_ends() if any(tag in HIDDEN for _, tag, _ in self.events) else {}
+        resume, mute = 0, False
+        for i, (data, tag, attrs) in enumerate(self.events):
+            if i < resume:
+                continue
+            if tag is None:
+                if not mute:
+                    self.pieces.append((self.open[-1], self.links > 0, data))
+                continue
+            mute = False
+            if tag in HIDDEN:
+                resume = ends.get(i, -1) + 1
+                mute = attrs is not None and tag in NO_TEXT and not resume
+            elif tag == "head":
+                continue
+            elif attrs is None:
+                self.end(tag)
+            else:
+                self.start(tag, attrs)
+        self.events = []
+
+    def start(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
             self.pieces.append((self.open[-1], False, " "))
         if tag == "a":
@@ -110,18 +169,7 @@ class Dom(HTMLParser):
         self.nodes.append(node)
         self.open.append(len(self.nodes) - 1)
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in INLINE:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in HIDDEN:
-            if tag in self.hidden:
-                del self.hidden[self.hidden.index(tag):]
-            return
-        if self.hidden:
-            return
+    def end(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
         if tag in INLINE or tag in VOID:
@@ -133,15 +181,12 @@ class Dom(HTMLParser):
                 del self.open[i:]
                 break
 
-    def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.pieces.append((self.open[-1], self.links > 0, data))
-
 
 def parse(html: str | None) -> Dom:
     dom = Dom()
     dom.feed(_CUT_TAG.sub("", html or ""))
     dom.close()
+    dom.build()
     return dom
 
 

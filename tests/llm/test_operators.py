@@ -300,6 +300,21 @@ def test_page_text(spark):
     assert (lost + extra) / total < 0.02
 
 
+def test_left_out_end_tags_hide_nothing():
+    def shown(html):
+        return [t for _, t, _ in page_text.text_blocks(page_text.parse(html))]
+    for head in ("<head><title>x</title>", "<head><title>x", "<title>x", "<head><title>x <b>y</title><script>1<p>2</script>", "<head><title>x</title></head>"):
+        assert shown(f"<html>{head}<body><article><p>One</p><p>Two</article></body></html>") == ["One", "Two"]
+    assert shown("<head><title>x</title><article><p>One") == ["One"]  # no body tag either
+    for lost in ("<svg><path>", "<object data=x>", "<iframe src=x>", "<noscript>", "<template>"):
+        for end in ("</article></body></html>", ""):
+            assert shown(f"<body><article><p>One</p>{lost}<p>Two</p><p>Three</p>{end}") == ["One", "Two", "Three"]
+        assert shown(f"<body><div><p>One</p>{lost}</div><p>Two</p><svg><g>a</svg>") == ["One", "Two"]
+    for kept in ("svg", "object", "iframe", "noscript", "template"):  # closed: hidden with all that is in it
+        assert shown(f"<div><p>One</p><{kept}><div><p>a<p>b</div><{kept}>c</{kept}>d</{kept}><p>Two</div>") == ["One", "Two"]
+    assert shown("<p>One</p><script>a") == ["One"]
+
+
 # ---- 9 ------------------------------------------------------------------------------------
 
 def test_line_rules(spark, make_docs):
