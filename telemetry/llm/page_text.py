@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -249,13 +250,13 @@ def node_features(dom: Dom, texts: list[tuple[int, str, int]]) -> np.ndarray:
             up[i] = up[p] + (bad[p] > 0, good[p] > 0, talk[p] > 0, furniture[p], main[p])
         kids = node.children
         sizes = np.log1p(total[kids, 0])
-        tags = [dom.nodes[k].tag for k in kids]
+        tags = Counter(dom.nodes[k].tag for k in kids)
         for j, k in enumerate(kids):
             place[k], family[k] = j / len(kids), len(kids)
             around[k] = (sizes.sum() - sizes[j]) / max(1, len(kids) - 1)
             before[k] = sizes[j - 1] if j else 0
             after[k] = sizes[j + 1] if j + 1 < len(kids) else 0
-            alike[k] = tags.count(tags[j]) / len(kids) if len(kids) < 200 else 1
+            alike[k] = tags[dom.nodes[k].tag] / len(kids)
     chars = np.maximum(total[:, 0], 1)
     tag = [node.tag for node in dom.nodes]
     return np.stack([

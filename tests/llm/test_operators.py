@@ -315,6 +315,13 @@ def test_left_out_end_tags_hide_nothing():
     assert shown("<p>One</p><script>a") == ["One"]
 
 
+def test_share_of_like_siblings_has_no_switch():
+    for n in (198, 199, 200, 400):
+        dom = page_text.parse("<div>" + "<p>a</p>" * n + "<aside>b</aside></div>")
+        alike = page_text.node_features(dom, page_text.text_blocks(dom))[:, 18]
+        assert alike[-1] == 1 / (n + 1) and alike[2] == n / (n + 1)
+
+
 # ---- 9 ------------------------------------------------------------------------------------
 
 def test_line_rules(spark, make_docs):
