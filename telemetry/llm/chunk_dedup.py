@@ -4,10 +4,11 @@ A gear rolling hash runs over the bytes of each text; a chunk ends where bits of
 that depend on the last 16 bytes are zero (and at a longest size), so chunk borders move
 with the content and an insertion changes only the chunks around it. Chunks are
 deduplicated by a 64-bit digest: the first place, by (document id, position), keeps the
-content. A passage is a run of chunks in a row that all stood earlier; runs of at least
-``min_words`` words are removed, shorter ones (chance, license lines) stay. The default
-finds repeats of 50 words: up to about half of such a passage can fall on the cut chunks
-at its two ends.
+content. A passage is a run of chunks in a row that all stood earlier, extended byte by byte
+to both sides as far as the text agrees with that around the first places of its end chunks.
+Passages of at least ``min_words`` whole words are removed, without the parts of words at
+their ends; shorter ones (chance, license lines) stay. Only a passage that holds no whole
+chunk is not seen.
 
 Edge cases: null and empty texts have no chunks and stay (an empty text results). Of
 repeated passages in one text the first stays. Rows equal in id and text: the first place
@@ -17,7 +18,11 @@ their hash. A null id sorts first. Cuts fall between UTF-8 characters. Other col
 Scale: chunks that recur within a block are resolved there, so a chunk that half the
 corpus holds is one row per block in the shuffle. Digests are combined map-side to their
 first place; the join back is on the digest, unique on one side, with hot chunks split by
-adaptive execution. Found places are gathered per text, whose size bounds them.
+adaptive execution. Found places are gathered per text, whose size bounds them. A match that
+covers the next cut chunk and 16 bytes more would hold that chunk too, so the text around a
+first place is needed for little more than a chunk. It is looked up once a place, and
+only for runs that can reach ``min_words``: those that cannot are known by the words in the
+chunks beside them and the hashes of the 16 bytes at each side.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry.llm.frames import materialise
+from telemetry.llm.frames import attach, materialise
 from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, constants, row_counts, span_hashes, word_spans
 
 MIN_WORDS = 20
@@ -40,14 +45,20 @@ MAX_BYTES = 512
 _GEAR = (constants(99, 256) >> np.uint64(16)).astype(np.uint32)
 
 
-def borders(b: Block, chunk_bits: int = CHUNK_BITS, max_bytes: int = MAX_BYTES) -> np.ndarray:
-    """Sorted chunk starts of a block with its end; every row starts a chunk."""
-    data = b.data
+def rolling(data: np.ndarray) -> np.ndarray:
+    """At each byte the sum of gear[byte i-j] << j over the last 16 bytes."""
     h = _GEAR[data]
-    for step in (1, 2, 4, 8):  # h[i] = sum of gear[byte i-j] << j over the last 16 bytes
+    for step in (1, 2, 4, 8):
         more = np.zeros_like(h)
         more[step:] = h[:-step] << np.uint32(step)
         h = h + more
+    return h
+
+
+def borders(b: Block, chunk_bits: int = CHUNK_BITS, max_bytes: int = MAX_BYTES) -> np.ndarray:
+    """Sorted chunk starts of a block with its end; every row starts a chunk."""
+    data = b.data
+    h = rolling(data)
     mask = np.uint32(((1 << chunk_bits) - 1) << (16 - chunk_bits))
     at = np.flatnonzero((h & mask) == 0) + 1
     at = np.union1d(np.append(at, len(data)), b.offsets)
@@ -73,9 +84,35 @@ def _text_hash(b: Block) -> np.ndarray:
     return span_hashes(b.data, b.offsets[:-1], b.offsets[1:]).view(np.int64)
 
 
+def _beside(b: Block, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, sides) of every chunk: packed numbers of words that begin in it, in what a match can reach
+    before and after it and in the 15 bytes before and after it, and of bytes of the chunks before and after
+    it (bits from ``AT``); hashes of the 16 bytes at each side."""
+    first = word_spans(b, SPACE_WORD)[0]
+    lo, hi = b.offsets[row], b.offsets[row + 1]
+    at, end = lo + start, lo + start + size
+    before = np.where(start > 0, np.roll(at, 1), at)
+    after = np.where(end < hi, np.roll(end, -1), end)
+
+    def words(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.searchsorted(first, np.minimum(y, hi)) - np.searchsorted(first, np.maximum(x, lo))
+    packed = np.zeros(len(at), np.int64)
+    parts = (words(at, end), words(before - 16, at), words(end, after + 16), words(at - 15, at), words(end, end + 15), at - before, after - end)
+    for n, part in zip(AT, parts):
+        packed |= part.astype(np.int64) << n
+    h = np.append(rolling(b.data), np.uint32(0)).astype(np.int64)
+    return packed, h[at - 1] << 32 | h[np.minimum(end + 15, len(b.data))]
+
+
+#: Places of the numbers in ``words`` (of 10 bits each, the fourth and fifth of 5).
+AT = (0, 10, 20, 30, 35, 40, 50)
+#: Bits of ``words``: the 16 bytes before (after) the chunk equal those of the first place.
+LEFT, RIGHT = 1 << 60, 1 << 61
+
+
 def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
-    """digest, place (id, text hash, start) and bytes of every chunk; ``again`` marks those that
-    stood earlier within the block (by place)."""
+    """digest, place (id, text hash, start), bytes, words and sides of every chunk; ``again`` marks those that
+    stood earlier within the block (by place), ``head`` and ``head_start`` (text hash and start) where."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,18 +126,26 @@ def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
                 order = np.lexsort((start, rank[row], digest))
                 again = np.zeros(len(row), dtype=bool)
                 again[order[1:]] = digest[order[1:]] == digest[order[:-1]]
+                head = np.empty(len(row), dtype=np.int64)
+                head[order] = order[np.maximum.accumulate(np.where(again[order], 0, np.arange(len(row))))]
                 text = _text_hash(b)
+                words, sides = _beside(b, row, start, size)
+                words |= np.where(sides >> 32 == sides[head] >> 32, LEFT, 0) * again
+                words |= np.where(sides & 0xFFFFFFFF == sides[head] & 0xFFFFFFFF, RIGHT, 0) * again
                 # equal rows side by side share places: the later is no repeat of the earlier
                 own = np.flatnonzero(again)
                 if len(np.unique(text)) < b.n:
                     first = {}
                     twin = np.array([first.setdefault((ids[b.first + i].as_py(), int(text[i])), i) != i for i in range(b.n)])
                     again[own[twin[row[own]]]] = False
+                words = np.where(again, words, words & (LEFT - 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digest), ids.take(pa.array(row + b.first)), pa.array(text[row]),
-                     pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(again)],
-                    names=["digest", "id", "text_hash", "start", "bytes", "again"])
-    return docs.mapInArrow(run, f"digest bigint, id {kind}, text_hash bigint, start int, bytes int, again boolean")
+                     pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(words),
+                     pa.array(sides, mask=again), pa.array(text[row[head]], mask=~again), pa.array(start[head].astype(np.int32), mask=~again)],
+                    names=["digest", "id", "text_hash", "start", "bytes", "again", "words", "sides", "head", "head_start"])
+    return docs.mapInArrow(run, f"digest bigint, id {kind}, text_hash bigint, start int, bytes int, again boolean, words bigint, "
+                                "sides bigint, head bigint, head_start int")
 
 
 def _order(value, i: int) -> tuple:
@@ -108,24 +153,93 @@ def _order(value, i: int) -> tuple:
 
 
 def repeated_chunks(docs: DataFrame, **options) -> DataFrame:
-    """(id, text_hash, spots): packed starts and sizes of the chunks of a text that stood earlier."""
+    """(id, text_hash, spots): starts and sizes of the chunks of a text that stood earlier, with an earlier place
+    (text hash and start) and the words in and beside them."""
     rows = _chunk_rows(docs, options)
     place = F.struct("id", "text_hash", "start")
-    open_rows = rows.filter("not again").select("digest", place.alias("place"), "bytes")
-    first = open_rows.groupBy("digest").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = open_rows.join(materialise(first.select("digest", "first"), "chunk-heads"), "digest") \
-        .filter(F.col("place") != F.col("first")).select("place.*", "bytes")
-    known = rows.filter("again").select("id", "text_hash", "start", "bytes")
+    open_rows = rows.filter("not again").select("digest", place.alias("place"), "bytes", "words", "sides")
+    first = open_rows.groupBy("digest").agg(F.min(F.struct("place", "sides")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    heads = materialise(first.select("digest", F.col("first.place").alias("first"), F.col("first.sides").alias("first_sides")), "chunk-heads")
+    same = F.col("sides").bitwiseXOR(F.col("first_sides"))
+    words = F.col("words").bitwiseOR(F.when(F.shiftright(same, 32) == 0, F.lit(LEFT)).otherwise(F.lit(0))) \
+        .bitwiseOR(F.when(same.bitwiseAND(F.lit(0xFFFFFFFF)) == 0, F.lit(RIGHT)).otherwise(F.lit(0)))
+    later = open_rows.join(heads, "digest").filter(F.col("place") != F.col("first")) \
+        .select("place.*", "bytes", F.col("first.text_hash").alias("head"), F.col("first.start").alias("head_start"), words.alias("words"))
+    known = rows.filter("again").select("id", "text_hash", "start", "bytes", "head", "head_start", "words")
     return later.unionByName(known).groupBy("id", "text_hash") \
-        .agg(F.collect_set(F.struct("start", "bytes")).alias("spots"))
+        .agg(F.collect_list(F.struct("start", "bytes", "head", "head_start", "words")).alias("spots"))
+
+
+def _ends(found: DataFrame, min_words: int, reach: int) -> DataFrame:
+    """A row for each run that can hold ``min_words`` words and each place its ends may continue at: the run (s, e),
+    the byte ``anchor`` of the text that stands at byte ``pos`` of the text ``head``, the side to look at and how far."""
+    kind = found.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i, spots in enumerate(batch.column(2).to_pylist()):
+                for chain in _runs(spots):
+                    s, e = chain[0]["start"], chain[-1]["start"] + chain[-1]["bytes"]
+                    left, right = ([*_lines(chain, at, reach, after)] for at, after in ((s, False), (e, True)))
+                    most = sum(x["words"] & 1023 for x in chain) + 1 \
+                        + _side(chain[0]["words"], 0, any(far for *_, far in left)) + _side(chain[-1]["words"], 1, any(far for *_, far in right))
+                    if most < min_words:
+                        continue
+                    for after, lines, size in ((False, left, chain[0]["words"] >> AT[5] & 1023), (True, right, chain[-1]["words"] >> AT[6] & 1023)):
+                        for head, here, there, far in lines:
+                            need = abs(here - (e if after else s)) + (size if far else 0) + 16
+                            out.append((i, s, e, here, after, head, there, 16 if need <= 16 else max(64, 1 << (need - 1).bit_length())))
+            at, *rest = zip(*out) if out else [()] * 8
+            took = pa.array(at, pa.int64())
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), *map(pa.array, rest, kinds)],
+                                             names=["id", "text_hash", "s", "e", "anchor", "right", "head", "pos", "size"])
+    return found.mapInArrow(run, f"id {kind}, text_hash bigint, s int, e int, anchor int, right boolean, head bigint, pos int, size int")
+
+
+def _side(words: int, after: int, far: bool) -> int:
+    """The words a match can gain before (after) a chunk."""
+    return words >> AT[1 + after] & 1023 if far else words >> AT[3 + after] & 31
+
+
+def _lines(chain: list[dict], end: int, reach: int, right: bool) -> Iterator[tuple[int, int, int, bool]]:
+    """(text hash, byte here, byte there, 16 bytes or more agree) for each different way the chunks near an end of a
+    run lie in earlier texts."""
+    seen = set()
+    for x in reversed(chain) if right else chain:
+        here = x["start"] + (x["bytes"] if right else 0)
+        if abs(here - end) > reach:
+            break
+        line, far = (x["head"], x["head_start"] - x["start"]), bool(x["words"] & (RIGHT if right else LEFT))
+        if line not in seen and (far or abs(here - end) < 16):
+            yield x["head"], here, line[1] + here, far
+        seen.add(line)
+
+
+def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """(head, pos, right, size, near): the ``size`` bytes before or after the places that ``ends`` names."""
+    wants = ends.select("head", "pos", "right", "size").distinct().groupBy(F.col("head").alias("h")) \
+        .agg(F.collect_list(F.struct("pos", "right", "size")).alias("wants"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, h, wants in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                raw = (text.as_py() or "").encode()
+                out += [(h, p, right, n, raw[p:p + n] if right else raw[max(0, p - n):p]) for p, right, n in map(dict.values, wants)]
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out) if out else [()] * 5, kinds)), names=["head", "pos", "right", "size", "near"])
+    return attach(texts, materialise(wants, "wanted"), "h", rows=100_000).filter(F.col("wants").isNotNull()) \
+        .select("text", "h", "wants").mapInArrow(run, "head bigint, pos int, right boolean, size int, near binary") \
+        .dropDuplicates(["head", "pos", "right", "size"])
 
 
 def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
                      **options) -> DataFrame:
     """One row per row of ``docs``: id, text without repeated passages, n_words, n_removed_words, n_spans."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    found = materialise(repeated_chunks(docs, **options), "repeats") \
-        .select(F.col("id").alias("found_id"), "text_hash", "spots")
+    reach = options.get("max_bytes", MAX_BYTES)
     kind = docs.schema["id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +257,8 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                 gone, removed, spans = [], np.zeros(b.n, np.int64), np.zeros(b.n, np.int64)
                 for i in range(b.n):
                     raw = b.text(i)
-                    runs = _runs(spots[b.first + i].as_py() or [])
                     out, at = [], 0
-                    for s, e in runs:
+                    for s, e in _passages(raw, spots[b.first + i].as_py() or []):
                         words = len(raw[s:e].split())
                         if words >= min_words:
                             out.append(raw[at:s])
@@ -158,18 +271,59 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                     [batch.column(0).slice(b.first, b.n), pa.array(gone, pa.string()), pa.array(n_words), pa.array(removed), pa.array(spans)],
                     names=["id", "text", "n_words", "n_removed_words", "n_spans"])
     with_hash = docs.mapInArrow(hashed, f"id {kind}, text string, h bigint")
+    ends = materialise(_ends(repeated_chunks(docs, **options), min_words, reach), "repeats")
+    near = materialise(_around(with_hash.select("text", "h"), ends), "around")
+    found = ends.join(near, ["head", "pos", "right", "size"]).groupBy(F.col("id").alias("found_id"), "text_hash") \
+        .agg(F.collect_list(F.struct("s", "e", "anchor", "right", "near")).alias("spots"))
     joined = with_hash.join(found, with_hash["id"].eqNullSafe(found["found_id"]) & (with_hash["h"] == found["text_hash"]), "left") \
         .select("id", "text", "spots")
     return joined.mapInArrow(cut, f"id {kind}, text string, n_words bigint, n_removed_words bigint, n_spans bigint") \
         .withColumnRenamed("id", id_column)
 
 
-def _runs(spots: list[dict]) -> list[tuple[int, int]]:
-    """Maximal runs (start, end) of chunks in a row."""
-    runs: list[list[int]] = []
-    for s, n in sorted((x["start"], x["bytes"]) for x in spots):
-        if runs and runs[-1][1] == s:
-            runs[-1][1] = s + n
+def _runs(spots: list[dict]) -> list[list[dict]]:
+    """Maximal runs of chunks in a row; of several places of a chunk one counts."""
+    runs: list[list[dict]] = []
+    for x in sorted({x["start"]: x for x in spots}.values(), key=lambda x: x["start"]):
+        if runs and runs[-1][-1]["start"] + runs[-1][-1]["bytes"] == x["start"]:
+            runs[-1].append(x)
+        else:
+            runs.append([x])
+    return runs
+
+
+def _agree(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+
+
+def _passages(raw: bytes, ends: list[dict]) -> list[tuple[int, int]]:
+    """Places (start, end) of the runs of a text, extended and cut back to whole words; the space between
+    what stands before and after stays."""
+    wide: dict[tuple[int, int], list[int]] = {}
+    for x in ends:
+        s, e = wide.setdefault((x["s"], x["e"]), [x["s"], x["e"]])
+        p, near = x["anchor"], x["near"]
+        if x["right"]:
+            wide[x["s"], x["e"]][1] = max(e, p + _agree(raw[p:p + len(near)], near))
+        else:
+            wide[x["s"], x["e"]][0] = min(s, p - _agree(raw[max(0, p - len(near)):p][::-1], near[::-1]))
+    joined: list[list[int]] = []
+    for s, e in sorted(wide.values()):
+        if joined and s <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], e)
         else:
-            runs.append([s, s + n])
-    return [tuple(r) for r in runs]
+            joined.append([s, e])
+    out = []
+    for s, e in joined:
+        while 0 < s < e and not raw[s - 1:s].isspace() and not raw[s:s + 1].isspace():
+            s += 1
+        while s < e < len(raw) and not raw[e - 1:e].isspace() and not raw[e:e + 1].isspace():
+            e -= 1
+        if 0 < s < e < len(raw) and not raw[s - 1:s].isspace() and not raw[e:e + 1].isspace():
+            s += 1
+        out.append((s, e))
+    return out

@@ -266,6 +266,18 @@ def test_repeated_passages_go(spark, make_docs):
     assert chunk_dedup.dedup_substrings(docs.filter("false")).count() == 0
 
 
+def test_repeated_passages_go_whole(spark, make_docs):
+    rng = random.Random(81)
+    passages = [text_of(rng, 51, 10**6) for _ in range(200)]
+    own = [(text_of(rng, 30, 10**6), text_of(rng, 30, 10**6)) for _ in range(400)]
+    texts = [f"{a} {passages[i % 200]} {b}" for i, (a, b) in enumerate(own)]
+    got = {r.doc_id: r for r in chunk_dedup.dedup_substrings(make_docs(texts), min_words=50).collect()}
+    assert all(got[i].text == t and got[i].n_removed_words == 0 for i, t in enumerate(texts[:200]))
+    for i in range(200, 400):  # to the byte: no word more, no word less
+        assert got[i].text.split() == (own[i][0] + " " + own[i][1]).split() and got[i].n_removed_words == 51
+    assert all(r.n_removed_words == 0 for r in chunk_dedup.dedup_substrings(make_docs(texts), min_words=52).collect())
+
+
 def test_chunks_resist_insertions():
     from telemetry.llm.textblocks import blocks
     import pyarrow as pa
