@@ -10,11 +10,14 @@ with logistic losses: the second term estimates the risk on negatives from unlab
 minus positive rows, and when it turns negative (overfitting) the step is reversed.
 Bad labels are not used as negatives in the risk; they take part in the estimate of the
 prior (share of good rows among the labelled rows of the learning part) and in placing the
-score: scores are calibrated so that the expected share of bad rows lies below the cut.
+score: the cut lies where the fewest labelled rows of the learning part are on the wrong side,
+whatever share of the corpus that rejects.
 
 Bounds: the fit sees at most about ``FIT_ROWS`` positives and as many unlabelled rows,
-chosen by a hash of the id; the prior uses all labels. Scoring is one narrow pass over all
-rows and whole texts.
+chosen by a hash of the id; the prior and the cut use all labels. The cut is found in
+histograms of ``BINS`` bins counted in the tasks. Scoring is one narrow pass over all
+rows and whole texts, and one more over the labelled ones before it (over the learning part
+if the labels are too many to be sent to all tasks; no text is shuffled).
 
 Edge cases: a null text scores as an empty one; the score is always between 0 and 1. A
 null id is never held out and has no label. Repeated label rows count as often as they
@@ -33,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetry.llm.frames import small, unit_hash
+from telemetry.llm.frames import BROADCAST_ROWS, materialise, semi, small, unit_hash
 from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, row_counts, span_hashes, word_spans
 
 FIT_ROWS = 20_000
 CUT = 0.3
 FOLDS = 5
+#: Bins of a histogram of scores, and how often it is taken again around the cut.
+BINS, ZOOMS = 4096, 3
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
@@ -127,16 +132,19 @@ class Model:
     offset: float
     fixed: float | None = None
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return ((x - self.mean) / self.scale) @ self.weights
+
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.fixed is not None:
             return np.full(len(x), self.fixed)
-        z = ((x - self.mean) / self.scale) @ self.weights - self.offset
+        z = self.raw(x) - self.offset
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05,
         decay: float = 1e-4) -> Model:
-    """Minimise the non-negative risk with Adam on the whole sample; then place the cut by the prior."""
+    """Minimise the non-negative risk with Adam on the whole sample."""
     if not len(positive) or not len(unlabelled):
         return Model(np.empty(0), np.empty(0), np.empty(0), 0.0, fixed=prior)
     mean, scale = unlabelled.mean(0), unlabelled.std(0)
@@ -159,24 +167,44 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(w, mean, scale, 0.0)
 
 
-def place_cut(model: Model, unlabelled: np.ndarray, prior: float, cut: float) -> Model:
-    """Shift the scores so that the cut lies in the widest gap near the quantile of the bad share.
-
-    Near: within a fiftieth of the sample or three standard errors of that share.
-    """
+def place_cut(model: Model, labelled: DataFrame, cut: float) -> Model:
+    """Shift the scores so that the fewest rows (z, good, bad) are on the wrong side of the cut; of equal
+    places the widest gap."""
     if model.fixed is not None:
         return model
-    z = np.sort(((unlabelled - model.mean) / model.scale) @ model.weights)
-    k = int(round((1 - prior) * len(z)))
-    slack = max(1, len(z) // 50, round(3 * (prior * (1 - prior) * len(z)) ** 0.5))
-    lo, hi = max(0, k - slack), min(len(z) - 1, k + slack)
-    gaps = np.diff(z[lo:hi + 1])
-    at = lo + int(np.argmax(gaps)) if len(gaps) else min(k, len(z) - 1)
-    middle = (z[at] + z[min(at + 1, len(z) - 1)]) / 2
+    lo, hi, all_bad = labelled.agg(F.min("z"), F.max("z"), F.sum("bad")).first()
+    if lo is None:
+        return model
+    middle, good_below, bad_below = lo, 0, 0
+    for _ in range(ZOOMS):
+        width = (hi - lo) / BINS or 1.0
+        rows = sorted(labelled.filter(F.col("z").between(lo, hi)).groupBy(F.floor((F.col("z") - lo) / width).alias("bin"))
+                      .agg(F.min("z"), F.max("z"), F.sum("good"), F.sum("bad")).collect())
+        low, high, good, bad = (np.array(x) for x in list(zip(*rows))[1:])
+        goods, bads = good_below + np.append(0, np.cumsum(good)), bad_below + np.append(0, np.cumsum(bad))
+        gap = np.concatenate([[0], low[1:] - high[:-1], [0]])
+        at = int(np.lexsort((-gap, goods + all_bad - bads))[0])
+        first, last = max(at - 1, 0), min(at, len(rows) - 1)
+        middle = low[0] if at == 0 else np.nextafter(high[-1], np.inf) if at == len(rows) else (high[at - 1] + low[at]) / 2
+        lo, hi, good_below, bad_below = float(low[first]), float(high[last]), int(goods[first]), int(bads[first])
     model.offset = float(middle - np.log(cut / (1 - cut)))
     return model
 
 
+def _labelled(docs: DataFrame, known: DataFrame, n_known: int, model: Model, id_column: str, text: str, label: str) -> DataFrame:
+    """(z, good, bad) of every labelled row of the learning part: raw score and labels of each kind."""
+    rows = docs.filter(~held_out(F.col(id_column))).select(id_column, text)
+    rows = semi(rows, known, id_column) if n_known <= BROADCAST_ROWS else rows
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = [model.raw(features(b)) for b in blocks(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(z) if z else np.empty(0), pa.float64())], names=["id", "z"])
+    marks = known.groupBy(F.col(id_column).alias("id")).agg(F.sum((F.col(label) == 1).cast("long")).alias("good"), F.sum((F.col(label) != 1).cast("long")).alias("bad"))
+    return rows.mapInArrow(run, f"id {kind}, z double").join(marks, "id").select("z", "good", "bad")
+
+
 def held_out(id_column: Column) -> Column:
     """Rows kept out of learning: crc32 of the id as text is a multiple of 5 (null: learning part, unlabelled)."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -205,8 +233,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     good = known.filter((F.col(label) == 1) & (draw < min(1.0, fit_rows / max(n_good, 1)))).select(id_column).distinct()
     positive = docs.select(id_column, text).join(small(good), id_column, "left_semi").select(text)
     rest = docs.filter(~held_out(F.col(id_column)) & (unit_hash(F.col(id_column), seed=seed + 1) < min(1.0, fit_rows / max(n_docs, 1)))).select(text)
-    u = _feature_rows(rest)
-    return place_cut(fit(_feature_rows(positive), u, prior), u, prior, cut)
+    model = fit(_feature_rows(positive), _feature_rows(rest), prior)
+    if model.fixed is not None:
+        return model
+    return place_cut(model, materialise(_labelled(docs, known, n_known, model, id_column, text, label), "labelled-scores"), cut)
 
 
 def add_score(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:

@@ -196,6 +196,18 @@ def test_quality_learns_without_negatives(spark, make_docs):
     assert quality_pu.score_table(docs.filter("false"), labels).count() == 0
 
 
+def test_quality_cut_follows_the_labels(spark, make_docs):
+    """Far more good rows than the labels say, and a fit on a part of the rows: no good row is rejected for that."""
+    rng = random.Random(71)
+    good = [text_of(rng, 60) + ". " + text_of(rng, 30) + "." for _ in range(600)]
+    bad = [" ".join(w + "***" for w in text_of(rng, 80).split()) for _ in range(60)]
+    docs = make_docs(good + bad)
+    labels = spark.createDataFrame([(i, 1) for i in range(60)] + [(i, 0) for i in range(600, 660)], "doc_id long, quality int")
+    for rows in (100, 20_000):
+        got = quality_pu.score_table(docs, labels, fit_rows=rows).collect()
+        assert np.mean([r.predicted == int(r.doc_id < 600) for r in got]) > 0.97
+
+
 # ---- 5 ------------------------------------------------------------------------------------
 
 def test_poisson_replication(spark, make_docs):
