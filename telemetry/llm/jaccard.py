@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry.llm.frames import materialise, semi, small
+from telemetry.llm.frames import fresh, materialise, semi, small
 from telemetry.llm.links import components
 from telemetry.llm.textblocks import LOWER, SPACE_WORD, blocks, constants, mix64, span_hashes, word_spans
 
@@ -468,6 +468,11 @@ def _open_rows(groups: DataFrame, known: DataFrame, classes: DataFrame) -> DataF
 def similarity_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                        ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links)."""
+    return _classes(docs, id_column, text, ngram, bucket_bytes).select(id_column, "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``similarity_classes`` with the hash of the row's set."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     found = materialise(shingle_sets(docs, "id", "text", ngram), "sets")
     rows = found.filter("kind = 0").select("id", "h", "n", "sketch", "brief")
@@ -499,20 +504,27 @@ def similarity_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "
     name = labelled.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
     return labelled.join(name, "root", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.col("h").alias("set_hash"))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group: the row whose id names its component.
 
     Rows without words stay. Of rows equal in id and text one stays; rows that share an id
-    but not their text are told apart by the text. Null ids: a component of null ids only
+    but not their text are told apart by the text, and each stays only if it leads its own component. Null ids: a component of null ids only
     keeps each of its different texts, any other its smallest id.
     """
-    classes = similarity_classes(docs, id_column, text, **options)
-    ids = classes.groupBy(id_column).agg(
-        F.max(F.col(id_column).eqNullSafe(F.col("component_id"))).alias("leads"),
-        F.count(F.lit(1)).alias("rows")).filter("leads")
+    classes = materialise(_classes(docs, id_column, text, **options), "set-classes") \
+        .withColumn("leads", F.col(id_column).eqNullSafe(F.col("component_id")))
+    ids = classes.groupBy(id_column).agg(F.max("leads").alias("leads"), F.count(F.lit(1)).alias("rows")).filter("leads")
     ids = materialise(ids, "leaders")
-    return semi(docs, ids.filter("rows = 1"), id_column).unionByName(
-        semi(docs, ids.filter("rows > 1"), id_column).dropDuplicates([id_column, text]))
+    again = ids.filter("rows > 1")
+    # rows of an id that stands more than once: only those whose own set leads
+    digest, mark, key, h = (fresh(x) for x in ("text", "mark", "id", "set"))
+    rows = semi(docs, again, id_column).withColumn(digest, F.xxhash64(text))
+    sets = shingle_sets(rows.select(F.col(digest).alias("id"), F.col(text).alias("text")), "id", "text", options.get("ngram", NGRAM)) \
+        .filter("kind = 0").select(F.col("id").alias(mark), F.col("h").alias(h)).distinct()
+    lead = semi(classes.filter("leads"), again, id_column).select(F.col(id_column).alias(key), F.col("set_hash").alias(h)).distinct()
+    rows = rows.join(sets, F.col(digest) == F.col(mark))
+    rows = rows.join(lead, rows[id_column].eqNullSafe(lead[key]) & (rows[h] == lead[h]), "left_semi").drop(digest, mark, h)
+    return semi(docs, ids.filter("rows = 1"), id_column).unionByName(rows.dropDuplicates([id_column, text]))

@@ -114,6 +114,14 @@ def test_jaccard_classes(spark, make_docs):
     assert jaccard.similarity_classes(docs.filter("false")).count() == 0
 
 
+def test_near_copy_goes_though_its_id_leads_elsewhere(spark, make_docs):
+    rng = random.Random(21)
+    a, b, c = (text_of(rng, 60, 10**6) for _ in range(3))
+    docs = make_docs([a, a + " more", b, b, c, "", None], ids=[1, 5, 5, 5, None, 7, 7], clash=True)
+    got = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(docs).collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (None, c), (7, ""), (7, None)], key=str)
+
+
 def test_signatures_share_for_every_similar_pair():
     """The guarantee of the signatures alone, for sets at the similarity limit, with and without common shingles."""
     rng = np.random.default_rng(3)
