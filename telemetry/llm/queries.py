@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry.llm import bpe as B11
 from telemetry.llm import chunk_dedup as C7
 from telemetry.llm import decontaminate as D1
 from telemetry.llm import jaccard as J2
@@ -15,8 +16,10 @@ from telemetry.llm import line_rules as L9
 from telemetry.llm import mixing as M5
 from telemetry.llm import oracle as O
 from telemetry.llm import page_text as H8
+from telemetry.llm import periodic as P13
 from telemetry.llm import quality_pu as Q4
 from telemetry.llm import site_lines as S6
+from telemetry.llm import spelling as V12
 from telemetry.llm import token_scan as T3
 from telemetry.llm.frames import table
 
@@ -78,6 +81,31 @@ def op8_page_text(spark: SparkSession, sf: str) -> DataFrame:
     return H8.text_table(table(spark, sf, "pages", "page_id", "url", "html"))
 
 
+def op11_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Number and digest of the token ids of every document, and digest of the text decoded from them."""
+    tokens = B11.encode(table(spark, sf, "documents", "doc_id", "text")).drop("text")
+    return B11.decode(tokens).select(
+        "doc_id", F.expr("octet_length(tokens) div 4").cast("long").alias("n_tokens"),
+        F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Near words, form and root of every frequent word of documents into which typos are planted."""
+    return V12.variants(V12.vocabulary(table(spark, sf, "documents", "doc_id", "text"), typo_every=97))
+
+
+def op13_periodic(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of every document, the strongest one, and the text without repeats."""
+    docs = P13.with_planted_runs(table(spark, sf, "documents", "doc_id", "text"))
+    found = P13.find_runs(docs).withColumn("best", P13.strongest())
+    line = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(line, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
@@ -89,6 +117,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_page_text": op8_page_text,
     "op9_line_rules": op9_line_rules,
     "op10_sharding": op10_sharding,
+    "op11_bpe": op11_bpe,
+    "op12_spelling": op12_spelling,
+    "op13_periodic": op13_periodic,
 }
 
 SQL: dict[str, str] = {
