@@ -37,9 +37,3 @@ def golden(spark):
                     "CAST(NULL AS BIGINT) AS alert_count", "CAST(NULL AS TIMESTAMP_NTZ) AS detected_at")
     assert [f.name for f in alerts.schema] == [f.name for f in ALERTS_TABLE]
     return readings, alerts
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the named columns."""
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -1,6 +1,6 @@
 """Archive tables (DDL with explicit schema) and the latest-status view."""
 
-from conftest import rows
+from sorted_rows import rows
 
 from telemetry.schemas import ALERTS_TABLE, READINGS_TABLE
 from telemetry.session import scratch_path

@@ -9,7 +9,7 @@ import decimal
 import random
 
 import pytest
-from conftest import rows
+from sorted_rows import rows
 from pyspark.sql import functions as F
 
 from telemetry.operators.alerts import rain_alerts

@@ -2,7 +2,7 @@
 
 import datetime
 
-from conftest import rows
+from sorted_rows import rows
 
 from telemetry.operators.alerts import rain_alerts
 from telemetry.plans import analysis as A

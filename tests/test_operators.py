@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import rows
+from sorted_rows import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 """Presentation order (O1-O5) and order-independence of the answers."""
 
-from conftest import rows
+from sorted_rows import rows
 
 from telemetry.plans import analysis as A
 

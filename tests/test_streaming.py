@@ -1,6 +1,6 @@
 """Streams: restart continues the running count; a replayed batch changes nothing."""
 
-from conftest import rows
+from sorted_rows import rows
 from pyspark.sql import functions as F
 
 from telemetry.operators.alerts import rain_alerts
