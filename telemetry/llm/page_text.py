@@ -22,15 +22,16 @@ script or style hides its text up to the next tag (a script or style without end
 no tags, as in browsers). Rows are
 extracted one by one, so repeated rows, ties and null ids are kept as they are; further
 columns are carried along (``add_text`` replaces a column of the result's name). One
-narrow pass, memory bounded by the longest page.
+narrow pass; pages are scored in groups of ``GROUP_CHARS`` characters, so memory is bounded by a
+group or the longest page.
 """
 
 from __future__ import annotations
 
+import functools
 import random
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -52,6 +53,10 @@ FURNITURE = frozenset("nav footer header aside form menu dialog button select te
 MAIN = frozenset("article main".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main menu nav ol p pre section table ul".split())
+#: What an opening tag closes if it stands innermost, in this order.
+CLOSERS = {tag: [closer for closer, among in (("p", CLOSES_P), ("li", {"li"}), ("dt", {"dt", "dd"}), ("dd", {"dt", "dd"}),
+                                              ("td", {"td", "th", "tr"}), ("th", {"td", "th", "tr"}), ("tr", {"tr"}), ("option", {"option"}))
+                 if tag in among] for tag in CLOSES_P | {"li", "dt", "dd", "td", "th", "tr", "option"}}
 #: Parts of class, id and role tokens.
 BAD_TOKENS = ("nav", "menu", "foot", "header", "masthead", "banner", "sidebar", "side", "widget", "cookie", "consent",
               "notice", "popup", "modal", "ad", "ads", "advert", "promo", "sponsor", "share", "social", "related",
@@ -62,6 +67,7 @@ TALK_TOKENS = ("comment", "comments", "reply", "replies", "discuss", "disqus", "
 
 #: A tag that the end of the page cuts short.
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*$")
+_ASCII = re.compile("[\x00-\x7f]+")
 
 
 @dataclass
@@ -157,15 +163,13 @@ class Dom(HTMLParser):
         if tag == "hr":
             return
         self.links = 0
-        names = [self.nodes[x].tag for x in self.open]
-        for closer, among in (("p", CLOSES_P), ("li", {"li"}), ("dt", {"dt", "dd"}), ("dd", {"dt", "dd"}),
-                              ("td", {"td", "th", "tr"}), ("th", {"td", "th", "tr"}), ("tr", {"tr"}), ("option", {"option"})):
-            if tag in among and names[-1] == closer:
+        for closer in CLOSERS.get(tag, ()):
+            if self.nodes[self.open[-1]].tag == closer:
                 self.open.pop()
-                names.pop()
         given = dict(attrs)
-        words = " ".join(given.get(k) or "" for k in ("class", "id", "role")).lower()
-        node = Node(tag, self.open[-1], len(self.open), tuple("".join(c if c.isalnum() else " " for c in words).split()), given.get("data-known"))
+        words = " ".join(given.get(k) or "" for k in ("class", "id", "role")).lower() if given else ""
+        tokens = tuple("".join(c if c.isalnum() else " " for c in words).split()) if words else ()
+        node = Node(tag, self.open[-1], len(self.open), tokens, given.get("data-known"))
         self.nodes[self.open[-1]].children.append(len(self.nodes))
         self.nodes.append(node)
         self.open.append(len(self.nodes) - 1)
@@ -213,60 +217,106 @@ def text_blocks(dom: Dom) -> list[tuple[int, str, int]]:
     return out
 
 
-def _hits(tokens: tuple[str, ...], words: tuple[str, ...]) -> int:
-    return sum(any(t == w or (len(w) > 4 and w in t) for w in words) for t in tokens)
+@functools.lru_cache(maxsize=1 << 14)
+def _hits(tokens: tuple[str, ...]) -> tuple[int, int, int]:
+    """How many tokens are, or for longer words hold, one of the bad, good and talk words."""
+    return tuple(sum(any(t == w or (len(w) > 4 and w in t) for w in words) for t in tokens)
+                 for words in (BAD_TOKENS, GOOD_TOKENS, TALK_TOKENS))
 
 
-def node_features(dom: Dom, texts: list[tuple[int, str, int]]) -> np.ndarray:
-    """One row of features per node of the page."""
-    n = len(dom.nodes)
+def _digits(text: str) -> int:
+    rest = 0 if text.isascii() else sum(map(str.isdigit, _ASCII.sub("", text)))
+    return rest + sum(map(text.count, "0123456789"))
+
+
+@functools.lru_cache(maxsize=1 << 12)
+def _kinds(tag: str) -> tuple[bool, ...]:
+    return (tag in FURNITURE, tag in MAIN, tag == "p", tag in ("li", "ul", "ol"), tag in ("div", "section"),
+            tag in ("h1", "h2", "h3", "h4", "h5", "h6"), tag in ("#page", "html", "body"),
+            tag in ("blockquote", "pre", "td", "tr", "table", "tbody"))
+
+
+Texts = list[tuple[int, str, int]]
+
+
+def node_features(pages: list[tuple[Dom, Texts]]) -> np.ndarray:
+    """One row of features per node of the pages, page after page.
+
+    The nodes of all pages are one forest of arrays; sums over subtrees and what stands above a
+    node go level by level.
+    """
+    sizes = [len(dom.nodes) for dom, _ in pages]
+    first = np.cumsum([0, *sizes])
+    n = int(first[-1])
     own = np.zeros((n, 8))  # chars, link chars, stops, blocks, words, chars in p, chars in li, digits
-    begin = np.zeros(n)
-    seen = 0
-    for i, text, linked in texts:
-        tag = dom.nodes[i].tag
-        size = len(text)
-        own[i] += (size, linked, sum(text.count(c) for c in ".,;:!?"), 1, text.count(" ") + 1,
-                   size * (tag == "p"), size * (tag == "li"), sum(map(str.isdigit, text)))
-        begin[i] = begin[i] or seen
-        seen += size
-    inputs = np.zeros(n)
-    np.add.at(inputs, dom.inputs, 1)
+    begin, inputs = np.zeros(n), np.zeros(n)
+    parent, depth = np.empty(n, np.int64), np.empty(n, np.int64)
+    codes: dict[str, int] = {}
+    code = np.empty(n, np.int64)
+    hits = np.empty((n, 3))
+    for (dom, texts), base, size in zip(pages, first.tolist(), sizes):
+        end = base + size
+        parent[base:end] = [base + node.parent for node in dom.nodes]
+        depth[base:end] = [node.depth for node in dom.nodes]
+        code[base:end] = [codes.setdefault(node.tag, len(codes)) for node in dom.nodes]
+        hits[base:end] = [_hits(node.tokens) for node in dom.nodes]
+        np.add.at(inputs, [base + i for i in dom.inputs], 1)
+        seen = 0
+        for i, text, linked in texts:
+            tag, length = dom.nodes[i].tag, len(text)
+            own[base + i] += (length, linked, sum(map(text.count, ".,;:!?")), 1, text.count(" ") + 1,
+                              length * (tag == "p"), length * (tag == "li"), _digits(text))
+            begin[base + i] = begin[base + i] or seen
+            seen += length
+    root = np.repeat(first[:-1], sizes)
+    parent[first[:-1]] = first[:-1]
+    kinds = np.array([_kinds(tag) for tag in codes], dtype=float).reshape(-1, 8)[code]
+
+    # children of one parent stand together, in page order
+    child = np.argsort(parent, kind="stable")
+    child = child[parent[child] != child]
+    above = parent[child]
+    starts = np.r_[True, above[1:] != above[:-1]] if len(child) else np.zeros(0, bool)
+    is_first = np.zeros(n, bool)
+    is_first[child[starts]] = True
+    family = np.bincount(above, minlength=n)[parent] * (depth > 0)
+    by_depth = np.argsort(depth, kind="stable")
+    levels = np.split(by_depth, np.searchsorted(depth[by_depth], np.arange(1, int(depth.max(initial=0)) + 1)))[1:]
+
     total, below = own.copy(), np.ones(n)
-    for i in range(n - 1, 0, -1):  # children stand after their parents
-        p = dom.nodes[i].parent
-        total[p] += total[i]
-        below[p] += below[i]
-        inputs[p] += inputs[i]
-        begin[p] = begin[i] if not own[p, 0] or begin[i] < begin[p] else begin[p]
-    bad, good, talk, furniture, main = (np.zeros(n) for _ in range(5))
+    for level in reversed(levels):
+        up_to = parent[level]
+        np.add.at(total, up_to, total[level])
+        np.add.at(below, up_to, below[level])
+        np.add.at(inputs, up_to, inputs[level])
+        has_text = own[up_to, 0] > 0
+        np.minimum.at(begin, up_to[has_text], begin[level[has_text]])
+        lead = level[~has_text & is_first[level]]
+        begin[parent[lead]] = begin[lead]
+    flags = np.concatenate([hits > 0, kinds[:, :2]], axis=1)
     up = np.zeros((n, 5))
-    place, family, around, before, after, alike = (np.zeros(n) for _ in range(6))
-    for i, node in enumerate(dom.nodes):
-        bad[i], good[i], talk[i] = (_hits(node.tokens, w) for w in (BAD_TOKENS, GOOD_TOKENS, TALK_TOKENS))
-        furniture[i], main[i] = node.tag in FURNITURE, node.tag in MAIN
-        if i:
-            p = node.parent
-            up[i] = up[p] + (bad[p] > 0, good[p] > 0, talk[p] > 0, furniture[p], main[p])
-        kids = node.children
-        sizes = np.log1p(total[kids, 0])
-        tags = Counter(dom.nodes[k].tag for k in kids)
-        for j, k in enumerate(kids):
-            place[k], family[k] = j / len(kids), len(kids)
-            around[k] = (sizes.sum() - sizes[j]) / max(1, len(kids) - 1)
-            before[k] = sizes[j - 1] if j else 0
-            after[k] = sizes[j + 1] if j + 1 < len(kids) else 0
-            alike[k] = tags[dom.nodes[k].tag] / len(kids)
+    for level in levels:
+        up[level] = up[parent[level]] + flags[parent[level]]
+
+    place, around, before, after, alike = (np.zeros(n) for _ in range(5))
+    weight = np.log1p(total[:, 0])
+    if len(child):
+        count = family[child]
+        at = np.arange(len(child))
+        place[child] = (at - np.maximum.accumulate(np.where(starts, at, 0))) / count
+        around[child] = (np.bincount(above, weight[child], minlength=n)[above] - weight[child]) / np.maximum(1, count - 1)
+        before[child[1:]] = np.where(starts[1:], 0, weight[child[:-1]])
+        after[child[:-1]] = np.where(starts[1:], 0, weight[child[1:]])
+        _, same, times = np.unique(above * len(codes) + code[child], return_inverse=True, return_counts=True)
+        alike[child] = times[same] / count
     chars = np.maximum(total[:, 0], 1)
-    tag = [node.tag for node in dom.nodes]
-    return np.stack([
-        np.log1p(total[:, 0]), total[:, 1] / chars, 100 * total[:, 2] / chars, np.log1p(below), np.log1p(total[:, 0] / below),
+    whole = np.maximum(1.0, total[root, 0])
+    return np.column_stack([
+        weight, total[:, 1] / chars, 100 * total[:, 2] / chars, np.log1p(below), np.log1p(total[:, 0] / below),
         total[:, 4] / np.maximum(total[:, 3], 1), total[:, 5] / chars, total[:, 6] / chars, total[:, 7] / chars,
-        total[:, 0] / max(1.0, total[0, 0]), begin / max(1.0, total[0, 0]), np.log1p(inputs),
-        np.array([node.depth for node in dom.nodes], dtype=float), place, np.log1p(family), around, before, after, alike,
-        bad, good, talk, furniture, main, *up.T,
-        *(np.array([t in kinds for t in tag], dtype=float) for kinds in
-          (("p",), ("li", "ul", "ol"), ("div", "section"), ("h1", "h2", "h3", "h4", "h5", "h6"), ("#page", "html", "body"), ("blockquote", "pre", "td", "tr", "table", "tbody")))], axis=1)
+        total[:, 0] / whole, begin / whole, np.log1p(inputs),
+        depth, place, np.log1p(family), around, before, after, alike,
+        hits, kinds[:, :2], up, kinds[:, 2:]])
 
 
 # ---- training pages -----------------------------------------------------------------------
@@ -354,38 +404,34 @@ def template_page(r: random.Random) -> str:
 
 def training_rows(pages: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     r = random.Random(seed)
-    x, y = [], []
-    for _ in range(pages):
-        dom = parse(template_page(r))
-        features = node_features(dom, text_blocks(dom))
-        for i, node in enumerate(dom.nodes):
-            if node.marked is not None:
-                x.append(features[i])
-                y.append(float(node.marked == "1"))
-    return np.array(x), np.array(y)
+    read = [(dom, text_blocks(dom)) for dom in (parse(template_page(r)) for _ in range(pages))]
+    marks = [node.marked for dom, _ in read for node in dom.nodes]
+    known = np.array([m is not None for m in marks])
+    return node_features(read)[known], np.array([float(m == "1") for m in marks if m is not None])
 
 
 @dataclass
 class Trees:
-    """Boosted trees in arrays: feature -1 is a leaf with its value; log odds are twice the weighted sum."""
+    """Boosted trees of one depth as full binary trees, node i above 2 i + 1 and 2 i + 2: a row of arrays per tree.
+
+    A value at most the threshold goes left. Log odds are twice the weighted sum of the leaves.
+    """
 
-    feature: list[np.ndarray]
-    threshold: list[np.ndarray]
-    left: list[np.ndarray]
-    right: list[np.ndarray]
-    value: list[np.ndarray]
-    weight: list[float]
+    feature: np.ndarray    # trees x inner nodes
+    threshold: np.ndarray  # trees x inner nodes
+    value: np.ndarray      # trees x leaves
+    weight: np.ndarray     # trees
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for f, t, left, right, value, w in zip(self.feature, self.threshold, self.left, self.right, self.value, self.weight):
+        inner = self.feature.shape[1]
+        x = np.ascontiguousarray(x)
+        flat, row = x.ravel(), np.arange(len(x)) * x.shape[1]
+        for feature, threshold, value, weight in zip(self.feature, self.threshold, self.value, self.weight):
             at = np.zeros(len(x), dtype=np.int64)
-            while (f[at] >= 0).any():
-                inner = f[at] >= 0
-                go = np.where(x[rows, np.maximum(f[at], 0)] <= t[at], left[at], right[at])
-                at = np.where(inner, go, at)
-            out += w * value[at]
+            for _ in range(inner.bit_length()):
+                at = 2 * at + 1 + (flat[row + feature[at]] > threshold[at])
+            out += weight * value[at - inner]
         return 2 * out
 
 
@@ -396,22 +442,20 @@ def fit(spark: SparkSession, pages: int = FIT_PAGES, seed: int = 3, rounds: int
     x, y = training_rows(pages, seed)
     rows = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x, y)], ["label", "features"]).coalesce(2)
     model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=64).fit(rows)
-    out = Trees([], [], [], [], [], list(model.treeWeights))
-    for tree in model.trees:
-        table: list[list] = []
-
-        def walk(node) -> int:
-            k = len(table)
-            table.append([-1, 0.0, 0, 0, node.prediction()])
-            if node.subtreeDepth() > 0:
-                table[k][0], table[k][1] = node.split().featureIndex(), node.split().threshold()
-                table[k][2] = walk(node.leftChild())
-                table[k][3] = walk(node.rightChild())
-            return k
-        walk(tree._java_obj.rootNode())
-        for target, column, kind in zip((out.feature, out.threshold, out.left, out.right, out.value), zip(*table),
-                                        (np.int64, float, np.int64, np.int64, float)):
-            target.append(np.array(column, dtype=kind))
+    trees = len(model.trees)
+    inner = (1 << depth) - 1
+    out = Trees(np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf), np.zeros((trees, inner + 1)), np.array(model.treeWeights))
+    for k, tree in enumerate(model.trees):
+        def walk(node, at: int) -> None:
+            if at >= inner:
+                out.value[k, at - inner] = node.prediction()
+            elif node.subtreeDepth() > 0:
+                out.feature[k, at], out.threshold[k, at] = node.split().featureIndex(), node.split().threshold()
+                walk(node.leftChild(), 2 * at + 1)
+                walk(node.rightChild(), 2 * at + 2)
+            else:  # an early leaf: everything goes left from here
+                walk(node, 2 * at + 1)
+        walk(tree._java_obj.rootNode(), 0)
     return out
 
 
@@ -428,13 +472,36 @@ def decode(dom: Dom, odds: np.ndarray) -> np.ndarray:
     return keep
 
 
+#: Characters of markup whose pages are scored together.
+GROUP_CHARS = 1 << 21
+
+
+def main_texts(htmls: Iterable[str | None], trees: Trees) -> Iterator[str]:
+    """The main text of every page, in order; pages are scored in groups of bounded size."""
+    group: list[tuple[Dom, Texts]] = []
+    held = 0
+
+    def texts() -> Iterator[str]:
+        odds = trees.log_odds(node_features(group))
+        first = 0
+        for dom, blocks in group:
+            last = first + len(dom.nodes)
+            keep = decode(dom, odds[first:last])
+            yield "\n".join(t for i, t, _ in blocks if keep[i])
+            first = last
+    for html in htmls:
+        dom = parse(html)
+        group.append((dom, text_blocks(dom)))
+        held += len(html or "")
+        if held >= GROUP_CHARS:
+            yield from texts()
+            group, held = [], 0
+    if group:
+        yield from texts()
+
+
 def main_text(html: str | None, trees: Trees) -> str:
-    dom = parse(html)
-    texts = text_blocks(dom)
-    if not texts:
-        return ""
-    keep = decode(dom, trees.log_odds(node_features(dom, texts)))
-    return "\n".join(t for i, t, _ in texts if keep[i])
+    return next(main_texts([html], trees))
 
 
 def add_text(pages: DataFrame, trees: Trees, html: str = "html", result: str = "text") -> DataFrame:
@@ -445,7 +512,7 @@ def add_text(pages: DataFrame, trees: Trees, html: str = "html", result: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py(), shared.value) for h in batch.column(at)]
+            texts = list(main_texts((h.as_py() for h in batch.column(at)), shared.value))
             yield batch.set_column(out, batch.schema.field(out), pa.array(texts, pa.string()))
     return df.mapInArrow(run, df.schema)
 

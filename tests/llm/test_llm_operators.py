@@ -322,7 +322,7 @@ def test_page_text(spark):
     for _ in range(100):  # templates that the fit has not seen
         dom = page_text.parse(page_text.template_page(r))
         found = page_text.text_blocks(dom)
-        keep = page_text.decode(dom, trees.log_odds(page_text.node_features(dom, found)))
+        keep = page_text.decode(dom, trees.log_odds(page_text.node_features([(dom, found)])))
         assert all(keep[n.parent] for n, k in zip(dom.nodes, keep) if k and n.parent >= 0)
         for i, _, _ in found:
             if dom.nodes[i].marked is not None:
@@ -350,7 +350,7 @@ def test_left_out_end_tags_hide_nothing():
 def test_share_of_like_siblings_has_no_switch():
     for n in (198, 199, 200, 400):
         dom = page_text.parse("<div>" + "<p>a</p>" * n + "<aside>b</aside></div>")
-        alike = page_text.node_features(dom, page_text.text_blocks(dom))[:, 18]
+        alike = page_text.node_features([(dom, page_text.text_blocks(dom))])[:, 18]
         assert alike[-1] == 1 / (n + 1) and alike[2] == n / (n + 1)
 
 
