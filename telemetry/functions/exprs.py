@@ -74,6 +74,11 @@ def epoch_seconds(ts: str) -> Column:
     return F.expr(epoch_seconds_sql(ts))
 
 
+def epoch_micros(ts: str) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ: a number that grows along event time."""
+    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, {ts})")
+
+
 def seconds_to_ntz_sql(secs: str, dialect: str = "spark") -> str:
     """``to_timestamp(epoch_seconds)`` as a zone-free TIMESTAMP_NTZ."""
     if dialect == "spark":

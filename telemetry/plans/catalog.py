@@ -146,7 +146,7 @@ def q_drop_rate_cluster(spark, d):
     SELECT sequence_number FROM ev WHERE station_id = {MISSING_STATION}) m
 ORDER BY missing_sequence LIMIT 50"""))
 def q_missing_for_station(spark, d):
-    return A.missing_for_station(ev(spark, d), MISSING_STATION, 50)
+    return A.missing_for_station(S.readings_ev(spark, d, station=MISSING_STATION), MISSING_STATION, 50)
 
 
 _ALL_MISSING = """SELECT station_id, missing_sequence FROM (

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry.functions.exprs import epoch_seconds, epoch_seconds_sql, seconds_to_ntz
+from telemetry.functions.exprs import epoch_micros, epoch_seconds, epoch_seconds_sql, seconds_to_ntz
 from telemetry.operators.alerts import alerts_to_table, rain_alerts
 from telemetry.operators.dedupe import first_write_wins
-from telemetry.operators.keyed import keyed_row_number, time_bucket
+from telemetry.operators.scan import blocked_row_number
 from telemetry.schemas import KEY, READING_COLUMNS
 from telemetry.sources.tables import table
 
@@ -29,16 +29,16 @@ LI_ARRIVAL = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 # ----------------------------------------------------------------------------------------
 
 
-def readings_ev(spark: SparkSession, sf_dir: str, bucket_seconds: int = 60) -> DataFrame:
-    """Readings from ``events`` (station = user_id + 1).
+def readings_ev(spark: SparkSession, sf_dir: str, station: int | None = None) -> DataFrame:
+    """Readings from ``events`` (station = user_id + 1), or those of one ``station`` (a filter of the scan).
 
-    Sequence numbers are assigned per station in (ts, event_id) order, split into
-    ``bucket_seconds`` windows of time: a window group holds one station's readings of one
-    minute, bounded by the station's emission rate rather than by its share of the data.
+    Sequence numbers are assigned per station in (ts, event_id) order by a prefix scan over
+    blocks of time, so a hot station is numbered by many tasks.
     """
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value", "props")
-    numbered = keyed_row_number(ev, ["user_id"], ["ts", "event_id"],
-                                time_bucket("ts", bucket_seconds), out="sequence_number")
+    if station is not None:
+        ev = ev.where(F.col("user_id") == F.lit(station - 1))
+    numbered = blocked_row_number(ev, ["user_id"], ["ts", "event_id"], epoch_micros("ts"), out="sequence_number")
     kept = numbered.where(F.expr(f"(event_id div 10) % 10 != {EV_THIN_DIGIT}"))
     digit = F.col("event_id") % 10
     return kept.select(
