@@ -33,18 +33,24 @@ def coerce_number(text: Column, spark_type: str) -> Column:
     return whole.try_cast("decimal(38,6)").try_cast(spark_type)
 
 
-def _raw(field: str, start: str) -> Column:
-    """Whether the record writes ``field`` with a value that starts so (parsing as text drops the
-    difference between 70.9 and "70.9", and between an object and its text)."""
-    return F.col("value").rlike(rf'"{field}"\s*:\s*{start}')
+def _kind(path: str) -> Column:
+    """Type that the record itself gives a field ('STRING', 'DECIMAL(3,1)', 'OBJECT<...>', ...): parsing as
+    text drops the difference between 70.9 and "70.9", and between an object and its text. Read
+    from the record's structure, and only for the records that ask for it."""
+    return F.schema_of_variant(F.variant_get(F.try_parse_json("value"), "$." + path.removeprefix("_j."), "variant"))
 
 
-def _quoted_fraction(path: str, field: str) -> Column:
-    return F.col(path).contains(".") & _raw(field, '"')
+def _when(asked: Column, answer: Column) -> Column:
+    """``answer`` where ``asked`` holds, evaluated only there; else false."""
+    return F.coalesce(F.when(asked, answer), F.lit(False))
 
 
-def _container(path: str, field: str) -> Column:
-    return F.col(path).rlike(r"^[\[{]") & _raw(field, r"[\[{]")
+def _quoted_fraction(path: str) -> Column:
+    return _when(F.col(path).contains("."), _kind(path) == "STRING")
+
+
+def _container(path: str) -> Column:
+    return _when(F.col(path).rlike(r"^[\[{]"), _kind(path).rlike("^(OBJECT|ARRAY)"))
 
 
 def _parse_once(j: Column) -> Column:
@@ -116,9 +122,9 @@ def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
     }
     val = {k: coerce_number(F.col(p), t) for k, (p, t) in nums.items()}
     reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
-                    | _container("_j.battery_status", "battery_status"), F.lit(MALFORMED))
+                    | _container("_j.battery_status"), F.lit(MALFORMED))
     for k, (p, _) in nums.items():
-        reason = reason.when((F.col(p).isNotNull() & val[k].isNull()) | _quoted_fraction(p, k), F.lit(BAD_NUMBER + k))
+        reason = reason.when((F.col(p).isNotNull() & val[k].isNull()) | _quoted_fraction(p), F.lit(BAD_NUMBER + k))
 
     weather = F.when(F.col(w).isNull(), F.lit(None)).otherwise(F.struct(
         F.coalesce(val["humidity"], F.lit(0)).alias("humidity"),
@@ -138,19 +144,31 @@ def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
 def decode_alerts(records: DataFrame, source: str = ALERTS_TOPIC,
                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Alert topic records -> (alert messages, dead letters)."""
+    parsed, reason, good_cols = _decode_alert_columns(records, keep)
+    return _split(parsed, reason, good_cols, source, list(keep))
+
+
+def tag_alerts(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One pass over alert records: the message's columns, position, raw ``value`` and a ``reason``
+    that is NULL for an alert, else why it is a dead letter. NULL record values are dropped."""
+    parsed, reason, good_cols = _decode_alert_columns(records, keep)
+    return parsed.select(*good_cols, "value", *_extra(keep), reason.alias("reason")).where(F.col("value").isNotNull())
+
+
+def _decode_alert_columns(records: DataFrame, keep: tuple[str, ...]):
     j = F.from_json("value", ALERT_WIRE, _JSON_OPTS)
     parsed = records.select("value", *_position(records), *_extra(keep), _parse_once(j))
     nums = {"station_id": "bigint", "s_no": "bigint", "status_timestamp": "bigint",
             "humidity": "int", "alert_count": "bigint"}
     val = {k: coerce_number(F.col(f"_j.{k}"), t) for k, t in nums.items()}
     reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
-                    | _container("_j.message", "message"), F.lit(MALFORMED))
+                    | _container("_j.message"), F.lit(MALFORMED))
     for k in nums:
-        reason = reason.when((F.col(f"_j.{k}").isNotNull() & val[k].isNull()) | _quoted_fraction(f"_j.{k}", k),
+        reason = reason.when((F.col(f"_j.{k}").isNotNull() & val[k].isNull()) | _quoted_fraction(f"_j.{k}"),
                              F.lit(BAD_NUMBER + k))
     good_cols = [F.coalesce(val[k], F.lit(0).cast(t)).alias(k) for k, t in nums.items()]
     good_cols += [F.col("_j.message").alias("message"), "partition", "offset"]
-    return _split(parsed, reason, good_cols, source, list(keep))
+    return parsed, reason, good_cols
 
 
 def flatten_readings(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -19,6 +19,9 @@ def decode(spark, value):
     (FULL % "71", 71), (FULL % "70", 70), (FULL % '"7"', 7), (FULL % "70.9", 70),
     ((FULL % "71").replace('{"station_id"', '{"extra":true,"station_id"'), 71),
     (FULL % "71" + " trailing junk", 71),
+    # a field of the same name elsewhere in the record plays no part
+    ((FULL % "70.9")[:-1] + ',"extra":{"humidity":"x"}}', 70), ((FULL % "70.9")[:-1] + ',"humidity":"70.9"}', 70),
+    ('{"note":"\\"humidity\\":\\"1.5\\"",' + (FULL % "70.9")[1:], 70),
 ])
 def test_good_readings(spark, value, humidity):
     good, dead = decode(spark, value)
