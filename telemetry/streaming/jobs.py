@@ -16,27 +16,32 @@ Given a ``TopicSink``, both alert streams also send every alert as a topic recor
 
 Archives (``ArchiveReadings``, ``ArchiveAlerts``). First write wins per key inside the batch,
 then a per-station high-water mark (another ``StationMax``) separates certainly-new readings
-from the few that must be probed against the archive, in their buckets only.
+from the few that are looked up in the interval index of archived keys (``index``). The archive
+itself is only ever written; ``compact_archive`` rewrites it between runs.
 """
 
 from __future__ import annotations
 
-import logging
-from collections import deque
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telemetry.functions.codec import (alert_topic_records, archivable, dead_letters_of, decode_alerts,
-                                       decode_readings, flatten_readings, tag_readings)
+from telemetry.functions.codec import (alert_topic_records, archivable, dead_letters_of, decode_readings,
+                                       flatten_readings, tag_alerts, tag_readings)
 from telemetry.functions.exprs import RAIN_MESSAGE, RAIN_THRESHOLD
 from telemetry.operators.alerts import rain_alerts, stateless_alerts
 from telemetry.operators.dedupe import first_write_wins
 from telemetry.operators.keyed import sequence_bucket
-from telemetry.schemas import KEY, READINGS_TOPIC
+from telemetry.schemas import ALERTS_TOPIC, KEY, READINGS_TOPIC
 from telemetry.sources.archive import DatabaseTable
+from telemetry.streaming.folders import exists as _exists
+from telemetry.streaming.folders import read_batch as _batch
+from telemetry.streaming.folders import remove as _remove
+from telemetry.streaming.folders import write_batch as _write
+from telemetry.streaming.index import ArchivedKeys
+from telemetry.streaming.metrics import BatchCounters, Counted
 from telemetry.streaming.topics import TopicSink, read_topic
 
 ARRIVAL = ["partition", "offset"]
@@ -65,6 +70,10 @@ class StreamPaths:
     def dead(self) -> str:
         return f"{self.root}/dead_letters"
 
+    @property
+    def keys(self) -> str:
+        return f"{self.root}/archived_keys"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -79,49 +88,13 @@ ARCHIVE_BUCKETS = 64
 #: Consecutive sequence numbers of a station that share a bucket: a hot station's batch spreads
 #: over many buckets, a retry touches only the bucket of its block.
 SEQUENCE_BLOCK = 1 << 12
-#: Micro-batches whose counters the driver keeps.
-HISTORY = 1000
-
-log = logging.getLogger("telemetry.streaming")
-
-
-class BatchCounters:
-    """Per-micro-batch counters (records in, dead letters, rows written), counted on what the
-    batch cached or wrote; the last ``HISTORY`` batches are kept."""
-
-    def __init__(self):
-        self.history: deque[dict] = deque(maxlen=HISTORY)
-
-    def record(self, name: str, batch_id: int, **counts: int) -> dict:
-        row = {"query": name, "batch_id": batch_id, **counts}
-        self.history.append(row)
-        log.info("%s", row)
-        return row
 
 
 def _seed(spark: SparkSession, folder: str, schema: str, bucketed: bool = False) -> None:
-    """An empty partition so the table can be read before batch 0."""
-    path = f"{folder}/bucket=0/batch_id=-1" if bucketed else f"{folder}/batch_id=-1"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
-def _write(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Overwrite the batch's folder (a replayed batch replaces its own output only)."""
-    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-
-def _batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{folder}/batch_id={batch_id}")
-
-
-def _hadoop(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path, fs = _hadoop(spark, folder)
-    return fs.exists(path)
+    """An empty partition so the table can be read before batch 0; a folder that is there stays as it is."""
+    if not _exists(spark, folder):
+        path = f"{folder}/bucket=0/batch_id=-1" if bucketed else f"{folder}/batch_id=-1"
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
 def _bucket(buckets: int):
@@ -143,36 +116,53 @@ def _write_archive(df: DataFrame, folder: str, batch_id: int, buckets: int) -> N
      .partitionBy("bucket", "batch_id").parquet(folder))
 
 
-def _archive_for(spark: SparkSession, folder: str, batch_id: int, batch: DataFrame,
-                 buckets: int) -> DataFrame | None:
-    """Keys of earlier batches, read only from the buckets and the sequence range that
-    ``batch`` touches (None when no such bucket exists yet).
-
-    The collected list has at most ``buckets`` rows. Folders are named one by one, so the
-    archive is never listed as a whole, and the range reaches the Parquet scan.
-    """
-    touched = batch.groupBy(_bucket(buckets).alias("b")).agg(
-        F.min("sequence_number").alias("lo"), F.max("sequence_number").alias("hi")).collect()
-    folders = [f for f in (f"{folder}/bucket={r['b']}" for r in touched) if _exists(spark, f)]
-    if not folders:
-        return None
-    lo, hi = min(r["lo"] for r in touched), max(r["hi"] for r in touched)
-    archive = spark.read.option("basePath", folder).parquet(*folders)
-    return archive.where((F.col("batch_id") != F.lit(batch_id)) & F.col("sequence_number").between(lo, hi)).select(*KEY)
+def _stored_layout(spark: SparkSession, root: str) -> int | None:
+    folder = f"{root}/layout"
+    return spark.read.schema("buckets int").parquet(folder).first()["buckets"] if _exists(spark, f"{folder}/_SUCCESS") else None
 
 
 def _layout(spark: SparkSession, paths: StreamPaths, buckets: int) -> int:
     """Buckets of an archive: those it was created with, whatever a restart asks for."""
-    folder = f"{paths.root}/layout"
-    if not _exists(spark, f"{folder}/_SUCCESS"):
-        spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(folder)
-    return spark.read.schema("buckets int").parquet(folder).first()["buckets"]
+    stored = _stored_layout(spark, paths.root)
+    if stored is None:
+        spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(f"{paths.root}/layout")
+    return stored or buckets
+
+
+def _versions(folder: str) -> str:
+    return f"{folder}-versions"
 
 
-def compact_archive(spark: SparkSession, folder: str, target: str, buckets: int = ARCHIVE_BUCKETS) -> None:
-    """Rewrite an archive with one folder ``batch_id=-1`` per bucket into ``target`` (a new
-    folder), for use in place of ``folder`` while the stream is stopped."""
-    _write_archive(read_sink(spark, folder), target, -1, buckets)
+def current_sink(spark: SparkSession, folder: str) -> str:
+    """Where the archive named ``folder`` stands: the last finished compaction, or ``folder`` itself."""
+    n = 0
+    while _exists(spark, f"{_versions(folder)}/{n + 1}/finished/_SUCCESS"):
+        n += 1
+    return f"{_versions(folder)}/{n}/data" if n else folder
+
+
+def compact_archive(spark: SparkSession, folder: str, target: str | None = None, buckets: int | None = None) -> str:
+    """Rewrite an archive with one batch folder per bucket, while its stream is stopped.
+
+    Without ``target`` the new version takes the place of the old one: it is written beside it
+    and counts from the moment its marker is there, so a crash leaves the old one in force. The
+    version before the replaced one is removed. ``buckets`` defaults to those the archive was created with.
+    Returns the folder written.
+    """
+    now = current_sink(spark, folder)
+    versions = _versions(folder)
+    n = int(now.split("/")[-2]) + 1 if now != folder else 1
+    if buckets is None:
+        buckets = _stored_layout(spark, folder.rsplit("/", 1)[0]) or ARCHIVE_BUCKETS
+    data = target or f"{versions}/{n}/data"
+    rows = read_sink(spark, folder)
+    rows.limit(0).write.mode("overwrite").parquet(f"{data}/bucket=0/batch_id=-1")  # readable when empty
+    _write_archive(rows, data, -1, buckets)
+    if target is None:
+        spark.range(1).write.mode("overwrite").parquet(f"{versions}/{n}/finished")
+        if n > 1:
+            _remove(spark, folder if n == 2 else f"{versions}/{n - 2}/data")
+    return data
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -198,11 +188,14 @@ class StationMax:
 
     def __init__(self, folder: str, column: str, compact_every: int = 20):
         self.folder, self.column, self.compact_every = folder, column, compact_every
+        self._known: tuple[int, tuple[int, int]] | None = None  # marker of the batch written last
 
     def _marker(self, spark: SparkSession, batch_id: int) -> tuple[int, int]:
         """(newest snapshot, snapshot before it) as of the end of ``batch_id``."""
-        row = _batch(spark, self.folder, batch_id).where(F.col("snapshot").isNotNull()).first()
-        return row["snapshot"], row["previous"]
+        if self._known is None or self._known[0] != batch_id:
+            row = _batch(spark, self.folder, batch_id).where(F.col("snapshot").isNotNull()).first()
+            self._known = batch_id, (row["snapshot"], row["previous"])
+        return self._known[1]
 
     def _rows(self, spark: SparkSession, first: int, last: int) -> DataFrame:
         folders = [f"{self.folder}/batch_id={i}" for i in range(first, last + 1)]
@@ -230,9 +223,9 @@ class StationMax:
             .withColumns({"snapshot": F.lit(None).cast("int"), "previous": F.lit(None).cast("int")})
         mark = spark.createDataFrame([(None, None, *marker)], f"station_id long, {self.column} long, snapshot int, previous int")
         _write(rows.unionByName(mark), self.folder, batch_id)
+        self._known = batch_id, marker
         for i in old:  # not needed by any replay: this batch starts from ``snapshot``
-            path, fs = _hadoop(spark, f"{self.folder}/batch_id={i}")
-            fs.delete(path, True)
+            _remove(spark, f"{self.folder}/batch_id={i}")
 
 
 class CountedAlerts:
@@ -256,20 +249,21 @@ class CountedAlerts:
         if carry:
             records = records.withColumnRenamed("timestamp", "record_timestamp")
         tagged = tag_readings(records, keep=carry, contract=False).persist()
-        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
+        seen = Counted(tagged, dead=F.col("reason").isNotNull())
+        _write(dead_letters_of(seen.df), self.paths.dead, batch_id)
         readings = archivable(tagged)
         stations = readings.where(F.col("humidity") > self.threshold).select("station_id").distinct()
         base = self.base_counts(spark, batch_id, stations)
         alerts = rain_alerts(readings, self.threshold, order=ARRIVAL,
                              bucket=F.struct("partition", sequence_bucket("offset").alias("block")),
                              base_counts=base, carry=(*ARRIVAL, *carry))
-        _write(alerts, self.paths.sink, batch_id)
+        raised = Counted(alerts)
+        _write(raised.df, self.paths.sink, batch_id)
         written = _batch(spark, self.paths.sink, batch_id)
         self.counts.write(spark, batch_id, written)
         if self.topic:
             self.topic.write(alert_topic_records(written), batch_id)
-        self.counters.record("rain_alerts", batch_id, alerts=written.count(),
-                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
+        self.counters.record("rain_alerts", batch_id, alerts=raised["rows"], records=seen["rows"], dead_letters=seen["dead"])
         tagged.unpersist()
 
 
@@ -300,77 +294,82 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
 
 # ---- archives (first write wins) ---------------------------------------------------------------
 
-def _insert_new(spark: SparkSession, batch: DataFrame, paths: StreamPaths, batch_id: int,
-                high_water: StationMax, buckets: int) -> DataFrame:
+def _insert_new(spark: SparkSession, batch: DataFrame, batch_id: int, high_water: StationMax, keys: ArchivedKeys) -> DataFrame:
     """Rows of ``batch`` (first arrival per key already chosen) whose key is not archived.
 
     Sequence numbers grow per station, so a reading above its station's highest archived
     sequence number is new for certain. Only readings at or below it (producer retries,
-    replays, station restarts) are probed against the archive, and only in their buckets; a
-    batch without such readings never reads the archive. Exact either way.
+    replays, station restarts) are looked up, in the interval index of archived keys; the
+    archive itself is never read or listed. Exact either way.
     """
     stations = batch.select("station_id").distinct()
     marks = high_water.before(spark, batch_id, stations).withColumnRenamed("sequence_number", "_high")
     flagged = batch.join(marks, "station_id", "left")
-    maybe_seen = flagged.where(F.col("_high").isNotNull() & (F.col("sequence_number") <= F.col("_high")))
-    archive = _archive_for(spark, paths.sink, batch_id, maybe_seen, buckets)
-    if archive is None:
-        return batch
-    present = archive.join(maybe_seen.select(*KEY), KEY, "left_semi")
-    return batch.join(present, KEY, "left_anti")
-
-
-def _store(spark: SparkSession, first: DataFrame, stamp: str, paths: StreamPaths, batch_id: int,
-           high_water: StationMax, buckets: int) -> int:
-    """Insert if absent, stamped with the time of the batch; the number of rows written."""
-    first = first.persist()
-    new = _insert_new(spark, first, paths, batch_id, high_water, buckets) \
-        .withColumn(stamp, F.current_timestamp()).persist()
-    _write_archive(new, paths.sink, batch_id, buckets)
-    high_water.write(spark, batch_id, new)
-    written = new.count()
-    new.unpersist()
-    first.unpersist()
-    return written
-
-
-class ArchiveReadings:
+    maybe_seen = flagged.where(F.col("_high").isNotNull() & (F.col("sequence_number") <= F.col("_high"))).select(*KEY)
+    seen = keys.archived(spark, batch_id, maybe_seen)
+    return batch if seen is None else batch.join(seen, KEY, "left_anti")
+
+
+class _Archive:
     """``foreachBatch`` function: decode -> contract -> insert-if-absent into the archive."""
 
+    name: str
+    stamp: str
+    topic: str
+
     def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS):
         self.paths, self.buckets = paths, buckets
         self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
+        self.keys = ArchivedKeys(paths.keys)
         self.counters = BatchCounters()
+        self.sink: str | None = None
+
+    def tagged(self, records: DataFrame) -> DataFrame:
+        """The records with their columns and a ``reason`` not to archive them."""
+        raise NotImplementedError
+
+    def rows(self, tagged: DataFrame) -> DataFrame:
+        return archivable(tagged)
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        tagged = tag_readings(records).persist()
-        _write(dead_letters_of(tagged), self.paths.dead, batch_id)
-        first = first_write_wins(archivable(tagged), KEY, ARRIVAL)
-        written = _store(spark, first, "ingested_at", self.paths, batch_id, self.high_water, self.buckets)
-        self.counters.record("archive_readings", batch_id, written=written, records=tagged.count(),
-                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
-        tagged.unpersist()
+        if self.sink is None:
+            self.sink = current_sink(spark, self.paths.sink)
+            self.keys.create(spark, read_sink(spark, self.paths.sink), batch_id)
+        tagged = self.tagged(records).persist()
+        seen = Counted(tagged, dead=F.col("reason").isNotNull())
+        _write(dead_letters_of(seen.df, self.topic), self.paths.dead, batch_id)
+        first = first_write_wins(self.rows(tagged), KEY, ARRIVAL).persist()
+        new = _insert_new(spark, first, batch_id, self.high_water, self.keys) \
+            .withColumn(self.stamp, F.current_timestamp()).persist()
+        written = Counted(new)
+        _write_archive(written.df, self.sink, batch_id, self.buckets)
+        self.keys.write(spark, batch_id, new.select(*KEY))
+        self.high_water.write(spark, batch_id, new)
+        self.counters.record(self.name, batch_id, written=written["rows"], records=seen["rows"], dead_letters=seen["dead"])
+        for df in (new, first, tagged):
+            df.unpersist()
 
 
-class ArchiveAlerts:
-    """``foreachBatch`` function for the alert topic: keep the first alert per key."""
+class ArchiveReadings(_Archive):
+    """The readings archive."""
 
-    def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS):
-        self.paths, self.buckets = paths, buckets
-        self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
-        self.counters = BatchCounters()
+    name, stamp, topic = "archive_readings", "ingested_at", READINGS_TOPIC
+
+    def tagged(self, records: DataFrame) -> DataFrame:
+        return tag_readings(records)
 
-    def __call__(self, records: DataFrame, batch_id: int) -> None:
-        spark = records.sparkSession
-        records = records.persist()
-        good, dead = decode_alerts(records)
-        _write(dead, self.paths.dead, batch_id)
-        first = first_write_wins(_alert_rows(good), KEY, ARRIVAL)
-        written = _store(spark, first, "detected_at", self.paths, batch_id, self.high_water, self.buckets)
-        self.counters.record("archive_alerts", batch_id, written=written,
-                             dead_letters=_batch(spark, self.paths.dead, batch_id).count())
-        records.unpersist()
+
+class ArchiveAlerts(_Archive):
+    """The archive of the alert topic."""
+
+    name, stamp, topic = "archive_alerts", "detected_at", ALERTS_TOPIC
+
+    def tagged(self, records: DataFrame) -> DataFrame:
+        return tag_alerts(records)
+
+    def rows(self, tagged: DataFrame) -> DataFrame:
+        return _alert_rows(archivable(tagged))
 
 
 def _alert_rows(alerts: DataFrame) -> DataFrame:
@@ -379,16 +378,12 @@ def _alert_rows(alerts: DataFrame) -> DataFrame:
         "humidity", "alert_count", *ARRIVAL)
 
 
-def _to_database(database: DatabaseTable, paths: StreamPaths, alerts: bool):
+def _to_database(database: DatabaseTable, paths: StreamPaths, archive: _Archive):
     def run(records: DataFrame, batch_id: int) -> None:
-        if alerts:
-            good, dead = decode_alerts(records)
-            rows, stamp = _alert_rows(good), "detected_at"
-        else:
-            tagged = tag_readings(records)
-            rows, dead, stamp = archivable(tagged), dead_letters_of(tagged), "ingested_at"
-        _write(dead, paths.dead, batch_id)
-        database.insert(first_write_wins(rows, KEY, ARRIVAL).withColumn(stamp, F.current_timestamp()))
+        tagged = archive.tagged(records).persist()
+        _write(dead_letters_of(tagged, archive.topic), paths.dead, batch_id)
+        database.insert(first_write_wins(archive.rows(tagged), KEY, ARRIVAL).withColumn(archive.stamp, F.current_timestamp()))
+        tagged.unpersist()
     return run
 
 
@@ -419,15 +414,16 @@ def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool =
     if not available_now and interval is None:
         interval = ALERTS_TRIGGER if alerts else READINGS_TRIGGER
     spark = records.sparkSession
-    _seed(spark, paths.sink, ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
-    fn = _to_database(database, paths, alerts) if database else (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
+    _seed(spark, current_sink(spark, paths.sink), ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
+    archive = (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
+    fn = _to_database(database, paths, archive) if database else archive
     writer = records.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
     return _trigger(writer, available_now, interval).start()
 
 
 def read_sink(spark: SparkSession, folder: str) -> DataFrame:
-    """The archive/sink as a batch DataFrame (without the batch folder column)."""
-    df = spark.read.parquet(folder)
+    """The archive/sink as a batch DataFrame (without the batch folder column), as last compacted."""
+    df = spark.read.parquet(current_sink(spark, folder))
     return df.drop(*[c for c in ("batch_id", "bucket") if c in df.columns])
 
 

@@ -203,3 +203,108 @@ def test_failure_between_write_and_commit(spark, monkeypatch):
     J.start_archive_stream(source, paths).awaitTermination()
     keys = rows(J.read_sink(spark, paths.sink), "station_id", "sequence_number")
     assert len(keys) == len(set(keys)) == 80
+
+
+def _archived(spark, paths):
+    return rows(J.read_sink(spark, paths.sink).drop("ingested_at"))
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 64])
+def test_compaction_then_restart_and_retry(spark, buckets):
+    """Compact, restart with new readings and a retry of old ones: all readings once, twice over."""
+    recs = records_from_readings(_readings(spark), faults=False)
+    paths = J.StreamPaths(scratch_path(spark, f"test-compact-restart-{buckets}"))
+    topic, seen = f"{paths.root}/topic", []
+    for upto in (15, 30, 40):
+        write_topic_in_slices(recs.where(F.col("sequence_number").between(upto - 20, upto)), topic, 1)  # overlaps what was sent
+        J.start_archive_stream(read_topic(spark, "parquet", topic), paths, buckets=buckets).awaitTermination()
+        before = _archived(spark, paths)
+        assert [(r[0], r[1]) for r in before] == [(s, q) for s in (1, 2) for q in range(1, upto + 1)]
+        folder = J.compact_archive(spark, paths.sink)
+        seen.append(folder)
+        assert _archived(spark, paths) == before and J.current_sink(spark, paths.sink) == folder
+        assert spark.read.parquet(folder).where("batch_id >= 0").isEmpty()
+    assert len(set(seen)) == 3 and not J._exists(spark, paths.sink) and J._exists(spark, seen[1])
+
+
+def test_unfinished_compaction_counts_for_nothing(spark, monkeypatch):
+    recs = records_from_readings(_readings(spark), faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-compact-crash"))
+    write_topic_in_slices(recs, f"{paths.root}/topic", 1)
+    J.start_archive_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths).awaitTermination()
+    before = _archived(spark, paths)
+
+    def die(*a):
+        raise RuntimeError("while compacting")
+    with monkeypatch.context() as m:
+        m.setattr(J, "_write_archive", die)
+        with pytest.raises(RuntimeError):
+            J.compact_archive(spark, paths.sink)
+    assert _archived(spark, paths) == before and J.current_sink(spark, paths.sink) == paths.sink
+    J.compact_archive(spark, paths.sink)
+    assert _archived(spark, paths) == before
+
+
+def test_empty_archive_compacts(spark):
+    paths = J.StreamPaths(scratch_path(spark, "test-compact-empty"))
+    J._seed(spark, paths.sink, J.READINGS_ARCHIVE_SCHEMA, bucketed=True)
+    J.compact_archive(spark, paths.sink)
+    assert J.read_sink(spark, paths.sink).count() == 0
+
+
+def test_retry_batch_reads_the_index_only(spark, monkeypatch):
+    """The archive's files are gone, yet every retry is told from new readings."""
+    recs = records_from_readings(_readings(spark), faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-index-only"))
+    J._seed(spark, paths.sink, J.READINGS_ARCHIVE_SCHEMA, bucketed=True)
+    fn = J.ArchiveReadings(paths)
+    fn(recs.where("sequence_number <= 20"), 0)
+    fn(recs.where("sequence_number between 26 and 30"), 1)
+    before = J.read_sink(spark, paths.sink).count()
+    J._remove(spark, paths.sink)
+    restarted = J.ArchiveReadings(paths)
+    restarted.sink = paths.sink  # as a running stream: the index is there
+    restarted(recs, 2)  # 21 to 25 and 31 to 40 are new; 21 to 25 lie below the high-water mark
+    assert before == 50 and restarted.counters.history[-1]["written"] == 30
+    keys = rows(J.read_sink(spark, paths.sink), "sequence_number", "station_id")
+    assert keys == [(q, s) for q in [*range(21, 26), *range(31, 41)] for s in (1, 2)]
+
+
+def test_index_of_an_older_archive(spark):
+    """An archive without an index gets one from its rows when its stream starts."""
+    readings = _readings(spark)
+    recs = records_from_readings(readings, faults=False)
+    paths = J.StreamPaths(scratch_path(spark, "test-index-base"))
+    write_topic_in_slices(recs.where("sequence_number <= 20"), f"{paths.root}/topic", 1)
+    J.start_archive_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths).awaitTermination()
+    J._remove(spark, paths.keys)
+    write_topic_in_slices(recs, f"{paths.root}/topic", 1)
+    J.start_archive_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths).awaitTermination()
+    assert len(_archived(spark, paths)) == 80
+
+
+def test_progress_log_agrees_with_the_counters(spark):
+    from telemetry.streaming.metrics import watch
+    recs = records_from_readings(_readings(spark), faults=True)
+    paths = J.StreamPaths(scratch_path(spark, "test-progress"))
+    write_topic_in_slices(recs, f"{paths.root}/topic", 2)
+    src = read_topic(spark, "parquet", f"{paths.root}/topic", max_per_trigger=2).observe(
+        "wire", F.count(F.lit(1)).alias("records"), F.count("value").alias("known"))
+    log = watch(spark)
+    try:
+        archive = J.ArchiveReadings(paths, buckets=4)
+        J._seed(spark, paths.sink, J.READINGS_ARCHIVE_SCHEMA, bucketed=True)
+        q = src.writeStream.foreachBatch(archive).option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        q.stop()
+        import time
+        for _ in range(100):  # progress arrives after the query's end
+            if str(q.runId) in log.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    batches = [p for p in log.of(q.runId) if p["rows"]]
+    assert [p["batch_id"] for p in batches] == [c["batch_id"] for c in archive.counters.history]
+    assert [int(p["observed"]["wire"]["known"]) for p in batches] == [c["records"] for c in archive.counters.history]
+    assert sum(int(p["observed"]["wire"]["records"]) for p in batches) == sum(p["rows"] for p in batches) == 80
