@@ -96,7 +96,7 @@ WITH page AS (SELECT page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A
         lambda x: trim(regexp_replace(x, '[ \t\r\f\x0B]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM pages),
 total AS (SELECT host, count(*) AS pages FROM page WHERE host IS NOT NULL GROUP BY host),
 often AS (SELECT host, line FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM page WHERE host IS NOT NULL)
-          JOIN total USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages),
+          JOIN total USING (host) GROUP BY host, line, pages HAVING count(*) >= 2 AND count(*) > 0.1 * pages),
 boiler AS (SELECT host, list(line) AS b FROM often GROUP BY host),
 kept AS (SELECT page_id, url, page.host, lines, CASE WHEN b IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(b, x)) END AS k
          FROM page LEFT JOIN boiler ON page.host = boiler.host)

@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 Pages are grouped by host; a line that stands on more than ``ratio`` of the pages of its
-host (and on ``min_pages`` of them at least) is boilerplate of that site and is dropped
-from all its pages.
+host, and on two of them at least, is boilerplate of that site and is dropped from all its
+pages (``min_pages`` asks for more pages).
 
 Edge cases: the host is the lower-case name in the URL, without user and port. A page
 whose URL is null or has no host forms no site and keeps all lines. A null text has no
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from telemetry.llm.frames import attach, fresh, materialise
 
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def host_of(url: Column) -> Column:

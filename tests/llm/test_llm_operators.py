@@ -256,6 +256,7 @@ def test_large_rate(spark):
 def test_site_lines(spark):
     rows = [(i, f"http://User@A.example:80/{i}", f"<p>Menu</p><p>own {i}</p><p>seldom {i % 9}</p>") for i in range(30)]
     rows += [(100 + i, "https://b.example/x", f"<p>Menu</p><script>own</script><b>{i}</b>") for i in range(4)]
+    rows += [(300, "https://c.example/x", "<p>Menu</p><p>Menu</p>")]  # one page is no site
     rows += [(200, None, "<p>Menu</p>"), (201, "no url", None), (None, "http://a.example", ""), (3, "http://a.example/3", "<p>Menu</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS pages", "'y' AS line", "'z' AS n")
     from pyspark.sql import functions as F
@@ -263,7 +264,8 @@ def test_site_lines(spark):
            site_lines.drop_site_lines(pages, site_lines.html_lines(F.col("html"))).collect()}
     assert len(got) == len(rows)
     assert got[(7, "http://User@A.example:80/7")] == ("a.example", 3, 2, "own 7") or got[(7, "http://User@A.example:80/7")][3] == "own 7\nseldom 7"
-    assert got[(100, "https://b.example/x")][3] == "Menu\n0"  # too few pages for a verdict
+    assert got[(100, "https://b.example/x")] == ("b.example", 2, 1, "0")  # four pages are enough for a verdict
+    assert got[(300, "https://c.example/x")] == ("c.example", 2, 0, "Menu\nMenu")
     assert got[(200, None)] == (None, 1, 0, "Menu") and got[(201, "no url")][3] == ""
     assert got[(3, "http://a.example/3")][3] == "" and got[(None, "http://a.example")][3] == ""
 
