@@ -6,14 +6,16 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetry.session import scratch_path
 from telemetry.sources.tables import table
 
-#: Rows of a lookup side that may be broadcast; above it the join is a shuffle.
+#: Rows and bytes of a lookup side that may be broadcast; above either the join is a shuffle.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
-__all__ = ["BROADCAST_ROWS", "attach", "materialise", "semi", "table", "fresh"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "attach", "fits", "materialise", "semi", "small", "table", "fresh"]
 
 
 def fresh(prefix: str) -> str:
@@ -33,23 +35,42 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def _value_bytes(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+        size = 8 * F.size(column)
+    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        size = 8 * F.octet_length(F.to_json(F.struct(column)))  # no value takes more than eight times its text
+    else:
+        return F.lit(8)
+    return 8 + F.coalesce(size, F.lit(0))
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether one aggregate over ``df`` shows at most ``rows`` rows of at most ``size`` bytes together."""
+    each = sum((_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(each.cast("long")).alias("size")).first()
+    return found["rows"] <= rows and (found["size"] or 0) <= size
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, hinted for broadcast only if a count shows it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """``df``, hinted for broadcast only if it is counted and measured small."""
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def attach(df: DataFrame, stats: DataFrame, on: str, salts: int = 32,
            rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join a table with one row per key to rows whose keys may be very uneven.
 
-    A ``stats`` side of at most ``rows`` rows is broadcast. A larger one is joined by
+    A ``stats`` side of at most ``rows`` rows and ``BROADCAST_BYTES`` is broadcast. A larger one is joined by
     (key, salt): the rows of a hot key are dealt over ``salts`` tasks and ``stats`` is
     repeated that often. Null keys match a null key of ``stats``.
     """
     key = fresh("key")
     others = [c for c in stats.columns if c != on]
     right = stats.select(F.col(on).alias(key), *others)
-    if stats.count() <= rows:
+    if fits(stats, rows):
         return df.join(F.broadcast(right), df[on].eqNullSafe(right[key]), "left").drop(key)
     salt = fresh("salt")
     left = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
@@ -59,7 +80,7 @@ def attach(df: DataFrame, stats: DataFrame, on: str, salts: int = 32,
 
 
 def semi(df: DataFrame, ids: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is in ``ids`` (nulls match nulls); broadcast if counted small."""
+    """Rows of ``df`` whose ``column`` is in ``ids`` (nulls match nulls); broadcast if measured small."""
     key = fresh("id")
     right = small(ids.select(F.col(column).alias(key)).distinct(), rows)
     return df.join(right, df[column].eqNullSafe(right[key]), "left_semi")
