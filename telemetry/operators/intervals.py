@@ -20,11 +20,16 @@ def block_of(sequence: str = "sequence_number") -> Column:
     return F.floor(F.col(sequence) / F.lit(BLOCK)).cast("long")
 
 
-def from_keys(keys: DataFrame) -> DataFrame:
-    """Intervals of rows (station_id, sequence_number); repeated keys do no harm, NULL ones are left out."""
+def as_intervals(keys: DataFrame) -> DataFrame:
+    """Rows (station_id, sequence_number) as intervals of one number each; NULL ones are left out."""
     known = keys.where("station_id is not null and sequence_number is not null")
     points = known.select("station_id", block_of().alias("block"), F.col("sequence_number").cast("long").alias("lo"))
-    return merged(points.withColumn("hi", F.col("lo")))
+    return points.withColumn("hi", F.col("lo"))
+
+
+def from_keys(keys: DataFrame) -> DataFrame:
+    """Intervals of rows (station_id, sequence_number); repeated keys do no harm."""
+    return merged(as_intervals(keys))
 
 
 def merged(intervals: DataFrame) -> DataFrame:

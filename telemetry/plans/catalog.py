@@ -22,7 +22,9 @@ from telemetry.sources import adapters as S
 from telemetry.sources import wire as W
 from telemetry.sources.tables import table
 from telemetry.streaming import jobs as J
-from telemetry.streaming.topics import TopicSink, read_topic, write_topic_in_slices
+from telemetry.streaming import live as L
+from telemetry.streaming.topics import TopicSink, read_topic, write_topic_batch, write_topic_in_slices
+from telemetry.streaming.views import ArchiveViews
 
 EV_AS_OF = "2024-01-28 00:00:00"
 LI_AS_OF = "1999-01-01 00:00:00"
@@ -564,3 +566,71 @@ def q_stream_pipeline(spark, d):
     return (A.rain_validation(readings, alerts).join(sent, "station_id", "left").join(check, "station_id", "left")
             .select("station_id", "readings_above_70", "alerts_stored",
                     *[F.coalesce(c, F.lit(0)).alias(c) for c in ("alerts_sent", "missing_alerts")]))
+
+
+# ---- live reports -------------------------------------------------------------------------------
+
+@register("live_minutes", O.with_ctes(["wire_ev"], f"""SELECT time_bucket(INTERVAL '1 minute', make_timestamp("timestamp" * 1000000)) AS minute,
+       COUNT(*) AS readings
+FROM ({_FLAT}) x GROUP BY 1"""))
+def q_live_minutes(spark, d):
+    """Event-time windows over the readings topic, appended as the watermark passes each minute."""
+    paths = J.StreamPaths(scratch_path(spark, "live-minutes"))
+    readings, topic = S.readings_ev(spark, d), f"{paths.root}/topic"
+    write_topic_in_slices(W.records_from_readings(readings), topic, STREAM_SLICES)
+    write_topic_batch(L.closing_reading(readings), "parquet", topic)
+    L.start_minute_counts(read_topic(spark, "parquet", topic, max_per_trigger=W.TOPIC_PARTITIONS), paths).awaitTermination()
+    return J.read_sink(spark, paths.sink).select(X.seconds_to_ntz("unix_seconds(minute)").alias("minute"), "readings")
+
+
+@register("live_drop_rate", O.with_ctes(["wire_ev"], f"""SELECT station_id, expected_messages, received_messages,
+       expected_messages - received_messages AS dropped_messages,
+       {O.pct("expected_messages - received_messages", "expected_messages")} AS drop_rate_pct
+FROM (SELECT station_id, MAX(sequence_number) AS expected_messages, COUNT(*) AS received_messages
+      FROM ({_FLAT}) x GROUP BY station_id) s"""))
+def q_live_drop_rate(spark, d):
+    """Drop rates as an update-mode aggregate of the readings topic, upserted by station."""
+    paths = J.StreamPaths(scratch_path(spark, "live-drop-rate"))
+    write_topic_in_slices(W.wire_ev(spark, d), f"{paths.root}/topic", STREAM_SLICES)
+    L.start_drop_rate(read_topic(spark, "parquet", f"{paths.root}/topic", max_per_trigger=W.TOPIC_PARTITIONS), paths).awaitTermination()
+    return L.DropRates(paths.sink).report(spark)
+
+
+@register("live_rain_check", O.with_ctes(["ev", "alerts_ev"], """SELECT station_id, COUNT(*) AS qualifying_readings,
+       COUNT(*) FILTER (WHERE stored) AS matching_alerts, COUNT(*) FILTER (WHERE NOT stored) AS missing_alerts
+FROM (SELECT r.station_id, EXISTS (SELECT 1 FROM alerts_ev a WHERE a.station_id = r.station_id
+                                   AND a.sequence_number = r.sequence_number) AS stored
+      FROM ev r WHERE r.humidity > 70) x
+GROUP BY station_id"""))
+def q_live_rain_check(spark, d):
+    """Readings topic left-joined to the alert topic in event time; the alerts of some readings never come."""
+    paths = J.StreamPaths(scratch_path(spark, "live-rain-check"))
+    topic, alert_topic = f"{paths.root}/topic", f"{paths.root}/alert-topic"
+    readings = S.readings_ev(spark, d)
+    alerts = AL.rain_alerts(readings).where(F.col("s_no") % S.EV_MISSING_ALERT_EVERY != 0)
+    write_topic_in_slices(W.records_from_readings(readings, faults=False), topic, STREAM_SLICES)
+    write_topic_in_slices(W.alert_records(alerts), alert_topic, STREAM_SLICES)
+    write_topic_batch(L.closing_reading(readings), "parquet", topic)
+    write_topic_batch(L.closing_alert(readings), "parquet", alert_topic)
+    source, raised = (read_topic(spark, "parquet", t, max_per_trigger=W.TOPIC_PARTITIONS) for t in (topic, alert_topic))
+    L.start_rain_check(source, raised, paths).awaitTermination()
+    return L.rain_check_report(J.read_sink(spark, paths.sink))
+
+
+@register("archive_views", O.with_ctes(["wire_ev"], f"""SELECT s.station_id, samples, expected_messages, newest.battery_status,
+       newest."timestamp" AS last_timestamp, avg_humidity, max_temp_f
+FROM (SELECT station_id, COUNT(*) AS samples, MAX(sequence_number) AS expected_messages,
+             {O.rnd("SUM(humidity)", "COUNT(humidity)", 1)} AS avg_humidity, MAX(temperature) AS max_temp_f
+      FROM ({_FLAT}) x GROUP BY station_id) s
+JOIN ({_FLAT}) newest ON newest.station_id = s.station_id AND newest.sequence_number = s.expected_messages"""))
+def q_archive_views(spark, d):
+    """Reports kept up to date by the archive stream itself, batch by batch, over a topic with retries."""
+    paths = J.StreamPaths(scratch_path(spark, "archive-views"))
+    records = W.with_resends(W.records_from_readings(S.readings_ev(spark, d), ids=True))
+    write_topic_in_slices(records, f"{paths.root}/topic", STREAM_SLICES, order="send_at")
+    source = read_topic(spark, "parquet", f"{paths.root}/topic", max_per_trigger=W.TOPIC_PARTITIONS)
+    J.start_archive_stream(source, paths, views=True).awaitTermination()
+    views = ArchiveViews(paths.views)
+    newest = views.latest_status(spark).select("station_id", "battery_status", F.col("timestamp").alias("last_timestamp"))
+    return views.weather_stats(spark).select("station_id", "samples", "avg_humidity", "max_temp_f") \
+        .join(views.drop_rate(spark).select("station_id", "expected_messages"), "station_id").join(newest, "station_id")

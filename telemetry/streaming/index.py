@@ -1,68 +1,27 @@
-"""Interval index of the keys of an archive, carried across micro-batches.
-
-Folder n (counted from 1) holds the archived sequence numbers of the batches n - b + 1 to n as
-intervals (``operators.intervals``), b being the lowest set bit of n: 1 batch, 2, 1, 4, 1, 2, 1,
-8, ... The folders that hold all batches up to n are found from n alone, log2(n) of them at
-most, and each key is rewritten log2(n) times, so neither lookup nor upkeep grows with the
-batches that passed, and no folder is ever listed. ``base`` holds what the archive held before
-the first batch that was indexed, whose number ``start`` holds.
-
-A replayed batch reads only folders of batches before it and overwrites its own. Folders whose
-content a later one took over are removed once that later batch is committed, that is when
-the next batch runs.
-"""
+"""Interval index of the keys of an archive, carried across micro-batches (``merged``)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry.operators.intervals import INTERVALS, contained, from_keys, merged
-from telemetry.streaming.folders import exists, remove
+from telemetry.operators.intervals import INTERVALS, as_intervals, contained, merged
+from telemetry.streaming.merged import MergedTable
 
 
-def _low_bit(n: int) -> int:
-    return n & -n
-
-
-class ArchivedKeys:
-    """The keys archived by the batches so far."""
+class ArchivedKeys(MergedTable):
+    """The keys archived by the batches so far, as intervals of sequence numbers."""
 
     def __init__(self, folder: str):
-        self.folder = folder
-        self._start: int | None = None
-
-    def create(self, spark: SparkSession, archive: DataFrame, batch_id: int = 0) -> None:
-        """Index what the archive holds before ``batch_id``; does nothing if the index is there."""
-        if not exists(spark, f"{self.folder}/start/_SUCCESS"):
-            self._write(from_keys(archive), "base")
-            spark.range(batch_id, batch_id + 1).write.mode("overwrite").parquet(f"{self.folder}/start")
+        super().__init__(folder, INTERVALS, merged, ("station_id", "lo"))
 
-    def start(self, spark: SparkSession) -> int:
-        """The first batch that was indexed."""
-        if self._start is None:
-            self._start = spark.read.schema("id long").parquet(f"{self.folder}/start").first()["id"]
-        return self._start
+    def create(self, spark: SparkSession, rows: DataFrame | None = None, batch_id: int = 0) -> None:
+        """Index the keys of ``rows``, what the archive holds before ``batch_id``; does nothing if the index is there."""
+        super().create(spark, None if rows is None else as_intervals(rows), batch_id)
 
-    def _write(self, intervals: DataFrame, name: str) -> None:
-        # sorted, so that the statistics of the files leave out stations and numbers not asked for
-        intervals.sortWithinPartitions("station_id", "lo").write.mode("overwrite").parquet(f"{self.folder}/{name}")
-
-    def _read(self, spark: SparkSession, names: list[str]) -> DataFrame:
-        return spark.read.schema(INTERVALS).parquet(*[f"{self.folder}/{name}" for name in names])
-
-    @staticmethod
-    def parts(n: int, after: int = 0) -> Iterator[int]:
-        """Folders that together hold the batches ``after`` + 1 to n."""
-        while n > after:
-            yield n
-            n -= _low_bit(n)
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Intervals of all batches before ``batch_id`` (batches count from 0)."""
-        return self._read(spark, ["base", *(f"upto={n}" for n in self.parts(batch_id) if n > self.start(spark))])
+    def write(self, spark: SparkSession, batch_id: int, rows: DataFrame) -> None:
+        """Add the keys that this batch archived."""
+        super().write(spark, batch_id, as_intervals(rows))
 
     def archived(self, spark: SparkSession, batch_id: int, keys: DataFrame) -> DataFrame | None:
         """The keys of ``keys`` that earlier batches archived; None if ``keys`` is empty.
@@ -77,14 +36,3 @@ class ArchivedKeys:
             F.col("station_id").between(bounds["lo_station_id"], bounds["hi_station_id"])
             & (F.col("hi") >= bounds["lo_sequence_number"]) & (F.col("lo") <= bounds["hi_sequence_number"]))
         return contained(keys, near)
-
-    def write(self, spark: SparkSession, batch_id: int, new_keys: DataFrame) -> None:
-        """Add the keys that this batch archived."""
-        n = batch_id + 1
-        taken = [i for i in self.parts(n - 1, n - _low_bit(n)) if i > self.start(spark)]
-        intervals = from_keys(new_keys)
-        if taken:
-            intervals = merged(intervals.unionByName(self._read(spark, [f"upto={i}" for i in taken])))
-        self._write(intervals, f"upto={n}")
-        for i in self.parts(n - 2, n - 1 - _low_bit(n - 1)) if n > 1 else ():
-            remove(spark, f"{self.folder}/upto={i}")

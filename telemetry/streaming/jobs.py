@@ -43,6 +43,7 @@ from telemetry.streaming.folders import write_batch as _write
 from telemetry.streaming.index import ArchivedKeys
 from telemetry.streaming.metrics import BatchCounters, Counted
 from telemetry.streaming.topics import TopicSink, read_topic
+from telemetry.streaming.views import ArchiveViews
 
 ARRIVAL = ["partition", "offset"]
 
@@ -70,6 +71,10 @@ class StreamPaths:
     def dead(self) -> str:
         return f"{self.root}/dead_letters"
 
+    @property
+    def views(self) -> str:
+        return f"{self.root}/views"
+
     @property
     def keys(self) -> str:
         return f"{self.root}/archived_keys"
@@ -165,7 +170,7 @@ def compact_archive(spark: SparkSession, folder: str, target: str | None = None,
     return data
 
 
-def _trigger(writer, available_now: bool, interval: str | None):
+def trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=interval) if interval else writer
@@ -272,7 +277,7 @@ def start_alert_stream(records: DataFrame, paths: StreamPaths, threshold: int =
                        compact_every: int = 20, topic: TopicSink | None = None) -> StreamingQuery:
     writer = records.writeStream.foreachBatch(CountedAlerts(paths, threshold, compact_every, topic)) \
         .option("checkpointLocation", paths.checkpoint)
-    return _trigger(writer, available_now, interval).start()
+    return trigger(writer, available_now, interval).start()
 
 
 def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, threshold: int = RAIN_THRESHOLD,
@@ -285,11 +290,11 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
         alerts = stateless_alerts(flatten_readings(good, keep=("key", *ARRIVAL)), threshold, carry=["key", *ARRIVAL])
         writer = alerts.writeStream.option("checkpointLocation", paths.checkpoint) \
             .foreachBatch(lambda batch, batch_id: topic.write(alert_topic_records(batch), batch_id))
-        return _trigger(writer, available_now, None).start()
+        return trigger(writer, available_now, None).start()
     alerts = stateless_alerts(flatten_readings(good, keep=("key",)), threshold, carry=["key"])
     writer = (alerts.writeStream.format("parquet").option("path", paths.sink)
               .option("checkpointLocation", paths.checkpoint).outputMode("append"))
-    return _trigger(writer, available_now, None).start()
+    return trigger(writer, available_now, None).start()
 
 
 # ---- archives (first write wins) ---------------------------------------------------------------
@@ -317,10 +322,11 @@ class _Archive:
     stamp: str
     topic: str
 
-    def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS):
+    def __init__(self, paths: StreamPaths, compact_every: int = 20, buckets: int = ARCHIVE_BUCKETS, views: bool = False):
         self.paths, self.buckets = paths, buckets
         self.high_water = StationMax(paths.high_water, "sequence_number", compact_every)
         self.keys = ArchivedKeys(paths.keys)
+        self.views = ArchiveViews(paths.views) if views else None
         self.counters = BatchCounters()
         self.sink: str | None = None
 
@@ -335,7 +341,8 @@ class _Archive:
         spark = records.sparkSession
         if self.sink is None:
             self.sink = current_sink(spark, self.paths.sink)
-            self.keys.create(spark, read_sink(spark, self.paths.sink), batch_id)
+            for held in filter(None, (self.keys, self.views)):
+                held.create(spark, read_sink(spark, self.paths.sink), batch_id)
         tagged = self.tagged(records).persist()
         seen = Counted(tagged, dead=F.col("reason").isNotNull())
         _write(dead_letters_of(seen.df, self.topic), self.paths.dead, batch_id)
@@ -346,6 +353,8 @@ class _Archive:
         _write_archive(written.df, self.sink, batch_id, self.buckets)
         self.keys.write(spark, batch_id, new.select(*KEY))
         self.high_water.write(spark, batch_id, new)
+        if self.views:
+            self.views.write(spark, batch_id, new)
         self.counters.record(self.name, batch_id, written=written["rows"], records=seen["rows"], dead_letters=seen["dead"])
         for df in (new, first, tagged):
             df.unpersist()
@@ -402,8 +411,9 @@ ALERTS_ARCHIVE_SCHEMA = ("station_id long, sequence_number long, timestamp long,
 
 def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool = False,
                          available_now: bool = True, interval: str | None = None,
-                         buckets: int = ARCHIVE_BUCKETS, database: DatabaseTable | None = None) -> StreamingQuery:
+                         buckets: int = ARCHIVE_BUCKETS, database: DatabaseTable | None = None, views: bool = False) -> StreamingQuery:
     """Archive readings (or alerts with ``alerts=True``); ``buckets`` counts when the archive is new.
+    ``views`` keeps the reports over a readings archive up to date (``ArchiveViews(paths.views)``).
     With ``database`` the rows go to that table instead of the Parquet sink.
 
     ``available_now`` drains the input and stops (tests, backfills). Otherwise the trigger is
@@ -411,14 +421,16 @@ def start_archive_stream(records: DataFrame, paths: StreamPaths, alerts: bool =
     ``READINGS_TRIGGER`` (cap the source at ``READINGS_MAX_PER_TRIGGER`` per trigger with
     ``read_topic(..., max_per_trigger=...)``), alerts as soon as anything arrives.
     """
+    if views and (alerts or database):
+        raise ValueError("views are kept over a readings archive")
     if not available_now and interval is None:
         interval = ALERTS_TRIGGER if alerts else READINGS_TRIGGER
     spark = records.sparkSession
     _seed(spark, current_sink(spark, paths.sink), ALERTS_ARCHIVE_SCHEMA if alerts else READINGS_ARCHIVE_SCHEMA, bucketed=True)
-    archive = (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets))
+    archive = (ArchiveAlerts if alerts else ArchiveReadings)(paths, buckets=_layout(spark, paths, buckets), views=views)
     fn = _to_database(database, paths, archive) if database else archive
     writer = records.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
-    return _trigger(writer, available_now, interval).start()
+    return trigger(writer, available_now, interval).start()
 
 
 def read_sink(spark: SparkSession, folder: str) -> DataFrame:
@@ -479,4 +491,4 @@ def start_alert_stream_keyed_state(records: DataFrame, paths: StreamPaths, thres
         _station_numbering(RAIN_MESSAGE), ALERT_OUTPUT_SCHEMA, "alert_count long", "append", GroupStateTimeout.NoTimeout)
     writer = (alerts.writeStream.format("parquet").option("path", paths.sink)
               .option("checkpointLocation", paths.checkpoint).outputMode("append"))
-    return _trigger(writer, available_now, interval).start()
+    return trigger(writer, available_now, interval).start()

@@ -62,6 +62,7 @@ class ProgressLog(StreamingQueryListener):
         p = json.loads(event.progress.json)
         self.progress.append({"name": p.get("name"), "run": p["runId"], "batch_id": p["batchId"], "rows": p["numInputRows"],
                               "milliseconds": p.get("durationMs", {}).get("triggerExecution"),
+                              "late": sum(o.get("numRowsDroppedByWatermark", 0) for o in p.get("stateOperators") or []),
                               "observed": {k: dict(v) for k, v in (p.get("observedMetrics") or {}).items()}})
 
     def onQueryIdle(self, event) -> None:
