@@ -252,9 +252,9 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
 
 def alert_topic_records(alerts: DataFrame) -> DataFrame:
     """Alert messages with their ``partition`` and ``offset`` -> topic records. The key is an input
-    ``key`` column if there is one, else the payload's station id; the record time is the
-    input record's (``record_timestamp``) if it was carried."""
+    ``key`` column if there is one, else the payload's station id; the record time and the headers are
+    the input record's (``record_timestamp``, ``headers``) if they were carried."""
     key = F.col("key") if "key" in alerts.columns else F.col("station_id").cast("string")
     time = F.col("record_timestamp") if "record_timestamp" in alerts.columns else F.lit(None).cast("timestamp")
     return alerts.select(key.alias("key"), encode_alert_value().alias("value"), "partition", "offset",
-                         time.alias("timestamp"))
+                         time.alias("timestamp"), *[c for c in alerts.columns if c == "headers"])

@@ -86,6 +86,8 @@ DEAD_LETTERS = T.StructType([
     T.StructField("reason", T.StringType()),
 ])
 
+HEADERS = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]))
+
 # Kafka-shaped record, also used for file-backed topics.
 TOPIC_RECORD = T.StructType([
     T.StructField("key", T.StringType()),
@@ -93,6 +95,7 @@ TOPIC_RECORD = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("headers", HEADERS),
 ])
 
 READING_COLUMNS = [f.name for f in READINGS_TABLE.fields]

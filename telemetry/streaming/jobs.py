@@ -248,11 +248,12 @@ class CountedAlerts:
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        # The alert keeps the input record's stream timestamp (renamed: `timestamp` is the
+        # The alert keeps the input record's headers and stream timestamp (renamed: `timestamp` is the
         # reading's epoch seconds).
         carry = ("record_timestamp",) if "timestamp" in records.columns else ()
         if carry:
             records = records.withColumnRenamed("timestamp", "record_timestamp")
+        carry += ("headers",) if "headers" in records.columns else ()
         tagged = tag_readings(records, keep=carry, contract=False).persist()
         seen = Counted(tagged, dead=F.col("reason").isNotNull())
         _write(dead_letters_of(seen.df), self.paths.dead, batch_id)
@@ -285,9 +286,10 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
     """Map/filter/map pipeline, no state: ``alert_count`` is 0, the input key is kept.
     Bad records are skipped by the same decode guard. With ``topic`` the alerts go there as
     records, else to the Parquet sink as rows."""
-    good, _ = decode_readings(records, keep=("key",))
+    extra = ("key", *(c for c in ("headers",) if topic and c in records.columns))
+    good, _ = decode_readings(records, keep=extra)
     if topic:
-        alerts = stateless_alerts(flatten_readings(good, keep=("key", *ARRIVAL)), threshold, carry=["key", *ARRIVAL])
+        alerts = stateless_alerts(flatten_readings(good, keep=(*extra, *ARRIVAL)), threshold, carry=[*extra, *ARRIVAL])
         writer = alerts.writeStream.option("checkpointLocation", paths.checkpoint) \
             .foreachBatch(lambda batch, batch_id: topic.write(alert_topic_records(batch), batch_id))
         return trigger(writer, available_now, None).start()

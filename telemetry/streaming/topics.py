@@ -3,7 +3,8 @@
 ``kafka`` uses Spark's Kafka connector (``subscribe``, ``startingOffsets``,
 ``maxOffsetsPerTrigger``); the connector jar is not part of this repository. ``parquet``
 (or ``json``) reads a folder of Kafka-shaped records (key, value, partition, offset,
-timestamp), which is how the tests and the registered queries drive the streams.
+timestamp, headers), which is how the tests and the registered queries drive the streams.
+Headers are ``array<struct<key, value>>``, as the connector has them; NULL where a record has none.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from telemetry.schemas import TOPIC_RECORD
 
 _RECORD_COLS = ["CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "partition", "offset",
-                "timestamp"]
+                "timestamp", "headers"]
 
 
 def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int | None = None,
@@ -33,7 +34,7 @@ def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int |
         raise ValueError("give max_per_trigger or max_bytes_per_trigger, not both")
     options = dict(options or {})
     if fmt == "kafka":
-        reader = (spark.readStream.format("kafka").option("subscribe", topic)
+        reader = (spark.readStream.format("kafka").option("subscribe", topic).option("includeHeaders", "true")
                   .option("startingOffsets", options.pop("startingOffsets", "earliest")))
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
@@ -48,11 +49,11 @@ def read_topic(spark: SparkSession, fmt: str, topic: str, max_per_trigger: int |
 
 def write_topic_batch(records: DataFrame, fmt: str, topic: str,
                       options: dict[str, str] | None = None) -> None:
-    """Batch write of records (the producer): key = station id text, value = JSON."""
+    """Batch write of records (the producer): key = station id text, value = JSON, and headers if there are any."""
     if fmt == "kafka":
         opts = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.retries": "3",
                 "kafka.linger.ms": "20", "kafka.compression.type": "gzip", **(options or {})}
-        records.select("key", "value").write.format("kafka").option("topic", topic).options(**opts).save()
+        records.select("key", "value", *[c for c in records.columns if c == "headers"]).write.format("kafka").option("topic", topic).options(**opts).save()
         return
     records.write.mode("append").format(fmt).options(**(options or {})).save(topic)
 

@@ -181,7 +181,7 @@ def test_stateless_alerts_to_topic(spark):
     sink = TopicSink("parquet", f"{paths.root}/out")
     J.start_stateless_alert_stream(read_topic(spark, "parquet", f"{paths.root}/topic"), paths, topic=sink).awaitTermination()
     out = spark.read.option("recursiveFileLookup", "true").parquet(sink.topic)
-    assert out.count() == 60 and out.columns == ["key", "value", "partition", "offset", "timestamp"]
+    assert out.count() == 60 and out.columns == ["key", "value", "partition", "offset", "timestamp", "headers"]
     assert out.where("key <> get_json_object(value, '$.station_id')").count() == 0
 
 
@@ -308,3 +308,36 @@ def test_progress_log_agrees_with_the_counters(spark):
     assert [p["batch_id"] for p in batches] == [c["batch_id"] for c in archive.counters.history]
     assert [int(p["observed"]["wire"]["known"]) for p in batches] == [c["records"] for c in archive.counters.history]
     assert sum(int(p["observed"]["wire"]["records"]) for p in batches) == sum(p["rows"] for p in batches) == 80
+
+
+@pytest.mark.parametrize("start", [J.start_alert_stream, J.start_stateless_alert_stream], ids=["counted", "stateless"])
+def test_alerts_carry_the_headers_of_their_reading(spark, start):
+    recs = records_from_readings(_readings(spark), faults=False)
+    mark = F.when(F.col("offset") % 3 > 0, F.array(F.struct(F.lit("trace").alias("key"), F.col("offset").cast("string").cast("binary").alias("value")),
+                                                   F.struct(F.lit("k").alias("key"), F.lit(None).cast("binary").alias("value"))))
+    paths = J.StreamPaths(scratch_path(spark, "test-headers"))
+    write_topic_in_slices(recs.withColumn("headers", mark), f"{paths.root}/topic", 2)
+    sink = TopicSink("parquet", f"{paths.root}/out")
+    start(read_topic(spark, "parquet", f"{paths.root}/topic"), paths, topic=sink).awaitTermination()
+    out = spark.read.option("recursiveFileLookup", "true").parquet(sink.topic)
+    want = {r["offset"] * 10 + r["partition"]: r["headers"] for r in recs.withColumn("headers", mark).collect()}
+    got = out.collect()
+    assert len(got) == 60 and all(r["headers"] == want[r["offset"] * 10 + r["partition"]] for r in got)
+    assert {r["headers"] is None for r in got} == {True, False}
+
+
+def test_producer_writes_a_file_topic(spark):
+    """The producer's batch write, read back as a topic: nothing lost, keys and headers kept, a second write appends."""
+    from telemetry.functions.codec import encode_readings
+    from telemetry.streaming.topics import write_topic_batch
+    readings = _readings(spark)
+    topic = scratch_path(spark, "test-producer")
+    write_topic_batch(encode_readings(readings), "parquet", topic)
+    write_topic_batch(encode_readings(readings).withColumn("headers", F.array(F.struct(F.lit("a").alias("key"), F.lit(b"b").alias("value")))), "parquet", topic)
+    paths = J.StreamPaths(scratch_path(spark, "test-producer-job"))
+    seen = read_topic(spark, "parquet", topic).writeStream.format("parquet").option("path", paths.sink) \
+        .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start()
+    seen.awaitTermination()
+    got = spark.read.parquet(paths.sink)
+    assert got.count() == 160 and got.where("key = get_json_object(value, '$.station_id')").count() == 160
+    assert got.where("size(headers) = 1 and headers[0].key = 'a'").count() == 80
