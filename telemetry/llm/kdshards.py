@@ -10,8 +10,8 @@ driver sees at most ``BINS`` sums a node and narrows the bin until it holds one
 Law: ``bytes`` - the sizes of the shards are equal but for single documents at the cuts.
 
 Edge cases: size is the UTF-8 bytes of the text plus 16 (null text: 16; its crc32 is that of no
-bytes, 0). Null metadata has the lowest coordinate. Rows equal in id and text cannot be told apart
-and share a shard, but have slots of their own. No rows give no rows; with fewer documents
+bytes, 0). Null metadata has the lowest coordinate. Rows equal in id and text get running numbers, so
+that they part like others; which of them goes where cannot be seen. No rows give no rows; with fewer documents
 than shards some shards stay empty. Further columns are not read.
 
 Scale: one pass over the texts makes a narrow table (written once); the passes of the tree
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetry.llm.frames import attach, materialise
+from telemetry.llm.frames import attach, fresh, materialise, semi, small
 
 SHARDS = 40
 BIN_BITS = 14
@@ -56,6 +56,29 @@ def points(docs: DataFrame, id_column: str, text: str, source: str, lang: str) -
         number.alias("c3"))
 
 
+def told_apart(raw: DataFrame) -> DataFrame:
+    """``raw`` (a written table) with another tie for each of the rows equal in id, checksum and size.
+
+    They are numbered inside the blocks of the written table, after the numbers of the blocks before, so a
+    group of copies is never in one task; the set of ties follows from the size of the group alone.
+    """
+    key, part, at, before, block = (fresh(x) for x in ("key", "part", "at", "before", "block"))
+    named = raw.withColumns({key: F.struct("id", "text_crc32", "size"), part: F.spark_partition_id(), at: F.monotonically_increasing_id()})
+    twins = named.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
+    if twins.isEmpty():
+        return raw
+    numbered = materialise(named, "copies")  # partition and place are fixed from here on
+    some = semi(numbered, twins, key)
+    counts = some.groupBy(key, part).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.struct(key, part).alias(block), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
+    number = F.row_number().over(Window.partitionBy(key, part).orderBy(at)) + F.col(before)
+    apart = attach(some.withColumn(block, F.struct(key, part)), offsets, block) \
+        .withColumn("tie", F.xxhash64("tie", number).bitwiseAND((1 << TIE_BITS) - 1))
+    alone = numbered.join(small(twins), key, "left_anti")
+    return materialise(alone.select(*raw.columns).unionByName(apart.select(*raw.columns)), "points")
+
+
 def keyed(raw: DataFrame) -> DataFrame:
     """Coordinates scaled to 20 bits over the whole table, with the tie below: k0 .. k3."""
     cols = range(len(DIMS))
@@ -212,7 +235,7 @@ def shard_table(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int
     n, total = raw.agg(F.count(F.lit(1)), F.sum("size")).first()
     if target_bytes:
         shards = max(1, -(-(total or 0) // target_bytes))
-    table = keyed(raw)
+    table = keyed(told_apart(raw))
     tree = grow(table, shards) if n else Tree(shard=[0])
     shared = docs.sparkSession.sparkContext.broadcast(tree)
 
