@@ -1,14 +1,15 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash runs over the bytes of each text; a chunk ends where bits of the hash
-that depend on the last 16 bytes are zero (and at a longest size), so chunk borders move
-with the content and an insertion changes only the chunks around it. Chunks are
-deduplicated by a 64-bit digest: the first place, by (document id, position), keeps the
-content. A passage is a run of chunks in a row that all stood earlier, extended byte by byte
-to both sides as far as the text agrees with that around the first places of its end chunks.
-Passages of at least ``min_words`` whole words are removed, without the parts of words at
-their ends; shorter ones (chance, license lines) stay. Only a passage that holds no whole
-chunk is not seen.
+that depend on the last 16 bytes are zero, or, where that happens nowhere near, at the lowest
+hash around (and at a longest size), so chunk borders move with the content and an insertion
+changes only the chunks around it. Chunks are deduplicated by a 64-bit digest: the first place,
+by (document id, position), keeps the content. A passage is a run of chunks that all stood
+earlier, in a row in one text, extended byte by byte to both sides as far as the text agrees
+with that around the earlier place. Passages of at least ``min_words`` whole words are removed,
+without the parts of words at their ends; shorter ones (chance, license lines) stay, also side
+by side. Not seen is a passage that holds no whole chunk, or of which every chunk stood still
+earlier in places that do not agree with it for ``min_words`` words.
 
 Edge cases: null and empty texts have no chunks and stay (an empty text results). Of
 repeated passages in one text the first stays. Rows equal in id and text: the first place
@@ -19,10 +20,10 @@ Scale: chunks that recur within a block are resolved there, so a chunk that half
 corpus holds is one row per block in the shuffle. Digests are combined map-side to their
 first place; the join back is on the digest, unique on one side, with hot chunks split by
 adaptive execution. Found places are gathered per text, whose size bounds them. A match that
-covers the next cut chunk and 16 bytes more would hold that chunk too, so the text around a
-first place is needed for little more than a chunk. It is looked up once a place, and
-only for runs that can reach ``min_words``: those that cannot are known by the words in the
-chunks beside them and the hashes of the 16 bytes at each side.
+covers the next chunk and the bytes that decide its borders would hold that chunk too, so the
+text around an earlier place is needed as far as repeated chunks stand in a row and little
+more. It is looked up once a place, and only for runs that can reach ``min_words``: those that
+cannot are known by the words in the chunks beside them and the hashes of the 16 bytes at each side.
 """
 
 from __future__ import annotations
@@ -41,7 +42,12 @@ MIN_WORDS = 20
 #: One byte in ``1 << CHUNK_BITS`` ends a chunk; none is longer than ``MAX_BYTES``.
 CHUNK_BITS = 5
 MAX_BYTES = 512
+#: Bytes without a border on both sides of a place from which on lowest hashes make borders, and how far these are the lowest.
+SPARSE, NEAR = 32, 16
+#: Bytes beyond a chunk that decide its borders.
+CONTEXT = 2 * SPARSE + 16
 
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _GEAR = (constants(99, 256) >> np.uint64(16)).astype(np.uint32)
 
 
@@ -55,18 +61,60 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _lowest(h: np.ndarray, reach: int) -> np.ndarray:
+    """The lowest value within ``reach`` places on both sides (a power of two)."""
+    low = h
+    step = 1
+    while step <= reach:  # windows of 2 * step values beginning at each place
+        more = low.copy()
+        np.minimum(low[:-step], low[step:], out=more[:-step])
+        low, step = more, step * 2
+    out = low.copy()
+    out[reach:] = low[:len(h) - reach]
+    return out
+
+
+def _between_characters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places moved on to where a UTF-8 character begins."""
+    for _ in range(3):
+        inside = at < len(data)
+        inside[inside] = (data[at[inside]] & 0xC0) == 0x80
+        at = at + inside
+    return at
+
+
 def borders(b: Block, chunk_bits: int = CHUNK_BITS, max_bytes: int = MAX_BYTES) -> np.ndarray:
-    """Sorted chunk starts of a block with its end; every row starts a chunk."""
+    """Sorted chunk starts of a block with its end; every row starts a chunk.
+
+    Where the hash makes no border for ``SPARSE`` bytes around a place (texts of little variety), borders
+    are at the lowest hash of ``NEAR`` bytes around, equal ones too: in a periodic text one a period.
+    """
     data = b.data
+    if not len(data):
+        return np.zeros(1, np.int64)
     h = rolling(data)
     mask = np.uint32(((1 << chunk_bits) - 1) << (16 - chunk_bits))
-    at = np.flatnonzero((h & mask) == 0) + 1
+    at = _between_characters(data, np.flatnonzero((h & mask) == 0) + 1)
     at = np.union1d(np.append(at, len(data)), b.offsets)
+    gap = np.flatnonzero(np.diff(at) > 2 * SPARSE)
+    if len(gap):
+        short = h & np.uint32(0xFFFF)  # what depends on the last 16 bytes alone
+        low = _between_characters(data, np.flatnonzero(short == _lowest(short, NEAR)) + 1)
+        left = np.searchsorted(at, low, "right") - 1
+        low = low[(low - at[left] > SPARSE) & (at[np.minimum(left + 1, len(at) - 1)] - low > SPARSE)]
+        if len(low):
+            keep, last = [], -NEAR
+            for x in low.tolist():
+                if x - last >= NEAR:
+                    keep.append(x)
+                    last = x
+            at = np.union1d(at, keep)
     long = np.flatnonzero(np.diff(at) > max_bytes)
     if len(long):
         at = np.union1d(at, np.concatenate([np.arange(at[k] + max_bytes, at[k + 1], max_bytes) for k in long]))
+        at = np.union1d(_between_characters(data, at), b.offsets)
     inner = at[(at > 0) & (at < len(data))]
-    return np.concatenate([[0], inner[(data[inner] & 0xC0) != 0x80], [len(data)]])
+    return np.concatenate([[0], inner, [len(data)]])
 
 
 def chunks(b: Block, **options) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,7 +145,7 @@ def _beside(b: Block, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> t
     def words(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.searchsorted(first, np.minimum(y, hi)) - np.searchsorted(first, np.maximum(x, lo))
     packed = np.zeros(len(at), np.int64)
-    parts = (words(at, end), words(before - 16, at), words(end, after + 16), words(at - 15, at), words(end, end + 15), at - before, after - end)
+    parts = (words(at, end), words(before - CONTEXT, at), words(end, after + CONTEXT), words(at - 15, at), words(end, end + 15), at - before, after - end)
     for n, part in zip(AT, parts):
         packed |= part.astype(np.int64) << n
     h = np.append(rolling(b.data), np.uint32(0)).astype(np.int64)
@@ -112,7 +160,7 @@ LEFT, RIGHT = 1 << 60, 1 << 61
 
 def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
     """digest, place (id, text hash, start), bytes, words and sides of every chunk; ``again`` marks those that
-    stood earlier within the block (by place), ``head`` and ``head_start`` (text hash and start) where."""
+    stood earlier within the block (by place), ``head`` and ``head_start`` (text hash and start) where last."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +174,8 @@ def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
                 order = np.lexsort((start, rank[row], digest))
                 again = np.zeros(len(row), dtype=bool)
                 again[order[1:]] = digest[order[1:]] == digest[order[:-1]]
-                head = np.empty(len(row), dtype=np.int64)
-                head[order] = order[np.maximum.accumulate(np.where(again[order], 0, np.arange(len(row))))]
+                head = np.arange(len(row))
+                head[order[1:]] = order[:-1]  # the nearest earlier place: one lag throughout a periodic text
                 text = _text_hash(b)
                 words, sides = _beside(b, row, start, size)
                 words |= np.where(sides >> 32 == sides[head] >> 32, LEFT, 0) * again
@@ -170,32 +218,38 @@ def repeated_chunks(docs: DataFrame, **options) -> DataFrame:
         .agg(F.collect_list(F.struct("start", "bytes", "head", "head_start", "words")).alias("spots"))
 
 
-def _ends(found: DataFrame, min_words: int, reach: int) -> DataFrame:
-    """A row for each run that can hold ``min_words`` words and each place its ends may continue at: the run (s, e),
-    the byte ``anchor`` of the text that stands at byte ``pos`` of the text ``head``, the side to look at and how far."""
+def _ends(found: DataFrame, min_words: int) -> DataFrame:
+    """A row for each run that can hold ``min_words`` words and each of its ends: the run (s, e) of the text, its
+    end to look at (``right`` or left), the byte ``pos`` of the text ``head`` that stands there, and how far to compare."""
     kind = found.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for i, spots in enumerate(batch.column(2).to_pylist()):
-                for chain in _runs(spots):
-                    s, e = chain[0]["start"], chain[-1]["start"] + chain[-1]["bytes"]
-                    left, right = ([*_lines(chain, at, reach, after)] for at, after in ((s, False), (e, True)))
-                    most = sum(x["words"] & 1023 for x in chain) + 1 \
-                        + _side(chain[0]["words"], 0, any(far for *_, far in left)) + _side(chain[-1]["words"], 1, any(far for *_, far in right))
-                    if most < min_words:
-                        continue
-                    for after, lines, size in ((False, left, chain[0]["words"] >> AT[5] & 1023), (True, right, chain[-1]["words"] >> AT[6] & 1023)):
-                        for head, here, there, far in lines:
-                            need = abs(here - (e if after else s)) + (size if far else 0) + 16
-                            out.append((i, s, e, here, after, head, there, 16 if need <= 16 else max(64, 1 << (need - 1).bit_length())))
-            at, *rest = zip(*out) if out else [()] * 8
+                for chain in _chains(spots):
+                    first, last = chain[0], chain[-1]
+                    start, end = first["start"], last["start"] + last["bytes"]
+                    held = sum(x["words"] & 1023 for x in chain)
+                    for part in _lines(chain):
+                        s, e = part[0]["start"], part[-1]["start"] + part[-1]["bytes"]
+                        left, right = bool(part[0]["words"] & LEFT), bool(part[-1]["words"] & RIGHT)
+                        most = 1 + (held if left or right else sum(x["words"] & 1023 for x in part))
+                        most += _side(first["words"], 0, True) if left else _side(part[0]["words"], 0, False)
+                        most += _side(last["words"], 1, True) if right else _side(part[-1]["words"], 1, False)
+                        if most < min_words:
+                            continue
+                        head, lag = part[0]["head"], part[0]["head_start"] - s
+                        for after, at, far, need in ((False, s, left, s - start + (first["words"] >> AT[5] & 1023)),
+                                                     (True, e, right, end - e + (last["words"] >> AT[6] & 1023))):
+                            size = need + CONTEXT if far else 16
+                            out.append((i, s, e, after, head, at + lag, size if size <= 16 else max(64, 1 << (size - 1).bit_length())))
+            at, *rest = zip(*out) if out else [()] * 7
             took = pa.array(at, pa.int64())
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
+            kinds = (pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), *map(pa.array, rest, kinds)],
-                                             names=["id", "text_hash", "s", "e", "anchor", "right", "head", "pos", "size"])
-    return found.mapInArrow(run, f"id {kind}, text_hash bigint, s int, e int, anchor int, right boolean, head bigint, pos int, size int")
+                                             names=["id", "text_hash", "s", "e", "right", "head", "pos", "size"])
+    return found.mapInArrow(run, f"id {kind}, text_hash bigint, s int, e int, right boolean, head bigint, pos int, size int")
 
 
 def _side(words: int, after: int, far: bool) -> int:
@@ -203,22 +257,19 @@ def _side(words: int, after: int, far: bool) -> int:
     return words >> AT[1 + after] & 1023 if far else words >> AT[3 + after] & 31
 
 
-def _lines(chain: list[dict], end: int, reach: int, right: bool) -> Iterator[tuple[int, int, int, bool]]:
-    """(text hash, byte here, byte there, 16 bytes or more agree) for each different way the chunks near an end of a
-    run lie in earlier texts."""
-    seen = set()
-    for x in reversed(chain) if right else chain:
-        here = x["start"] + (x["bytes"] if right else 0)
-        if abs(here - end) > reach:
-            break
-        line, far = (x["head"], x["head_start"] - x["start"]), bool(x["words"] & (RIGHT if right else LEFT))
-        if line not in seen and (far or abs(here - end) < 16):
-            yield x["head"], here, line[1] + here, far
-        seen.add(line)
+def _lines(chain: list[dict]) -> Iterator[list[dict]]:
+    """A chain cut into runs whose earlier places follow each other in one text."""
+    part: list[dict] = []
+    for x in chain:
+        if part and (x["head"] != part[-1]["head"] or x["head_start"] - x["start"] != part[-1]["head_start"] - part[-1]["start"]):
+            yield part
+            part = []
+        part.append(x)
+    yield part
 
 
 def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
-    """(head, pos, right, size, near): the ``size`` bytes before or after the places that ``ends`` names."""
+    """(head, pos, right, size, near): ``size`` bytes and one more before or after the places that ``ends`` names."""
     wants = ends.select("head", "pos", "right", "size").distinct().groupBy(F.col("head").alias("h")) \
         .agg(F.collect_list(F.struct("pos", "right", "size")).alias("wants"))
 
@@ -227,7 +278,7 @@ def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
             out = []
             for text, h, wants in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = (text.as_py() or "").encode()
-                out += [(h, p, right, n, raw[p:p + n] if right else raw[max(0, p - n):p]) for p, right, n in map(dict.values, wants)]
+                out += [(h, p, right, n, raw[p:p + n + 1] if right else raw[max(0, p - n - 1):p]) for p, right, n in map(dict.values, wants)]
             kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out) if out else [()] * 5, kinds)), names=["head", "pos", "right", "size", "near"])
     return attach(texts, materialise(wants, "wanted"), "h", rows=100_000).filter(F.col("wants").isNotNull()) \
@@ -237,9 +288,9 @@ def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
                      **options) -> DataFrame:
-    """One row per row of ``docs``: id, text without repeated passages, n_words, n_removed_words, n_spans."""
+    """One row per row of ``docs``: id, text without repeated passages, n_words, n_removed_words, n_spans, and
+    spans, the removed bytes of the UTF-8 text."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    reach = options.get("max_bytes", MAX_BYTES)
     kind = docs.schema["id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,42 +305,45 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
             for b in blocks(batch.column(1)):
                 ws, we, owner = word_spans(b, SPACE_WORD)
                 n_words = row_counts(owner, b.n)
-                gone, removed, spans = [], np.zeros(b.n, np.int64), np.zeros(b.n, np.int64)
+                gone, places, removed = [], [], np.zeros(b.n, np.int64)
                 for i in range(b.n):
                     raw = b.text(i)
+                    cuts = _passages(raw, spots[b.first + i].as_py() or [], min_words)
                     out, at = [], 0
-                    for s, e in _passages(raw, spots[b.first + i].as_py() or []):
-                        words = len(raw[s:e].split())
-                        if words >= min_words:
-                            out.append(raw[at:s])
-                            at = e
-                            removed[i] += words
-                            spans[i] += 1
+                    for s, e in cuts:
+                        out.append(raw[at:s])
+                        at = e
+                        removed[i] += len(raw[s:e].split())
                     out.append(raw[at:])
                     gone.append(b"".join(out).decode("utf-8", "replace"))
+                    places.append([{"start": s, "end": e} for s, e in cuts])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(b.first, b.n), pa.array(gone, pa.string()), pa.array(n_words), pa.array(removed), pa.array(spans)],
-                    names=["id", "text", "n_words", "n_removed_words", "n_spans"])
+                    [batch.column(0).slice(b.first, b.n), pa.array(gone, pa.string()), pa.array(n_words), pa.array(removed),
+                     pa.array([len(x) for x in places], pa.int64()), pa.array(places, _SPANS)],
+                    names=["id", "text", "n_words", "n_removed_words", "n_spans", "spans"])
     with_hash = docs.mapInArrow(hashed, f"id {kind}, text string, h bigint")
-    ends = materialise(_ends(repeated_chunks(docs, **options), min_words, reach), "repeats")
-    near = materialise(_around(with_hash.select("text", "h"), ends), "around")
-    found = ends.join(near, ["head", "pos", "right", "size"]).groupBy(F.col("id").alias("found_id"), "text_hash") \
-        .agg(F.collect_list(F.struct("s", "e", "anchor", "right", "near")).alias("spots"))
+    ends = materialise(_ends(repeated_chunks(docs, **options), min_words), "repeats")
+    own = F.col("head") == F.col("text_hash")  # an earlier place of the same text is at hand when it is cut
+    near = materialise(_around(with_hash.select("text", "h"), ends.filter(~own)), "around")
+    met = ends.filter(~own).join(near, ["head", "pos", "right", "size"]) \
+        .unionByName(ends.filter(own).withColumn("near", F.lit(None).cast("binary")))
+    found = met.groupBy(F.col("id").alias("found_id"), "text_hash") \
+        .agg(F.collect_list(F.struct("s", "e", "right", "pos", "size", "near")).alias("spots"))
     joined = with_hash.join(found, with_hash["id"].eqNullSafe(found["found_id"]) & (with_hash["h"] == found["text_hash"]), "left") \
         .select("id", "text", "spots")
-    return joined.mapInArrow(cut, f"id {kind}, text string, n_words bigint, n_removed_words bigint, n_spans bigint") \
+    return joined.mapInArrow(cut, f"id {kind}, text string, n_words bigint, n_removed_words bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>") \
         .withColumnRenamed("id", id_column)
 
 
-def _runs(spots: list[dict]) -> list[list[dict]]:
-    """Maximal runs of chunks in a row; of several places of a chunk one counts."""
-    runs: list[list[dict]] = []
+def _chains(spots: list[dict]) -> list[list[dict]]:
+    """Repeated chunks that stand in a row; of several places of a chunk one counts."""
+    chains: list[list[dict]] = []
     for x in sorted({x["start"]: x for x in spots}.values(), key=lambda x: x["start"]):
-        if runs and runs[-1][-1]["start"] + runs[-1][-1]["bytes"] == x["start"]:
-            runs[-1].append(x)
+        if chains and chains[-1][-1]["start"] + chains[-1][-1]["bytes"] == x["start"]:
+            chains[-1].append(x)
         else:
-            runs.append([x])
-    return runs
+            chains.append([x])
+    return chains
 
 
 def _agree(a: bytes, b: bytes) -> int:
@@ -300,30 +354,45 @@ def _agree(a: bytes, b: bytes) -> int:
     return int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
 
 
-def _passages(raw: bytes, ends: list[dict]) -> list[tuple[int, int]]:
-    """Places (start, end) of the runs of a text, extended and cut back to whole words; the space between
-    what stands before and after stays."""
-    wide: dict[tuple[int, int], list[int]] = {}
+def _passages(raw: bytes, ends: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Places (start, end) to remove: the runs of a text, each extended as far as the text agrees with that around
+    its earlier place, cut back to whole words, if that leaves ``min_words``; the space between what stands before and after stays."""
+    wide: dict[tuple[int, int], list] = {}
     for x in ends:
-        s, e = wide.setdefault((x["s"], x["e"]), [x["s"], x["e"]])
-        p, near = x["anchor"], x["near"]
+        # start, end, and whether a word of the earlier text goes on before and after them
+        run = wide.setdefault((x["s"], x["e"]), [x["s"], x["e"], False, False])
+        p, size, near = x["pos"], x["size"], x["near"]
         if x["right"]:
-            wide[x["s"], x["e"]][1] = max(e, p + _agree(raw[p:p + len(near)], near))
+            near = raw[p:p + size + 1] if near is None else near
+            n = _agree(raw[x["e"]:x["e"] + size], near)
+            run[1], run[3] = x["e"] + n, not near[n:n + 1].isspace() and n < len(near)
         else:
-            wide[x["s"], x["e"]][0] = min(s, p - _agree(raw[max(0, p - len(near)):p][::-1], near[::-1]))
+            near = (raw[max(0, p - size - 1):p] if near is None else near)[::-1]
+            n = _agree(raw[max(0, x["s"] - size):x["s"]][::-1], near)
+            run[0], run[2] = x["s"] - n, not near[n:n + 1].isspace() and n < len(near)
     joined: list[list[int]] = []
-    for s, e in sorted(wide.values()):
+    for run in sorted(wide.values()):
+        s, e = _whole_words(raw, *run)
+        if e - s < 2 * min_words - 1 or len(raw[s:e].split()) < min_words:
+            continue
         if joined and s <= joined[-1][1]:
             joined[-1][1] = max(joined[-1][1], e)
         else:
             joined.append([s, e])
     out = []
     for s, e in joined:
-        while 0 < s < e and not raw[s - 1:s].isspace() and not raw[s:s + 1].isspace():
-            s += 1
-        while s < e < len(raw) and not raw[e - 1:e].isspace() and not raw[e:e + 1].isspace():
-            e -= 1
         if 0 < s < e < len(raw) and not raw[s - 1:s].isspace() and not raw[e:e + 1].isspace():
             s += 1
         out.append((s, e))
     return out
+
+
+def _whole_words(raw: bytes, s: int, e: int, more_before: bool, more_after: bool) -> tuple[int, int]:
+    """The span without the parts of words at its ends, be they parts here or in the earlier text."""
+    if s < e and not raw[s:s + 1].isspace() and (more_before or s > 0 and not raw[s - 1:s].isspace()):
+        while s < e and not raw[s:s + 1].isspace():
+            s += 1
+    if s < e and not raw[e - 1:e].isspace() and (more_after or e < len(raw) and not raw[e:e + 1].isspace()):
+        while s < e and not raw[e - 1:e].isspace():
+            e -= 1
+    return s, e

@@ -73,7 +73,7 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without passages that an earlier place holds."""
-    return C7.dedup_substrings(table(spark, sf, "documents", "doc_id", "text"))
+    return C7.dedup_substrings(table(spark, sf, "documents", "doc_id", "text")).drop("spans")
 
 
 def op8_page_text(spark: SparkSession, sf: str) -> DataFrame:
