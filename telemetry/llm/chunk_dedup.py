@@ -17,12 +17,11 @@ is shared, so their content stays in each of them; distinct texts of one id are
 their hash. A null id sorts first. Cuts fall between UTF-8 characters. Other columns are not read.
 
 Scale: chunks that recur within a block are resolved there, so a chunk that half the
-corpus holds is one row per block in the shuffle. Digests are combined map-side to their
-first place; the join back is on the digest, unique on one side, with hot chunks split by
-adaptive execution. Found places are gathered per text, whose size bounds them. A match that
+corpus holds is one row per block (2 MB of text) in the only shuffle of chunks, which sorts
+the rows of a digest by place; the others stand alone there. Found places are gathered per text, whose size bounds them. A match that
 covers the next chunk and the bytes that decide its borders would hold that chunk too, so the
 text around an earlier place is needed as far as repeated chunks stand in a row and little
-more. It is looked up once a place, and only for runs that can reach ``min_words``: those that
+more, ``REACH`` bytes at most. It is looked up once a place, and only for runs that can reach ``min_words``: those that
 cannot are known by the words in the chunks beside them and the hashes of the 16 bytes at each side.
 """
 
@@ -32,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetry.llm.frames import attach, materialise
@@ -46,6 +45,9 @@ MAX_BYTES = 512
 SPARSE, NEAR = 32, 16
 #: Bytes beyond a chunk that decide its borders.
 CONTEXT = 2 * SPARSE + 16
+#: Bytes beyond a run that are compared at most: a passage of 50 words or so is covered from any run in it, a longer
+#: one by its runs together.
+REACH = 512
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _GEAR = (constants(99, 256) >> np.uint64(16)).astype(np.uint32)
@@ -203,19 +205,19 @@ def _order(value, i: int) -> tuple:
 def repeated_chunks(docs: DataFrame, **options) -> DataFrame:
     """(id, text_hash, spots): starts and sizes of the chunks of a text that stood earlier, with an earlier place
     (text hash and start) and the words in and beside them."""
-    rows = _chunk_rows(docs, options)
     place = F.struct("id", "text_hash", "start")
-    open_rows = rows.filter("not again").select("digest", place.alias("place"), "bytes", "words", "sides")
-    first = open_rows.groupBy("digest").agg(F.min(F.struct("place", "sides")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    heads = materialise(first.select("digest", F.col("first.place").alias("first"), F.col("first.sides").alias("first_sides")), "chunk-heads")
-    same = F.col("sides").bitwiseXOR(F.col("first_sides"))
+    # rows that are resolved already stand alone, away from the chunks that many blocks hold
+    rows = _chunk_rows(docs, options).withColumn("place", place) \
+        .withColumn("key", F.when(F.col("again"), F.xxhash64("text_hash", "start")).otherwise(F.col("digest")))
+    first = F.first(F.struct("place", "sides")).over(Window.partitionBy("key", "again").orderBy("place"))
+    met = rows.withColumn("first", first).filter(F.col("again") | (F.col("place") != F.col("first.place")))
+    same = F.col("sides").bitwiseXOR(F.col("first.sides"))
     words = F.col("words").bitwiseOR(F.when(F.shiftright(same, 32) == 0, F.lit(LEFT)).otherwise(F.lit(0))) \
         .bitwiseOR(F.when(same.bitwiseAND(F.lit(0xFFFFFFFF)) == 0, F.lit(RIGHT)).otherwise(F.lit(0)))
-    later = open_rows.join(heads, "digest").filter(F.col("place") != F.col("first")) \
-        .select("place.*", "bytes", F.col("first.text_hash").alias("head"), F.col("first.start").alias("head_start"), words.alias("words"))
-    known = rows.filter("again").select("id", "text_hash", "start", "bytes", "head", "head_start", "words")
-    return later.unionByName(known).groupBy("id", "text_hash") \
-        .agg(F.collect_list(F.struct("start", "bytes", "head", "head_start", "words")).alias("spots"))
+    spot = F.struct("start", "bytes", F.when(F.col("again"), F.col("head")).otherwise(F.col("first.place.text_hash")).alias("head"),
+                    F.when(F.col("again"), F.col("head_start")).otherwise(F.col("first.place.start")).alias("head_start"),
+                    F.when(F.col("again"), F.col("words")).otherwise(words).alias("words"))
+    return met.groupBy("id", "text_hash").agg(F.collect_list(spot).alias("spots"))
 
 
 def _ends(found: DataFrame, min_words: int) -> DataFrame:
@@ -225,47 +227,53 @@ def _ends(found: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for i, spots in enumerate(batch.column(2).to_pylist()):
-                for chain in _chains(spots):
-                    first, last = chain[0], chain[-1]
-                    start, end = first["start"], last["start"] + last["bytes"]
-                    held = sum(x["words"] & 1023 for x in chain)
-                    for part in _lines(chain):
-                        s, e = part[0]["start"], part[-1]["start"] + part[-1]["bytes"]
-                        left, right = bool(part[0]["words"] & LEFT), bool(part[-1]["words"] & RIGHT)
-                        most = 1 + (held if left or right else sum(x["words"] & 1023 for x in part))
-                        most += _side(first["words"], 0, True) if left else _side(part[0]["words"], 0, False)
-                        most += _side(last["words"], 1, True) if right else _side(part[-1]["words"], 1, False)
-                        if most < min_words:
-                            continue
-                        head, lag = part[0]["head"], part[0]["head_start"] - s
-                        for after, at, far, need in ((False, s, left, s - start + (first["words"] >> AT[5] & 1023)),
-                                                     (True, e, right, end - e + (last["words"] >> AT[6] & 1023))):
-                            size = need + CONTEXT if far else 16
-                            out.append((i, s, e, after, head, at + lag, size if size <= 16 else max(64, 1 << (size - 1).bit_length())))
-            at, *rest = zip(*out) if out else [()] * 7
-            took = pa.array(at, pa.int64())
+            text, *found = _runs(batch.column(2), min_words)
+            took = pa.array(text, pa.int64())
             kinds = (pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), *map(pa.array, rest, kinds)],
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), *map(pa.array, found, kinds)],
                                              names=["id", "text_hash", "s", "e", "right", "head", "pos", "size"])
     return found.mapInArrow(run, f"id {kind}, text_hash bigint, s int, e int, right boolean, head bigint, pos int, size int")
 
 
-def _side(words: int, after: int, far: bool) -> int:
-    """The words a match can gain before (after) a chunk."""
-    return words >> AT[1 + after] & 1023 if far else words >> AT[3 + after] & 31
+def _runs(lists: pa.ListArray, min_words: int) -> tuple[np.ndarray, ...]:
+    """(text, s, e, right, head, pos, size) of the ends of runs, from a list of repeated chunks per text.
 
-
-def _lines(chain: list[dict]) -> Iterator[list[dict]]:
-    """A chain cut into runs whose earlier places follow each other in one text."""
-    part: list[dict] = []
-    for x in chain:
-        if part and (x["head"] != part[-1]["head"] or x["head_start"] - x["start"] != part[-1]["head_start"] - part[-1]["start"]):
-            yield part
-            part = []
-        part.append(x)
-    yield part
+    Repeated chunks that stand in a row are a chain; a run is a part of a chain whose earlier places follow each
+    other in one text. A match of a run can go on as far as the chain and the chunk beside it.
+    """
+    spots = lists.flatten()
+    text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    start, size, head, there, words = (spots.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                                       for c in ("start", "bytes", "head", "head_start", "words"))
+    order = np.lexsort((start, text))
+    order = order[np.r_[True, (np.diff(text[order]) != 0) | (np.diff(start[order]) != 0)]] if len(order) else order  # each chunk once
+    text, start, size, head, words = text[order], start[order], size[order], head[order], words[order]
+    lag = there[order] - start
+    end, n = start + size, len(order)
+    if not n:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int32, np.int32, bool, np.int64, np.int32, np.int32))
+    new_chain = np.r_[True, (text[1:] != text[:-1]) | (start[1:] != end[:-1])]
+    new_run = new_chain | np.r_[True, (head[1:] != head[:-1]) | (lag[1:] != lag[:-1])]
+    run_first, chain_first = np.flatnonzero(new_run), np.flatnonzero(new_chain)
+    run_last = np.r_[run_first[1:], n] - 1
+    chain_of = (np.cumsum(new_chain) - 1)[run_first]
+    first, last = chain_first[chain_of], (np.r_[chain_first[1:], n] - 1)[chain_of]
+    own, held = np.add.reduceat(words & 1023, run_first), np.add.reduceat(words & 1023, chain_first)[chain_of]
+    left, right = (words[run_first] & LEFT) != 0, (words[run_last] & RIGHT) != 0
+
+    def number(at: np.ndarray, part: int, bits: int = 1023) -> np.ndarray:
+        return words[at] >> AT[part] & bits
+    most = 1 + np.where(left | right, held, own) + np.where(left, number(first, 1), number(run_first, 3, 31)) \
+        + np.where(right, number(last, 2), number(run_last, 4, 31))
+    far = np.stack([np.where(left, start[run_first] - start[first] + number(first, 5) + CONTEXT, 16),
+                    np.where(right, end[last] - end[run_last] + number(last, 6) + CONTEXT, 16)], 1)
+    far = np.where(far <= 16, 16, np.minimum(REACH, 128 * -(-far // 128)))
+    keep = np.flatnonzero(most >= min_words)
+    a, z = run_first[keep], run_last[keep]
+    both = np.tile([False, True], len(keep))
+    pos = np.stack([start[a] + lag[a], end[z] + lag[a]], 1).ravel()
+    return (np.repeat(text[a], 2), np.repeat(start[a], 2).astype(np.int32), np.repeat(end[z], 2).astype(np.int32), both,
+            np.repeat(head[a], 2), pos.astype(np.int32), far[keep].ravel().astype(np.int32))
 
 
 def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
@@ -335,17 +343,6 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
         .withColumnRenamed("id", id_column)
 
 
-def _chains(spots: list[dict]) -> list[list[dict]]:
-    """Repeated chunks that stand in a row; of several places of a chunk one counts."""
-    chains: list[list[dict]] = []
-    for x in sorted({x["start"]: x for x in spots}.values(), key=lambda x: x["start"]):
-        if chains and chains[-1][-1]["start"] + chains[-1][-1]["bytes"] == x["start"]:
-            chains[-1].append(x)
-        else:
-            chains.append([x])
-    return chains
-
-
 def _agree(a: bytes, b: bytes) -> int:
     """Length of the common beginning."""
     n = min(len(a), len(b))
