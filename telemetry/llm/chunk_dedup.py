@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetry.llm.frames import attach, materialise
-from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, constants, row_counts, span_hashes, word_spans
+from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, constants, mix64, row_counts, span_hashes, word_spans
 
 MIN_WORDS = 20
 #: One byte in ``1 << CHUNK_BITS`` ends a chunk; none is longer than ``MAX_BYTES``.
-CHUNK_BITS = 5
+CHUNK_BITS = 6
 MAX_BYTES = 512
 #: Bytes without a border on both sides of a place from which on lowest hashes make borders, and how far these are the lowest.
 SPARSE, NEAR = 32, 16
@@ -156,13 +156,18 @@ def _beside(b: Block, row: np.ndarray, start: np.ndarray, size: np.ndarray) -> t
 
 #: Places of the numbers in ``words`` (of 10 bits each, the fourth and fifth of 5).
 AT = (0, 10, 20, 30, 35, 40, 50)
+#: Bits of the size in ``spot``, below the start.
+SIZE_BITS = 10
 #: Bits of ``words``: the 16 bytes before (after) the chunk equal those of the first place.
 LEFT, RIGHT = 1 << 60, 1 << 61
 
 
 def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
-    """digest, place (id, text hash, start), bytes, words and sides of every chunk; ``again`` marks those that
-    stood earlier within the block (by place), ``head`` and ``head_start`` (text hash and start) where last."""
+    """A narrow row for every chunk: id and text hash, ``spot`` (start and size), the words in and beside it.
+
+    A chunk that stood earlier within the block (by place) has in ``beside`` and ``head_start`` where it last did,
+    and a key of its own. For others the key is the digest, and ``beside`` has the hashes of the bytes at its sides.
+    """
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +194,13 @@ def _chunk_rows(docs: DataFrame, options: dict) -> DataFrame:
                     twin = np.array([first.setdefault((ids[b.first + i].as_py(), int(text[i])), i) != i for i in range(b.n)])
                     again[own[twin[row[own]]]] = False
                 words = np.where(again, words, words & (LEFT - 1))
+                first = start[head].astype(np.int32)
+                key = np.where(again, mix64(text[row].view(np.uint64) + start.astype(np.uint64)).view(np.int64), digest)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest), ids.take(pa.array(row + b.first)), pa.array(text[row]),
-                     pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(words),
-                     pa.array(sides, mask=again), pa.array(text[row[head]], mask=~again), pa.array(start[head].astype(np.int32), mask=~again)],
-                    names=["digest", "id", "text_hash", "start", "bytes", "again", "words", "sides", "head", "head_start"])
-    return docs.mapInArrow(run, f"digest bigint, id {kind}, text_hash bigint, start int, bytes int, again boolean, words bigint, "
-                                "sides bigint, head bigint, head_start int")
+                    [pa.array(key), ids.take(pa.array(row + b.first)), pa.array(text[row]), pa.array(start << SIZE_BITS | size),
+                     pa.array(words), pa.array(np.where(again, text[row[head]], sides)), pa.array(first, mask=~again)],
+                    names=["key", "id", "text_hash", "spot", "words", "beside", "head_start"])
+    return docs.mapInArrow(run, f"key bigint, id {kind}, text_hash bigint, spot bigint, words bigint, beside bigint, head_start int")
 
 
 def _order(value, i: int) -> tuple:
@@ -205,18 +210,19 @@ def _order(value, i: int) -> tuple:
 def repeated_chunks(docs: DataFrame, **options) -> DataFrame:
     """(id, text_hash, spots): starts and sizes of the chunks of a text that stood earlier, with an earlier place
     (text hash and start) and the words in and beside them."""
-    place = F.struct("id", "text_hash", "start")
+    rows = _chunk_rows(docs, options)
     # rows that are resolved already stand alone, away from the chunks that many blocks hold
-    rows = _chunk_rows(docs, options).withColumn("place", place) \
-        .withColumn("key", F.when(F.col("again"), F.xxhash64("text_hash", "start")).otherwise(F.col("digest")))
-    first = F.first(F.struct("place", "sides")).over(Window.partitionBy("key", "again").orderBy("place"))
-    met = rows.withColumn("first", first).filter(F.col("again") | (F.col("place") != F.col("first.place")))
-    same = F.col("sides").bitwiseXOR(F.col("first.sides"))
+    again = F.col("head_start").isNotNull()
+    first = F.first(F.struct("id", "text_hash", "spot", "beside")).over(
+        Window.partitionBy("key", again.cast("int")).orderBy("id", "text_hash", "spot"))
+    met = rows.withColumn("first", first).filter(
+        again | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("spot") == F.col("first.spot"))))
+    same = F.col("beside").bitwiseXOR(F.col("first.beside"))
     words = F.col("words").bitwiseOR(F.when(F.shiftright(same, 32) == 0, F.lit(LEFT)).otherwise(F.lit(0))) \
         .bitwiseOR(F.when(same.bitwiseAND(F.lit(0xFFFFFFFF)) == 0, F.lit(RIGHT)).otherwise(F.lit(0)))
-    spot = F.struct("start", "bytes", F.when(F.col("again"), F.col("head")).otherwise(F.col("first.place.text_hash")).alias("head"),
-                    F.when(F.col("again"), F.col("head_start")).otherwise(F.col("first.place.start")).alias("head_start"),
-                    F.when(F.col("again"), F.col("words")).otherwise(words).alias("words"))
+    spot = F.struct("spot", F.when(again, F.col("beside")).otherwise(F.col("first.text_hash")).alias("head"),
+                    F.when(again, F.col("head_start").cast("long")).otherwise(F.shiftright("first.spot", SIZE_BITS)).alias("head_start"),
+                    F.when(again, F.col("words")).otherwise(words).alias("words"))
     return met.groupBy("id", "text_hash").agg(F.collect_list(spot).alias("spots"))
 
 
@@ -243,8 +249,9 @@ def _runs(lists: pa.ListArray, min_words: int) -> tuple[np.ndarray, ...]:
     """
     spots = lists.flatten()
     text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    start, size, head, there, words = (spots.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                                       for c in ("start", "bytes", "head", "head_start", "words"))
+    spot, head, there, words = (spots.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                                for c in ("spot", "head", "head_start", "words"))
+    start, size = spot >> SIZE_BITS, spot & ((1 << SIZE_BITS) - 1)
     order = np.lexsort((start, text))
     order = order[np.r_[True, (np.diff(text[order]) != 0) | (np.diff(start[order]) != 0)]] if len(order) else order  # each chunk once
     text, start, size, head, words = text[order], start[order], size[order], head[order], words[order]
