@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetry.llm.frames import attach, materialise
+from telemetry.llm.frames import materialise
 from telemetry.llm.textblocks import SPACE_WORD, Block, blocks, constants, mix64, row_counts, span_hashes, word_spans
 
 MIN_WORDS = 20
@@ -284,7 +284,7 @@ def _runs(lists: pa.ListArray, min_words: int) -> tuple[np.ndarray, ...]:
 
 
 def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
-    """(head, pos, right, size, near): ``size`` bytes and one more before or after the places that ``ends`` names."""
+    """From texts with their hashes ``h``: (head, pos, right, size, near): ``size`` bytes and one more before or after the places that ``ends`` names."""
     wants = ends.select("head", "pos", "right", "size").distinct().groupBy(F.col("head").alias("h")) \
         .agg(F.collect_list(F.struct("pos", "right", "size")).alias("wants"))
 
@@ -296,8 +296,7 @@ def _around(texts: DataFrame, ends: DataFrame) -> DataFrame:
                 out += [(h, p, right, n, raw[p:p + n + 1] if right else raw[max(0, p - n - 1):p]) for p, right, n in map(dict.values, wants)]
             kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out) if out else [()] * 5, kinds)), names=["head", "pos", "right", "size", "near"])
-    return attach(texts, materialise(wants, "wanted"), "h", rows=100_000).filter(F.col("wants").isNotNull()) \
-        .select("text", "h", "wants").mapInArrow(run, "head bigint, pos int, right boolean, size int, near binary") \
+    return texts.join(wants, "h").select("text", "h", "wants").mapInArrow(run, "head bigint, pos int, right boolean, size int, near binary") \
         .dropDuplicates(["head", "pos", "right", "size"])
 
 
@@ -308,11 +307,17 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch], once: bool = False) -> Iterator[pa.RecordBatch]:
+        """Texts with their hashes; with ``once``, of equal texts of a task the first."""
+        seen: set[int] = set()
         for batch in batches:
             h = [_text_hash(b) for b in blocks(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(h) if h else np.empty(0, np.int64))],
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(h) if h else np.empty(0, np.int64))],
                                              names=["id", "text", "h"])
+            if once:
+                new = [not (x in seen or seen.add(x)) for x in out.column(2).to_pylist()]
+                out = out.filter(pa.array(new, pa.bool_()))
+            yield out
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,9 +342,10 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                      pa.array([len(x) for x in places], pa.int64()), pa.array(places, _SPANS)],
                     names=["id", "text", "n_words", "n_removed_words", "n_spans", "spans"])
     with_hash = docs.mapInArrow(hashed, f"id {kind}, text string, h bigint")
+    texts = docs.mapInArrow(lambda batches: hashed(batches, True), f"id {kind}, text string, h bigint").select("text", "h")
     ends = materialise(_ends(repeated_chunks(docs, **options), min_words), "repeats")
     own = F.col("head") == F.col("text_hash")  # an earlier place of the same text is at hand when it is cut
-    near = materialise(_around(with_hash.select("text", "h"), ends.filter(~own)), "around")
+    near = materialise(_around(texts, ends.filter(~own)), "around")
     met = ends.filter(~own).join(near, ["head", "pos", "right", "size"]) \
         .unionByName(ends.filter(own).withColumn("near", F.lit(None).cast("binary")))
     found = met.groupBy(F.col("id").alias("found_id"), "text_hash") \
