@@ -103,3 +103,74 @@ kept AS (SELECT page_id, url, page.host, lines, CASE WHEN b IS NULL THEN lines E
 SELECT page_id, url, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(k))::BIGINT AS n_dropped,
        coalesce(array_to_string(k, chr(10)), '') AS text FROM kept
 """
+
+#: The 256 remainders of the crc32 polynomial, and the crc32 of a blob by them.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda a, k: " \
+             "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS t"
+
+
+def crc32(text: str) -> str:
+    byte = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce({byte}, lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), 4294967295), 4294967295)"
+
+
+SPELLING = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+run AS (SELECT doc_id, {ascii_lower('r')} AS w, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents) GROUP BY ALL),
+marked AS (SELECT w, n, {crc32("doc_id::VARCHAR || ':' || w")} AS h FROM run, crc),
+vocab AS (SELECT word, sum(n)::BIGINT AS n
+          FROM (SELECT CASE WHEN h % 97 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM marked)
+          WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+spot AS (SELECT word, n, unnest(range(length(word))) AS i FROM vocab),
+part AS (SELECT word, n, i, left(word, i) AS a, substr(word, i + 2) AS z FROM spot),
+near AS (SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS other_n FROM part x JOIN part y USING (i, a, z) WHERE x.word <> y.word
+         UNION SELECT x.word, x.n, y.word, y.n FROM part x JOIN vocab y ON y.word = x.a || x.z
+         UNION SELECT y.word, y.n, x.word, x.n FROM part x JOIN vocab y ON y.word = x.a || x.z),
+best AS (SELECT word, count(*) AS n_near, arg_max(other, (other_n, -r)) AS form, max(other_n) AS form_n
+         FROM (SELECT *, row_number() OVER (ORDER BY other) AS r FROM near) GROUP BY word),
+named AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * v.n THEN form END AS form,
+                 CASE WHEN form_n >= 2 * v.n THEN form_n END AS form_n FROM vocab v LEFT JOIN best USING (word)),
+step AS (SELECT word, form, word AS root FROM named
+         UNION ALL SELECT step.word, named.form, named.word FROM step JOIN named ON named.word = step.form)
+SELECT named.word, named.form, step.root, n, n_near, form_n
+FROM named JOIN step ON step.word = named.word AND step.form IS NULL
+"""
+
+PERIODIC = rf"""
+WITH crc AS ({_CRC_TABLE}),
+doc AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{_SPACE_WORDS}'), []) AS w, {crc32('doc_id::VARCHAR')} AS h FROM documents, crc),
+cut AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 % len(w) END AS a FROM doc),
+tail AS (SELECT doc_id, w, n, a, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+place AS (SELECT doc_id, w, n, a, p, unnest(range(n)) AS i FROM tail),
+word AS (SELECT doc_id, n, i, w[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % p END] AS word FROM place),
+pair AS (SELECT x.doc_id, x.i, x.i - y.i AS q FROM word x JOIN word y
+         ON x.doc_id = y.doc_id AND x.word = y.word AND y.i < x.i AND 3 * (x.i - y.i) <= x.n),
+same AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair),
+stretch AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM same GROUP BY doc_id, q, island),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+           FROM run GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM word
+         WHERE NOT EXISTS (SELECT 1 FROM run WHERE run.doc_id = word.doc_id AND word.i >= run.start + run.period AND word.i < run.start + run.length)
+         GROUP BY doc_id)
+SELECT doc.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.period::BIGINT AS period,
+       (1000 * best.length // best.period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM doc LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+JACCARD = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce(regexp_extract_all({ascii_lower('text')}, '{_SPACE_WORDS}'), []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i+1:i+5], ' ')) END) AS s FROM doc)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM inter JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT x AS doc_id, y AS r FROM way UNION SELECT reach.doc_id, way.y FROM reach JOIN way ON way.x = reach.r),
+low AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT doc.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc.doc_id, coalesce(r, doc.doc_id)) AS component_id
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN low USING (doc_id)
+"""

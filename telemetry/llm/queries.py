@@ -124,7 +124,10 @@ QUERIES: dict[str, QueryFn] = {
 
 SQL: dict[str, str] = {
     "op1_decontaminate": O.DECONTAMINATE,
+    "op2_jaccard_join": O.JACCARD,
     "op5_mixing": O.MIXING,
     "op6_site_lines": O.SITE_LINES,
     "op9_line_rules": O.LINE_RULES,
+    "op12_spelling": O.SPELLING,
+    "op13_periodic": O.PERIODIC,
 }
