@@ -1,17 +1,13 @@
 """Independent SQL answers (DuckDB dialect) over the driver's pre-registered tables.
 
 The adapters are restated in plain SQL with ``row_number`` windows and ``generate_series``
--- the direct, unoptimised forms -- so the Spark plans are checked against a different
-formulation, not against themselves.
+-- the direct, unoptimised forms -- and rounding, host names and battery levels in SQL of
+their own, so the Spark plans are checked against a different formulation, not against
+themselves.
 """
 
 from __future__ import annotations
 
-from telemetry.functions.exprs import (battery_from_fraction_sql, minute_of_sql, pct_sql,
-                                       round_ratio_sql, station_from_host_sql)
-
-D = "duckdb"
-
 CTES: dict[str, str] = {
     "ev_n": """SELECT event_id, ts, user_id, value, props,
               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
@@ -89,24 +85,25 @@ def with_ctes(uses: list[str], body: str, extra: list[tuple[str, str]] = ()) ->
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def pct(part: str, whole: str, digits: int = 2) -> str:
-    return pct_sql(part, whole, digits, D)
-
-
 def rnd(num: str, den: str, digits: int) -> str:
-    return round_ratio_sql(num, den, digits, D)
+    """Exact decimal rounding, half up, of a non-negative ratio: halves are added before the whole division."""
+    scale = 10 ** digits
+    return f"(CAST((2 * {scale} * CAST({num} AS HUGEINT) + {den}) // (2 * NULLIF({den}, 0)) AS DOUBLE) / {scale}.0::DOUBLE)"
 
 
-def minute_of(secs: str) -> str:
-    return minute_of_sql(secs, D)
+def pct(part: str, whole: str, digits: int = 2) -> str:
+    return rnd(f"100 * ({part})", whole, digits)
 
 
 def station_from_host(explicit: str, host: str) -> str:
-    return station_from_host_sql(explicit, host, D)
+    """The given id; else one more than what follows the last dash, if that is digits; else 1."""
+    last = f"list_last(string_split({host}, '-'))"
+    digits = f"len(string_split({host}, '-')) > 1 AND regexp_full_match({last}, '[0-9]+')"
+    return f"CAST(coalesce({explicit}, CASE WHEN {digits} THEN CAST({last} AS BIGINT) + 1 END, 1) AS BIGINT)"
 
 
 def battery_from_fraction(p: str) -> str:
-    return battery_from_fraction_sql(p)
+    return f"CASE WHEN {p} >= 0.7::DOUBLE THEN 'high' WHEN {p} >= 0.3::DOUBLE THEN 'medium' ELSE 'low' END"
 
 
 def json_reading(alias: str = "") -> str:
