@@ -27,6 +27,9 @@ Steps
 4. Groups whose classes are not one component then give, for each class, the nearest of
    another component, and after these are verified all pairs across components that the
    bound allows. A pair left out is in one component already or was proven dissimilar.
+   A group of many classes is compared block against block, a pair of blocks a task.
+5. ``class_links`` verifies the pairs inside components of three classes or more and counts
+   every document's links (``n_links``, copies included); ``similar_pairs`` lists them.
 
 Edge cases: null and empty texts and texts of white space have no shingles, are linked
 with nothing and are their own component. A text of fewer words than a shingle has its
@@ -46,6 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemetry.llm import class_links
 from telemetry.llm.frames import fresh, materialise, semi, small
 from telemetry.llm.links import components
 from telemetry.llm.textblocks import LOWER, SPACE_WORD, blocks, constants, mix64, span_hashes, word_spans
@@ -59,6 +63,8 @@ BUCKET_BYTES = 16 << 20
 SMALL_BAND = 62
 #: Most bits of a parity bitmap (two or more per element below that), and of its folded copy.
 SKETCH_BITS, BRIEF_BITS = 1 << 17, 1 << 11
+#: Classes of a group that are compared as one block.
+GROUP_ROWS = 1 << 10
 #: Share of the sets from which on a shingle is common, and the most common shingles there can be.
 COMMON = 1 / 2000
 COMMON_MOST = 1 << 20
@@ -353,8 +359,8 @@ def _allowed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "an", "bn", "as", "bs").mapInArrow(_bound, "a bigint, b bigint")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets are similar enough, as edges (u, v).
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of classes whose full sets are similar enough, as edges (u, v), and the full sets.
 
     Only the texts that stand for a class of some pair are read again.
     """
@@ -371,9 +377,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int) -
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     heads = classes.join(small(materialise(ends, "ends")), "h", "left_semi").select("id")
     sets = materialise(full_sets(semi(docs, heads, "id"), "text", ngram), "elements")
-    return pairs.join(sets.select(F.col("h").alias("a"), F.col("elements").alias("x")), "a") \
+    links = pairs.join(sets.select(F.col("h").alias("a"), F.col("elements").alias("x")), "a") \
         .join(sets.select(F.col("h").alias("b"), F.col("elements").alias("y")), "b") \
         .select("a", "b", "x", "y").mapInArrow(run, "u bigint, v bigint")
+    return links, sets
 
 
 def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,22 +394,27 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
 
-def _group_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
+def _apart(root: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j are of different components and, where two blocks are compared, of different blocks."""
+    return (root[i][:, None] != root[j]) & ((side[i][:, None] != side[j]) | (side[j] == class_links.ITSELF))
+
+
+def _group_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, side: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
     """Pairs of a group in different components that the size and bitmap bounds allow, block by block."""
     order = np.argsort(n, kind="stable")
-    h, n, root, bits = h[order], n[order], root[order], bits[order]
+    h, n, root, bits, side = h[order], n[order], root[order], bits[order], side[order]
     end = np.searchsorted(n, n * DEN // NUM, "right")
     for lo in range(0, len(h), rows):
         i = np.arange(lo, min(len(h), lo + rows))
         for at in range(lo + 1, int(end[i[-1]]), 4096):
             j = np.arange(at, min(int(end[i[-1]]), at + 4096))
-            x, y = np.nonzero((root[i][:, None] != root[j]) & (i[:, None] < j) & (j < end[i][:, None]))
+            x, y = np.nonzero(_apart(root, side, i, j) & (i[:, None] < j) & (j < end[i][:, None]))
             ok = 7 * np.bitwise_count(bits[i[x]] ^ bits[j[y]]).sum(1, dtype=np.int64) <= n[i[x]] + n[j[y]]
             p, q = h[i[x[ok]]], h[j[y[ok]]]
             yield np.stack([np.minimum(p, q), np.maximum(p, q)], 1)
 
 
-def _nearest_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
+def _nearest_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, side: np.ndarray, rows: int = 256) -> Iterator[np.ndarray]:
     """For each class of a group the class of another component that the bitmaps show as nearest, if the bounds allow it."""
     for lo in range(0, len(h), rows):
         i = np.arange(lo, min(len(h), lo + rows))
@@ -410,7 +422,7 @@ def _nearest_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndar
         for first in range(0, len(h), 1024):
             j = np.arange(first, min(len(h), first + 1024))
             slack = 7 * np.bitwise_count(bits[i][:, None] ^ bits[j]).sum(2, dtype=np.int64) - n[i][:, None] - n[j]
-            other = (root[i][:, None] != root[j]) & (NUM * n[i][:, None] <= DEN * n[j]) & (NUM * n[j] <= DEN * n[i][:, None])
+            other = _apart(root, side, i, j) & (NUM * n[i][:, None] <= DEN * n[j]) & (NUM * n[j] <= DEN * n[i][:, None])
             slack = np.where(other, slack, 1)
             near = slack.argmin(1)
             low = slack[np.arange(len(i)), near]
@@ -422,16 +434,19 @@ def _nearest_pairs(h: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndar
 
 
 def _across(batches: Iterator[pa.RecordBatch], of_group=_group_pairs) -> Iterator[pa.RecordBatch]:
-    """Rows (g, h, n, root, bitmap) in the order of g: the pairs of each group, repeats within a batch once."""
+    """Rows (g, h, n, root, bitmap) in the order of g: the pairs of each group, repeats within a batch once.
+
+    A sixth column is the side of the row where two blocks of a group are compared.
+    """
     held: list[list[np.ndarray]] = []
 
     def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-        g, h, n, root, bits = columns
+        g, h, n, root, bits, side = columns
         cuts = np.append(np.flatnonzero(np.diff(g, prepend=~g[:1])), len(g))
         found = []
         for a, z in zip(cuts[:-1], cuts[1:]):
             size = min(map(len, bits[a:z]))
-            found += of_group(h[a:z], n[a:z], root[a:z], np.stack([fold(x, size) for x in bits[a:z]]))
+            found += of_group(h[a:z], n[a:z], root[a:z], np.stack([fold(x, size) for x in bits[a:z]]), side[a:z])
         both = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
@@ -440,6 +455,7 @@ def _across(batches: Iterator[pa.RecordBatch], of_group=_group_pairs) -> Iterato
             continue
         now = [np.array(batch.column(i)) for i in range(4)]
         now.append(np.array(batch.column(4).to_pylist(), dtype=object))
+        now.append(np.array(batch.column(5)) if batch.num_columns > 5 else np.full(len(batch), class_links.ITSELF))
         last = int(np.searchsorted(now[0], now[0][-1], "left"))
         if last or (held and held[0][0][0] != now[0][0]):
             # all groups but the last are complete
@@ -453,31 +469,65 @@ def _across(batches: Iterator[pa.RecordBatch], of_group=_group_pairs) -> Iterato
         yield pairs([np.concatenate(c) for c in zip(*held)])
 
 
-def _open_rows(groups: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (g, h, n, root, brief) of the groups of three classes or more (two are a star) in several components, by g."""
+def _open_rows(groups: DataFrame, known: DataFrame, classes: DataFrame, block: int = GROUP_ROWS) -> DataFrame:
+    """Rows (g, h, n, root, brief, side) of the groups of three classes or more (two are a star) in several components, by g.
+
+    A group of more than ``block`` rows is cut into blocks by hash; ``g`` is then a pair of blocks,
+    and a row stands in every pair that its block is of.
+    """
     named = materialise(groups.select("g", "h", "n").join(known.withColumnRenamed("node", "h"), "h", "left")
                         .withColumn("root", F.coalesce("root", "h")), "named")
     open_groups = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")) \
-        .filter("lo <> hi and m > 2").select("g")
-    return named.join(open_groups, "g", "left_semi").join(classes.select("h", "brief"), "h") \
-        .select("g", "h", "n", "root", "brief").repartition("g").sortWithinPartitions("g")
+        .filter("lo <> hi and m > 2").select("g", F.ceil(F.col("m") / block).alias("blocks"))
+    rows = named.join(open_groups, "g").join(classes.select("h", "brief"), "h")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return rows.withColumn("own", F.pmod(F.xxhash64("h"), F.col("blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .select(F.when(F.col("blocks") == 1, F.col("g")).otherwise(F.xxhash64("g", low, high)).alias("g"), "h", "n", "root", "brief",
+                F.when(F.col("own") < F.col("other"), class_links.FIRST).when(F.col("own") > F.col("other"), class_links.SECOND)
+                .otherwise(class_links.ITSELF).alias("side")) \
+        .repartition("g").sortWithinPartitions("g")
 
 
 # ---- the operator -------------------------------------------------------------------------
 
 def similarity_classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                       ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links)."""
-    return _classes(docs, id_column, text, ngram, bucket_bytes).select(id_column, "n_shingles", "component_id")
+                       ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES, **parts) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links), n_links.
+
+    ``n_links`` is the number of other rows the row is linked with, copies included.
+    """
+    links, rows, classes, sets = _links(docs, id_column, text, ngram, bucket_bytes)
+    members = _members(links, classes)
+    known = classes.join(members.select("h", "root").join(class_links.link_counts(members, sets, **parts), "h", "left"), "h", "left") \
+        .filter("copies > 1 or root is not null").select("h", "copies", "root", "links")
+    labelled = rows.join(small(materialise(known, "known")), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    n_links = F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).otherwise(F.lit(0))
+    return _named(labelled.withColumn("n_links", n_links.cast("long"))).select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id", "n_links")
+
+
+def similar_pairs(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+                  ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES, **parts) -> tuple[DataFrame, DataFrame]:
+    """The join itself: (set_a, set_b, n_common, n_union) for each linked pair of different sets, and the sets of the rows.
+
+    The second table has a row per row of ``docs``: id and ``set_hash``; rows of equal sets that
+    are not empty are linked with each other. The first is as long as there are links between
+    different sets: the square of a group of near copies.
+    """
+    links, rows, classes, sets = _links(docs, id_column, text, ngram, bucket_bytes)
+    found = class_links.pairs(_members(links, classes), sets, **parts)
+    return found.withColumnsRenamed({"a": "set_a", "b": "set_b"}), rows.select(F.col("id").alias(id_column), F.col("h").alias("set_hash"))
 
 
-def _classes(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``similarity_classes`` with the hash of the row's set."""
+def _links(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM,
+           bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Links (u, v) that connect every component, rows (id, h, n), classes (h, id, n, copies, ...), full sets of all linked classes."""
     docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     found = materialise(shingle_sets(docs, "id", "text", ngram), "sets")
     rows = found.filter("kind = 0").select("id", "h", "n", "sketch", "brief")
     classes = materialise(rows.groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-                                                  F.first("brief").alias("brief")), "classes")
+                                                  F.first("brief").alias("brief"), F.count(F.lit(1)).alias("copies")), "classes")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
     groups = materialise(
@@ -486,7 +536,8 @@ def _classes(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM, buc
 
     stars = groups.filter(f"rep <> h and {NUM} * greatest(n, rep_n) <= {DEN} * least(n, rep_n)") \
         .select(F.col("rep").alias("a"), F.col("h").alias("b")).distinct()
-    links = materialise(_verify(stars, docs, classes, ngram), "links")
+    links, sets = _verify(stars, docs, classes, ngram)
+    links = materialise(links, "links")
 
     # Groups that are not one component yet: first each class with its nearest of another
     # component, which joins nearly all that belong together, then all pairs across that are left.
@@ -496,15 +547,30 @@ def _classes(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM, buc
         known = near if of_group is _nearest_pairs else components(links)
         more = _open_rows(groups, known, classes) \
             .mapInArrow(lambda batches, f=of_group: _across(batches, f), "a bigint, b bigint").distinct()
-        links = materialise(links.unionByName(_verify(more.join(stars, ["a", "b"], "left_anti"), docs, classes, ngram)), "links")
-    final = components(links)
+        new, also = _verify(more.join(stars, ["a", "b"], "left_anti"), docs, classes, ngram)
+        links, sets = materialise(links.unionByName(new), "links"), sets.unionByName(also)
+    return links, rows.select("id", "h", "n"), classes, sets
+
+
+def _members(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(h, root, n, copies) of the classes in components of two classes or more."""
+    below = components(links)
+    nodes = below.select(F.col("node").alias("h"), "root").unionByName(below.select(F.col("root").alias("h"), "root").distinct())
+    return materialise(nodes.join(classes.select("h", "n", "copies"), "h"), "component-members")
 
-    labelled = rows.select("id", "h", "n").join(final.withColumnRenamed("node", "h"), "h", "left") \
-        .withColumn("root", F.coalesce("root", "h"))
+
+def _named(labelled: DataFrame) -> DataFrame:
+    """Rows (id, n, root, ...) with the component's smallest id."""
     name = labelled.filter("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
-    return labelled.join(name, "root", "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.col("h").alias("set_hash"))
+    return labelled.join(name, "root", "left") \
+        .withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+
+
+def _classes(docs: DataFrame, id_column: str, text: str, ngram: int = NGRAM, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Id, component_id and hash of the row's set, for each row."""
+    links, rows, _, _ = _links(docs, id_column, text, ngram, bucket_bytes)
+    labelled = rows.join(components(links).withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    return _named(labelled).select(F.col("id").alias(id_column), "component_id", F.col("h").alias("set_hash"))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -170,7 +170,9 @@ inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b
 link AS (SELECT x, y FROM inter JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
 way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
 reach AS (SELECT x AS doc_id, y AS r FROM way UNION SELECT reach.doc_id, way.y FROM reach JOIN way ON way.x = reach.r),
-low AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
-SELECT doc.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc.doc_id, coalesce(r, doc.doc_id)) AS component_id
-FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN low USING (doc_id)
+low AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id),
+degree AS (SELECT x AS doc_id, count(*) AS k FROM way GROUP BY x)
+SELECT doc.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc.doc_id, coalesce(r, doc.doc_id)) AS component_id,
+  coalesce(k, 0)::BIGINT AS n_links
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN low USING (doc_id) LEFT JOIN degree USING (doc_id)
 """

@@ -34,7 +34,7 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Size and component of the 5-word shingle set of every document, linked at similarity 0.75."""
+    """Size, component and number of links of the 5-word shingle set of every document, linked at similarity 0.75."""
     return J2.similarity_classes(table(spark, sf, "documents", "doc_id", "text"))
 
 
