@@ -30,14 +30,15 @@ def coerce_number(text: Column, spark_type: str) -> Column:
     """A number as text to an integer type: fractions truncate, text and out-of-range values
     give NULL. The fraction of a plain decimal is cut off as text, so that nothing rounds up."""
     whole = F.regexp_replace(text, r"^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$", "$1$2")
-    return whole.try_cast("decimal(38,6)").try_cast(spark_type)
+    return F.when(text.rlike(r"^-?[0-9]{1,18}\z"), text.try_cast(spark_type)) \
+        .otherwise(whole.try_cast("decimal(38,6)").try_cast(spark_type))
 
 
-def _kind(path: str) -> Column:
+def _kind(path: str, value: Column | str = "value") -> Column:
     """Type that the record itself gives a field ('STRING', 'DECIMAL(3,1)', 'OBJECT<...>', ...): parsing as
     text drops the difference between 70.9 and "70.9", and between an object and its text. Read
     from the record's structure, and only for the records that ask for it."""
-    return F.schema_of_variant(F.variant_get(F.try_parse_json("value"), "$." + path.removeprefix("_j."), "variant"))
+    return F.schema_of_variant(F.variant_get(F.try_parse_json(value), "$." + path.removeprefix("_j."), "variant"))
 
 
 def _when(asked: Column, answer: Column) -> Column:
@@ -45,10 +46,6 @@ def _when(asked: Column, answer: Column) -> Column:
     return F.coalesce(F.when(asked, answer), F.lit(False))
 
 
-def _quoted_fraction(path: str) -> Column:
-    return _when(F.col(path).contains("."), _kind(path) == "STRING")
-
-
 def _container(path: str) -> Column:
     return _when(F.col(path).rlike(r"^[\[{]"), _kind(path).rlike("^(OBJECT|ARRAY)"))
 
@@ -58,6 +55,26 @@ def _parse_once(j: Column) -> Column:
     return evaluate_once(j, "_j")
 
 
+def _with_numbers(parsed: DataFrame, nums: dict[str, tuple[str, str]]) -> tuple[DataFrame, dict[str, Column], Column]:
+    """``parsed`` with its number fields coerced once per record, the value of each, and the reason of the
+    first that cannot be repaired. ``nums``: name -> (path below ``_j``, Spark type).
+
+    The fields go through one array function each for values and kinds: written out per field, the
+    expressions made one generated method too large for the JVM to compile, and the decode was interpreted.
+    """
+    texts = F.array(*[F.col(path) for path, _ in nums.values()])
+    quoted = F.transform(F.array("value"), lambda v: F.array(*[_kind(path, v) == "STRING" for path, _ in nums.values()]))
+    numbers = F.struct(F.transform(texts, lambda t: coerce_number(t, "bigint")).alias("whole"),
+                       F.when(F.exists(texts, lambda t: t.contains(".")), quoted[0]).alias("quoted"))
+    out = parsed.select("*", evaluate_once(numbers, "_n"))
+    val = {k: F.col("_n.whole")[i].try_cast(t) for i, (k, (_, t)) in enumerate(nums.items())}
+    bad = None
+    for i, (k, (path, _)) in enumerate(nums.items()):
+        asked = (F.col(path).isNotNull() & val[k].isNull()) | _when(F.col(path).contains("."), F.col("_n.quoted")[i])
+        bad = (F.when if bad is None else bad.when)(asked, F.lit(BAD_NUMBER + k))
+    return out, val, bad
+
+
 def _position(records: DataFrame) -> list[Column]:
     cols = set(records.columns)
     part = F.col("partition").cast("int") if "partition" in cols else F.lit(None).cast("int")
@@ -120,11 +137,9 @@ def _decode_reading_columns(records: DataFrame, keep: tuple[str, ...]):
         "temperature": (f"{w}.temperature", "int"),
         "wind_speed": (f"{w}.wind_speed", "int"),
     }
-    val = {k: coerce_number(F.col(p), t) for k, (p, t) in nums.items()}
+    parsed, val, bad = _with_numbers(parsed, nums)
     reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
-                    | _container("_j.battery_status"), F.lit(MALFORMED))
-    for k, (p, _) in nums.items():
-        reason = reason.when((F.col(p).isNotNull() & val[k].isNull()) | _quoted_fraction(p), F.lit(BAD_NUMBER + k))
+                    | _container("_j.battery_status"), F.lit(MALFORMED)).otherwise(bad)
 
     weather = F.when(F.col(w).isNull(), F.lit(None)).otherwise(F.struct(
         F.coalesce(val["humidity"], F.lit(0)).alias("humidity"),
@@ -160,12 +175,9 @@ def _decode_alert_columns(records: DataFrame, keep: tuple[str, ...]):
     parsed = records.select("value", *_position(records), *_extra(keep), _parse_once(j))
     nums = {"station_id": "bigint", "s_no": "bigint", "status_timestamp": "bigint",
             "humidity": "int", "alert_count": "bigint"}
-    val = {k: coerce_number(F.col(f"_j.{k}"), t) for k, t in nums.items()}
+    parsed, val, bad = _with_numbers(parsed, {k: (f"_j.{k}", t) for k, t in nums.items()})
     reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()
-                    | _container("_j.message"), F.lit(MALFORMED))
-    for k in nums:
-        reason = reason.when((F.col(f"_j.{k}").isNotNull() & val[k].isNull()) | _quoted_fraction(f"_j.{k}"),
-                             F.lit(BAD_NUMBER + k))
+                    | _container("_j.message"), F.lit(MALFORMED)).otherwise(bad)
     good_cols = [F.coalesce(val[k], F.lit(0).cast(t)).alias(k) for k, t in nums.items()]
     good_cols += [F.col("_j.message").alias("message"), "partition", "offset"]
     return parsed, reason, good_cols

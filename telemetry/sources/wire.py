@@ -69,7 +69,9 @@ def offset_sql(ts: str = "timestamp", station: str = "station_id") -> str:
 def records_from_readings(readings: DataFrame, faults: bool = True, ids: bool = False) -> DataFrame:
     """Topic records keyed by station; partition = station % 10 keeps a station's order."""
     enc = readings.select("*", evaluate_once(encode_reading_value(), "_json"))
-    value = F.expr(fault_sql("_json", "humidity", "battery_status", fault_number_sql())) if faults else F.col("_json")
+    # Damaged through an array function: the cases written into the projection make a method too large to be compiled.
+    damaged = f"transform(array({fault_number_sql()}), f -> {fault_sql('_json', 'humidity', 'battery_status', 'f')})[0]"
+    value = F.expr(f"CASE WHEN {fault_number_sql()} <= {FAULT_EMPTY_OBJECT} THEN {damaged} ELSE _json END") if faults else F.col("_json")
     return enc.select(
         F.col("station_id").cast("string").alias("key"),
         evaluate_once(value, "value"),
