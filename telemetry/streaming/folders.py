@@ -15,6 +15,12 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether some folder fits the pattern."""
+    path, fs = hadoop(spark, pattern)
+    return len(fs.globStatus(path) or []) > 0
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path, fs = hadoop(spark, folder)
     fs.delete(path, True)

@@ -16,8 +16,9 @@ Given a ``TopicSink``, both alert streams also send every alert as a topic recor
 
 Archives (``ArchiveReadings``, ``ArchiveAlerts``). First write wins per key inside the batch,
 then a per-station high-water mark (another ``StationMax``) separates certainly-new readings
-from the few that are looked up in the interval index of archived keys (``index``). The archive
-itself is only ever written; ``compact_archive`` rewrites it between runs.
+from the few that are looked up in the interval index of archived keys (``index``). Of the archive
+itself a batch reads back its own files only, from which the index, the mark and the views are
+kept; ``compact_archive`` rewrites it between runs.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from telemetry.operators.keyed import sequence_bucket
 from telemetry.schemas import ALERTS_TOPIC, KEY, READINGS_TOPIC
 from telemetry.sources.archive import DatabaseTable
 from telemetry.streaming.folders import exists as _exists
+from telemetry.streaming.folders import matches as _matches
 from telemetry.streaming.folders import read_batch as _batch
 from telemetry.streaming.folders import remove as _remove
 from telemetry.streaming.folders import write_batch as _write
@@ -121,6 +123,16 @@ def _write_archive(df: DataFrame, folder: str, batch_id: int, buckets: int) -> N
      .partitionBy("bucket", "batch_id").parquet(folder))
 
 
+def _archived_in(spark: SparkSession, folder: str, batch_id: int, rows: DataFrame) -> DataFrame:
+    """What a batch wrote to its folders of the archive; ``rows`` has the schema. As many tasks as
+    its bytes need, and only the columns asked for, where the rows kept in memory would come in
+    one task for every shuffle partition, each shuffled again into as many."""
+    written = f"{folder}/bucket=*/batch_id={batch_id}"
+    if not _matches(spark, written):
+        return spark.createDataFrame([], rows.schema)
+    return spark.read.schema(rows.schema).parquet(written)
+
+
 def _stored_layout(spark: SparkSession, root: str) -> int | None:
     folder = f"{root}/layout"
     return spark.read.schema("buckets int").parquet(folder).first()["buckets"] if _exists(spark, f"{folder}/_SUCCESS") else None
@@ -209,7 +221,8 @@ class StationMax:
     def before(self, spark: SparkSession, batch_id: int, stations: DataFrame | None = None) -> DataFrame:
         """(station_id, column): the maximum over all batches before ``batch_id``."""
         if batch_id <= 0:
-            return spark.createDataFrame([], f"station_id long, {self.column} long")
+            # A range, whose size Spark knows: a join with it does not shuffle the batch.
+            return spark.range(0).select(F.col("id").alias("station_id"), F.col("id").alias(self.column))
         rows = self._rows(spark, self._marker(spark, batch_id - 1)[0], batch_id - 1)
         if stations is not None:
             rows = rows.join(stations, "station_id", "left_semi")
@@ -301,15 +314,15 @@ def start_stateless_alert_stream(records: DataFrame, paths: StreamPaths, thresho
 
 # ---- archives (first write wins) ---------------------------------------------------------------
 
-def _insert_new(spark: SparkSession, batch: DataFrame, batch_id: int, high_water: StationMax, keys: ArchivedKeys) -> DataFrame:
-    """Rows of ``batch`` (first arrival per key already chosen) whose key is not archived.
+def _insert_new(spark: SparkSession, batch: DataFrame, stations: DataFrame, batch_id: int, high_water: StationMax,
+                keys: ArchivedKeys) -> DataFrame:
+    """Rows of ``batch`` (first arrival per key already chosen, of these ``stations``) whose key is not archived.
 
     Sequence numbers grow per station, so a reading above its station's highest archived
     sequence number is new for certain. Only readings at or below it (producer retries,
     replays, station restarts) are looked up, in the interval index of archived keys; the
     archive itself is never read or listed. Exact either way.
     """
-    stations = batch.select("station_id").distinct()
     marks = high_water.before(spark, batch_id, stations).withColumnRenamed("sequence_number", "_high")
     flagged = batch.join(marks, "station_id", "left")
     maybe_seen = flagged.where(F.col("_high").isNotNull() & (F.col("sequence_number") <= F.col("_high"))).select(*KEY)
@@ -348,17 +361,19 @@ class _Archive:
         tagged = self.tagged(records).persist()
         seen = Counted(tagged, dead=F.col("reason").isNotNull())
         _write(dead_letters_of(seen.df, self.topic), self.paths.dead, batch_id)
-        first = first_write_wins(self.rows(tagged), KEY, ARRIVAL).persist()
-        new = _insert_new(spark, first, batch_id, self.high_water, self.keys) \
-            .withColumn(self.stamp, F.current_timestamp()).persist()
-        written = Counted(new)
-        _write_archive(written.df, self.sink, batch_id, self.buckets)
+        rows = self.rows(tagged)
+        first = first_write_wins(rows, KEY, ARRIVAL).persist()
+        stations = rows.select("station_id").distinct()
+        new = _insert_new(spark, first, stations, batch_id, self.high_water, self.keys) \
+            .withColumn(self.stamp, F.current_timestamp())
+        _write_archive(new, self.sink, batch_id, self.buckets)
+        new = _archived_in(spark, self.sink, batch_id, new)
         self.keys.write(spark, batch_id, new.select(*KEY))
         self.high_water.write(spark, batch_id, new)
         if self.views:
             self.views.write(spark, batch_id, new)
-        self.counters.record(self.name, batch_id, written=written["rows"], records=seen["rows"], dead_letters=seen["dead"])
-        for df in (new, first, tagged):
+        self.counters.record(self.name, batch_id, written=new.count(), records=seen["rows"], dead_letters=seen["dead"])
+        for df in (first, tagged):
             df.unpersist()
 
 
