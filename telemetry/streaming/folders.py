@@ -1,4 +1,4 @@
-"""Folders of streaming jobs: written whole per batch, named one by one, never listed."""
+"""Folders of streaming jobs: written whole per batch, named one by one; ``matches`` alone lists."""
 
 from __future__ import annotations
 
